@@ -24,12 +24,45 @@ def register(name: str, sql: str | None = None):
             raise KeyError(f"duplicate query key {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = portable_round(sql.strip())
         return fn
 
     return deco
 
 
+def portable_round(sql: str) -> str:
+    """Rewrite `round(expr, d)` as `floor(expr * 1ed + 0.5) / 1ed`: the same
+    IEEE operations as `tidy` performs in Spark, so ties are broken the same
+    way in both engines (their built-in `round`s differ on ties)."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k, comma = 0, j + 6, None
+        while k < len(sql):
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            k += 1
+        expr = portable_round(sql[j + 6:comma])
+        d = int(sql[comma + 1:k].strip())
+        out.append(sql[i:j])
+        out.append(f"(floor(({expr}) * 1e{d} + 0.5) / 1e{d})")
+        i = k + 1
+
+
 def tidy(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = None) -> DataFrame:
     """Round doubles, widen integers to BIGINT (same on the SQL side)."""
     overrides = overrides or {}
@@ -37,7 +70,7 @@ def tidy(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = None
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            out.append(F.round(c.cast("double"), overrides.get(f.name, digits)).alias(f.name))
+            out.append(round_half_up(c.cast("double"), overrides.get(f.name, digits)).alias(f.name))
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType, T.LongType, T.BooleanType)):
             out.append(c.cast("bigint").alias(f.name))
         else:
@@ -45,6 +78,13 @@ def tidy(df: DataFrame, digits: int = 6, overrides: dict[str, int] | None = None
     return df.select(*out)
 
 
+def round_half_up(c, d: int):
+    """floor(x * 10^d + 0.5) / 10^d in plain double arithmetic (see
+    `portable_round`)."""
+    scale = float(10 ** d)
+    return (F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)).cast("double")
+
+
 def load_all() -> None:
     """Import every registry module (registration is an import side effect)."""
     import importlib
