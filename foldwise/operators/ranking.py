@@ -46,3 +46,23 @@ def running_hits(df: DataFrame, by, score: str, rel: str, tie: str,
     return (out.withColumn(hits_col, F.col("__h") + F.col("__oh"))
                .withColumn(pos_col, F.col("__n") + F.col("__on"))
                .drop("__p", "__h", "__n", "__oh", "__on"))
+
+
+def running_totals(df: DataFrame, by, order, values: dict) -> DataFrame:
+    """Inclusive running sums of `values` (name → column) within each group
+    of `by`, in `order` (a list of sort expressions that makes rows unique).
+
+    Same distributed scheme as `running_hits`: range partitioning spreads a
+    hot (or the single, when `by` is empty) group over many tasks; per-task
+    local sums are shifted by the totals of the preceding tasks."""
+    by = list(by)
+    srt = df.repartitionByRange(*[F.col(b) for b in by], *order).withColumn("__p", F.spark_partition_id())
+    local_w = Window.partitionBy(*by, "__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = srt.select("*", *[F.sum(v).over(local_w).alias(f"__l_{k}") for k, v in values.items()])
+    tot = local.groupBy(*by, "__p").agg(*[F.sum(v).alias(f"__t_{k}") for k, v in values.items()])
+    ow = Window.partitionBy(*by).orderBy("__p")
+    offs = tot.select(*by, "__p", *[
+        F.coalesce(F.sum(f"__t_{k}").over(ow) - F.col(f"__t_{k}"), F.lit(0)).alias(f"__o_{k}") for k in values])
+    out = local.join(offs, on=[*by, "__p"], how="left")
+    return out.select(*[c for c in df.columns],
+                      *[(F.col(f"__l_{k}") + F.coalesce(F.col(f"__o_{k}"), F.lit(0))).alias(k) for k in values])
