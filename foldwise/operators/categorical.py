@@ -30,7 +30,12 @@ def _counts(df: DataFrame, c: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C1
-class RareCategoryCombiner(Stage):
+class _CatStage(Stage):
+    # category sets up to this many rows become literals; larger ones are joined
+    literal_max = LITERAL_MAX
+
+
+class RareCategoryCombiner(_CatStage):
     """Categories seen fewer than `min_count` times (or, when no count is
     given, with a share below `min_freq` of non-NULL rows) and NULL become
     `other_value`; the column is replaced in place."""
@@ -65,7 +70,7 @@ class _RareFitted(Fitted):
         out = df
         other = F.lit(self.stage.other_value)
         for c, st in self.keep.items():
-            if st.rows <= LITERAL_MAX:
+            if st.rows <= self.stage.literal_max:
                 vals = [r[0] for r in st.df.collect()]
                 out = _add(out, {c: F.when(F.col(c).isin(vals), F.col(c).cast("string")).otherwise(other)})
             else:  # R9 by join: membership through the state table
@@ -115,7 +120,7 @@ class OneHotEncoder(Stage):
 
 
 # ------------------------------------------------------------------ C3
-class CountFrequencyEncoder(Stage):
+class CountFrequencyEncoder(_CatStage):
     """`<c>_count` (or `<c>_freq`, share of non-NULL rows); unseen / NULL → 0."""
 
     def __init__(self, name: str, cols, normalize: bool = False):
@@ -148,7 +153,7 @@ class _LookupFitted(Fitted):
         out = df
         for c, st in self.states.items():
             name, default = self.outs[c]
-            if st.rows <= LITERAL_MAX:
+            if st.rows <= self.stage.literal_max:
                 pairs = [x for r in st.df.collect() for x in (F.lit(r[0]), F.lit(r[1]))]
                 m = F.create_map(*pairs) if pairs else None
                 val = F.coalesce(m[F.col(c)] if m is not None else F.lit(None), F.lit(default))
@@ -183,7 +188,7 @@ class HashingEncoder(StatelessStage):
 
 
 # ------------------------------------------------------------------ C5
-class OrdinalEncoder(Stage):
+class OrdinalEncoder(_CatStage):
     """`<c>_ordinal` from a given mapping, else codes 0..K-1 in ascending
     value order; unseen and NULL → `unknown_value`. Inputs are dropped."""
 
@@ -208,7 +213,7 @@ class OrdinalEncoder(Stage):
 
 
 # ------------------------------------------------------------------ C6, C7
-class TargetEncoder(Stage):
+class TargetEncoder(_CatStage):
     """`<c>_te` = (mean·n + global·s)/(n + s); unseen → global mean.
     Inputs are dropped."""
 
@@ -231,7 +236,7 @@ class TargetEncoder(Stage):
         return _LookupFitted(self, states, {c: (f"{c}_te", gm) for c in self.cols}, drop=True)
 
 
-class WoEEncoder(Stage):
+class WoEEncoder(_CatStage):
     """`<c>_woe` = ln(((pos+ε)/P) / ((neg+ε)/N)); the target must be 0/1;
     unseen → 0. Inputs are dropped."""
 
