@@ -65,3 +65,146 @@ def pseudo_label_round(train: DataFrame, test: DataFrame, scored: DataFrame, id_
     rows = test.join(conf.select(id_col, F.col("pseudo_label").alias(target_col)), id_col, "inner")
     out = train.unionByName(rows, allowMissingColumns=True)
     return cut_lineage(out) if checkpoint else out
+
+
+# ------------------------------------------------------------------ P1
+class FeatureSetBuilder:
+    """Ordered stages, each fitted on the current train rows (or on
+    train ∪ test for `combined` stages), applied to both. The plans stay lazy;
+    every `checkpoint_every` table-state stages the two frames are
+    checkpointed to the shared folder so lineage stays short."""
+
+    def __init__(self, stages, checkpoint_every: int = 8):
+        self.stages, self.checkpoint_every = list(stages), checkpoint_every
+        self.fitted = []
+
+    def run(self, train: DataFrame, test: DataFrame | None = None):
+        from ..operators.base import COMBINED
+
+        n = 0
+        for st in self.stages:
+            scope = train if (test is None or st.fit_scope != COMBINED) else \
+                train.unionByName(test, allowMissingColumns=True)
+            f = st.fit(scope)
+            self.fitted.append(f)
+            train = f.transform(train)
+            test = f.transform(test) if test is not None else None
+            n += 1
+            if self.checkpoint_every and n % self.checkpoint_every == 0:
+                train = cut_lineage(train)
+                test = cut_lineage(test) if test is not None else None
+        return train, test
+
+
+# ------------------------------------------------------------------ P2, P3
+class OofResult:
+    def __init__(self, oof: DataFrame, test_pred: DataFrame | None, fold_scores: DataFrame, models: list):
+        self.oof, self.test_pred, self.fold_scores, self.models = oof, test_pred, fold_scores, models
+
+    def summary(self) -> DataFrame:
+        return fold_summary(self.fold_scores)
+
+
+def train_oof(train: DataFrame, features, target: str, id_col: str, split, learner, metric=None,
+              test: DataFrame | None = None, pred_col: str = "oof_pred") -> OofResult:
+    """Per fold fit on the train rows, predict the valid rows. Out-of-fold
+    predictions are the union of the valid-row predictions (rows never
+    validated get none); test predictions are averaged over the folds that
+    were actually trained; per-fold metric scores form a small table."""
+    spark = train.sparkSession
+    oofs, tests, scores, models = [], [], [], []
+    for fold, tr, va in split.pairs(train):
+        model = learner.fit(tr, features, target)
+        models.append(model)
+        pv = model.predict(va, pred_col).select(id_col, target, pred_col).withColumn("fold", F.lit(fold))
+        oofs.append(pv)
+        if metric is not None:
+            scores.append(metric.frame(pv, target, pred_col).withColumn("fold", F.lit(fold)))
+        if test is not None:
+            tests.append(model.predict(test, "__p").select(id_col, "__p"))
+    if not oofs:
+        raise ValueError("the split produced no folds")
+    oof = reduce(lambda a, b: a.unionByName(b), oofs)
+    test_pred = None
+    if tests:
+        test_pred = reduce(lambda a, b: a.unionByName(b), tests).groupBy(id_col).agg(F.avg("__p").alias(pred_col))
+    fs = reduce(lambda a, b: a.unionByName(b), scores) if scores else \
+        spark.createDataFrame([], "score double, fold int")
+    return OofResult(oof, test_pred, fs.select("fold", "score"), models)
+
+
+def train_full(train: DataFrame, features, target: str, learner, test: DataFrame | None = None,
+               pred_col: str = "prediction"):
+    """One fit on all train rows; score the test rows."""
+    model = learner.fit(train, features, target)
+    return model, (model.predict(test, pred_col) if test is not None else None)
+
+
+# ------------------------------------------------------------------ P4
+def rank_features(train: DataFrame, features: list[str], target: str, split, learner, top_n: int | None = None):
+    """Per-fold feature importances of a tree learner → long table →
+    mean per feature → sorted (top N)."""
+    spark = train.sparkSession
+    rows = []
+    for fold, tr, _ in split.pairs(train):
+        imp = learner.fit(tr, features, target).feature_importances() or [0.0] * len(features)
+        rows += [(f, int(fold), float(v)) for f, v in zip(features, imp)]
+    long_t = spark.createDataFrame(rows, "feature string, fold int, importance double")
+    return feature_ranking(long_t, top_n)
+
+
+# ------------------------------------------------------------------ P6
+def stack(meta_train: DataFrame, meta_test: DataFrame | None, id_col: str, target: str, split, learner=None,
+          metric=None, prefix: str = "pred_"):
+    """Cross-validate a meta model on the `pred_` columns of the meta
+    table, then refit it on all rows and score the test meta table."""
+    from .models import Learner
+
+    learner = learner or Learner("logit", regParam=1.0)
+    feats = prediction_columns(meta_train, prefix)
+    filled = meta_train.fillna(0.0, subset=feats)
+    cv = train_oof(filled, feats, target, id_col, split, learner, metric)
+    model, pred = train_full(filled, feats, target, learner,
+                             meta_test.fillna(0.0, subset=feats) if meta_test is not None else None)
+    return cv, model, pred
+
+
+# ------------------------------------------------------------------ P8
+def search_params(train: DataFrame, features, target: str, id_col: str, split, kind: str, task: str, space: dict,
+                  metric, n_trials: int = 10, seed: int = 42):
+    """Seeded random search. `space` maps a parameter to ("float", lo,
+    hi[, "log"]), ("int", lo, hi[, step]) or ("cat", [choices]). Each trial
+    is one out-of-fold run; trials and their mean fold score form a table,
+    best first."""
+    import math
+    import random
+
+    from .models import Learner
+
+    rnd = random.Random(seed)
+    spark = train.sparkSession
+    rows = []
+    for t in range(n_trials):
+        params = {}
+        for name, spec in space.items():
+            if spec[0] == "float":
+                lo, hi = spec[1], spec[2]
+                params[name] = (math.exp(rnd.uniform(math.log(lo), math.log(hi))) if len(spec) > 3 and spec[3] == "log"
+                                else rnd.uniform(lo, hi))
+            elif spec[0] == "int":
+                step = spec[3] if len(spec) > 3 else 1
+                params[name] = rnd.randrange(spec[1], spec[2] + 1, step)
+            else:
+                params[name] = rnd.choice(spec[1])
+        res = train_oof(train, features, target, id_col, split, Learner(kind, task, **params), metric)
+        s = res.summary().first()
+        rows.append((t, repr(sorted(params.items())), float(s["mean_score"]), float(s["std_score"] or 0.0)))
+    out = spark.createDataFrame(rows, "trial int, params string, mean_score double, std_score double")
+    return out.orderBy(F.desc("mean_score") if metric.greater_is_better else F.asc("mean_score"), "trial")
+
+
+# ------------------------------------------------------------------ P9
+def score_batch(models: list, df: DataFrame, id_col: str, pred_col: str = "prediction") -> DataFrame:
+    """Score a feature table with saved fold models and average."""
+    preds = [m.predict(df, "__p").select(id_col, "__p") for m in models]
+    return reduce(lambda a, b: a.unionByName(b), preds).groupBy(id_col).agg(F.avg("__p").alias(pred_col))
