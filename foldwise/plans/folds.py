@@ -17,6 +17,18 @@ from ..operators.indexing import global_index
 from ..operators.ranking import running_totals
 
 
+def _persisted(df: DataFrame) -> DataFrame:
+    """Folds are read once per fold and per learner pass: keep the assigned
+    table in memory/disk (rebuilt from lineage if an executor is lost)."""
+    from pyspark import StorageLevel
+
+    if df.storageLevel.useMemory or df.storageLevel.useDisk:
+        return df
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    return out
+
+
 class Split:
     fold_col = "fold"
 
@@ -47,6 +59,7 @@ class DateCutoff(Split):
 
     def pairs(self, df):
         d = F.col(self.day_col)
+        df = _persisted(df)
         yield 0, df.where(d <= F.lit(self.cutoff)), df.where(d > F.lit(self.cutoff))
 
 
@@ -114,6 +127,7 @@ class RollingTime(Split):
                         F.col("__fr.fold").alias(self.fold_col), F.col("__fr.role").alias("role"))
 
     def pairs(self, df):
+        df = _persisted(df)
         for f in self.fold_table(df).collect():
             d = F.col(self.day_col).cast("double")
             yield (f["fold"], df.where(d <= F.lit(f["train_end"])),
@@ -129,7 +143,7 @@ class _FoldColumn(Split):
         return self.k
 
     def pairs(self, df):
-        a = self.assign(df)
+        a = _persisted(self.assign(df))
         for i in range(self.k):
             yield i, a.where(F.col(self.fold_col) != i).drop(self.fold_col), \
                 a.where(F.col(self.fold_col) == i).drop(self.fold_col)

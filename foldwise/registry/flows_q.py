@@ -1 +1,249 @@
-"""Check queries."""
+"""Check queries for the feature-set build (P1), learners (L1-L6), training
+flows (P2-P4, P6, P8, P9), streaming apply (K1) and custom stages (U1-U3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.categorical import CountFrequencyEncoder
+from ..operators.custom import ExpressionStage, RatioStage, RegexExtractStage
+from ..operators.groups import GroupStats
+from ..operators.metrics import Rmse, RocAuc
+from ..operators.numeric import StandardScaler
+from ..operators.temporal import DatetimeFeatures
+from ..operators.text import TextStatistics
+from ..plans.flows import (FeatureSetBuilder, build_meta_table, rank_features, score_batch, search_params, stack,
+                           train_full, train_oof)
+from ..plans.folds import KFold, RollingTime, StratifiedKFold
+from ..plans.models import FittedModel, Learner
+from ..session import scratch_path
+from ..streaming.apply import apply_stream, run_to_table
+from ..sources.io import table
+from . import register, tidy
+
+# ------------------------------------------------------------------ P1
+_CUT = "TIMESTAMP '1996-01-01'"
+
+
+@register("feature_build", f"""
+WITH tr AS (SELECT * FROM orders WHERE o_orderdate < {_CUT}),
+te AS (SELECT * FROM orders WHERE o_orderdate >= {_CUT}),
+cnt AS (SELECT o_orderpriority, count(*) AS n FROM tr WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority),
+sc AS (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s FROM tr),
+g AS (SELECT o_custkey, avg(o_totalprice) AS gm, count(o_totalprice) AS gn FROM orders
+      WHERE o_custkey IS NOT NULL GROUP BY o_custkey),
+u AS (SELECT *, 'train' AS split FROM tr UNION ALL SELECT *, 'test' FROM te)
+SELECT u.o_orderkey, u.split, CAST(month(u.o_orderdate) AS BIGINT) AS o_orderdate_month,
+  CAST(isodow(u.o_orderdate) - 1 AS BIGINT) AS o_orderdate_weekday,
+  CAST(coalesce(cnt.n, 0) AS BIGINT) AS o_orderpriority_count,
+  round((u.o_totalprice - sc.m) / sc.s, 6) AS o_totalprice_standard_scaled,
+  round(g.gm, 6) AS o_custkey_mean_o_totalprice, CAST(g.gn AS BIGINT) AS o_custkey_count_o_totalprice
+FROM u LEFT JOIN cnt ON u.o_orderpriority = cnt.o_orderpriority LEFT JOIN g ON u.o_custkey = g.o_custkey, sc""")
+def q_feature_build(spark, sf):
+    """Orders before 1996 = train, the rest = test; date parts, a count
+    encoder and a scaler fitted on train, per-customer statistics fitted on
+    train ∪ test."""
+    o = table(spark, sf, "orders")
+    cut = F.col("o_orderdate") < F.lit("1996-01-01")
+    train, test = o.where(cut), o.where(~cut)
+    stages = [DatetimeFeatures("d", ["o_orderdate"], ["month", "weekday"]),
+              CountFrequencyEncoder("c", ["o_orderpriority"]),
+              StandardScaler("s", ["o_totalprice"]),
+              GroupStats("g", ["o_custkey"], ["o_totalprice"], ["mean", "count"])]
+    tr, te = FeatureSetBuilder(stages).run(train, test)
+    cols = ["o_orderkey", "o_orderdate_month", "o_orderdate_weekday", "o_orderpriority_count",
+            "o_totalprice_standard_scaled", "o_custkey_mean_o_totalprice", "o_custkey_count_o_totalprice"]
+    out = tr.select(*cols, F.lit("train").alias("split")).unionByName(te.select(*cols, F.lit("test").alias("split")))
+    return tidy(out)
+
+
+# ------------------------------------------------------------------ training data
+_FEATS = ["text_text_length", "text_word_count", "text_unique_word_count", "text_avg_word_length",
+          "text_sentence_count", "text_punctuation_count", "text_uppercase_count"]
+
+
+def _doc_features(spark, sf):
+    """Text statistics of every document (one pass over the texts, kept for
+    the learner passes), split into labelled train and unlabelled test."""
+    from pyspark import StorageLevel
+
+    d = table(spark, sf, "documents").select("doc_id", "text")
+    f = TextStatistics("x", ["text"]).transform(d).drop("text").persist(StorageLevel.MEMORY_AND_DISK)
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    return f.join(lab, "doc_id"), f.join(lab, "doc_id", "left_anti")
+
+
+def _fold5():
+    return StratifiedKFold(5, y_col="quality", id_col="doc_id")
+
+
+@register("train_oof")
+def q_train_oof(spark, sf):
+    """5-fold stratified out-of-fold GBT on document text statistics;
+    every labelled document gets exactly one OOF prediction."""
+    train, test = _doc_features(spark, sf)
+    res = train_oof(train, _FEATS, "quality", "doc_id", _fold5(), Learner("gbt", maxIter=10, maxDepth=3),
+                    RocAuc(), test=test)
+    return tidy(res.oof.select("doc_id", "fold", "oof_pred"))
+
+
+@register("train_oof_time")
+def q_train_oof_time(spark, sf):
+    """P2 with rolling time folds (rows may train in several folds) on
+    events: ridge regression of value on calendar parts."""
+    ev = table(spark, sf, "events").withColumn("day", F.datediff(F.to_date("ts"), F.lit("2024-01-01")))
+    ev = DatetimeFeatures("t", ["ts"], ["hour", "weekday"]).transform(ev)
+    split = RollingTime("day", n_splits=3, valid_duration=5, gap_duration=1)
+    res = train_oof(ev, ["ts_hour", "ts_weekday", "user_id"], "value", "event_id", split,
+                    Learner("ridge", "regression", regParam=0.1), Rmse())
+    return tidy(res.fold_scores)
+
+
+@register("train_full")
+def q_train_full(spark, sf):
+    """One forest on all labelled documents, scoring the unlabelled ones."""
+    train, test = _doc_features(spark, sf)
+    _, pred = train_full(train, _FEATS, "quality", Learner("forest", numTrees=20, maxDepth=5, seed=42), test)
+    return tidy(pred.select("doc_id", "prediction"))
+
+
+@register("fit_gbt")
+def q_fit_gbt(spark, sf):
+    """L1: gradient-boosted trees (regression on lineitem)."""
+    li = table(spark, sf, "lineitem")
+    m = Learner("gbt", "regression", maxIter=10, maxDepth=4, seed=42).fit(li, ["l_quantity", "l_discount", "l_tax"],
+                                                                            "l_extendedprice")
+    return tidy(m.predict(li).select("l_orderkey", "l_linenumber", "prediction"))
+
+
+@register("fit_forest")
+def q_fit_forest(spark, sf):
+    """L2: random forest classifier on documents."""
+    train, _ = _doc_features(spark, sf)
+    m = Learner("forest", numTrees=20, seed=42).fit(train, _FEATS, "quality")
+    return tidy(m.predict(train).select("doc_id", "prediction"))
+
+
+@register("fit_logit")
+def q_fit_logit(spark, sf):
+    """L3: L2 logistic regression."""
+    train, _ = _doc_features(spark, sf)
+    m = Learner("logit", regParam=0.1).fit(train, _FEATS, "quality")
+    return tidy(m.predict(train).select("doc_id", "prediction"))
+
+
+@register("fit_ridge")
+def q_fit_ridge(spark, sf):
+    """L4: ridge regression."""
+    li = table(spark, sf, "lineitem")
+    m = Learner("ridge", "regression", regParam=1.0).fit(li, ["l_quantity", "l_discount", "l_tax"], "l_extendedprice")
+    return tidy(m.predict(li).select("l_orderkey", "l_linenumber", "prediction"))
+
+
+@register("fit_linear_svm")
+def q_fit_linear_svm(spark, sf):
+    """Linear SVM (margin output)."""
+    train, _ = _doc_features(spark, sf)
+    m = Learner("linear_svm", regParam=0.1, maxIter=50).fit(train, _FEATS, "quality")
+    return tidy(m.predict(train).select("doc_id", "prediction"))
+
+
+@register("save_load_model")
+def q_save_load_model(spark, sf):
+    """A fitted model saved to shared storage and loaded back."""
+    train, _ = _doc_features(spark, sf)
+    m = Learner("logit", regParam=0.1).fit(train, _FEATS, "quality")
+    path = m.save(scratch_path(spark, "model"))
+    back = FittedModel.load(path, _FEATS, "logit", "classification")
+    return tidy(back.predict(train).select("doc_id", "prediction"))
+
+
+@register("rank_features")
+def q_rank_features(spark, sf):
+    """Mean fold importance of the text statistics (forest learner)."""
+    train, _ = _doc_features(spark, sf)
+    return tidy(rank_features(train, _FEATS, "quality", _fold5(), Learner("forest", numTrees=10, seed=42), top_n=5))
+
+
+@register("stack")
+def q_stack(spark, sf):
+    """Logistic meta model over three models' out-of-fold predictions
+    (3 stratified folds)."""
+    train, test = _doc_features(spark, sf)
+    folds = StratifiedKFold(3, y_col="quality", id_col="doc_id")
+    preds, tests = {}, {}
+    for name, lr in (("gbt", Learner("gbt", maxIter=5, maxDepth=3)), ("rf", Learner("forest", numTrees=10, seed=42)),
+                     ("lr", Learner("logit", regParam=0.1))):
+        r = train_oof(train, _FEATS, "quality", "doc_id", folds, lr, test=test)
+        preds[name], tests[name] = r.oof, r.test_pred
+    meta_tr = build_meta_table(preds, "doc_id", "oof_pred", train, "quality")
+    meta_te = build_meta_table(tests, "doc_id", "oof_pred")
+    cv, _, pred = stack(meta_tr, meta_te, "doc_id", "quality", folds, metric=RocAuc())
+    return tidy(pred.select("doc_id", "prediction"))
+
+
+@register("search_params")
+def q_search_params(spark, sf):
+    """3-trial seeded random search over GBT depth and step size."""
+    train, _ = _doc_features(spark, sf)
+    space = {"maxDepth": ("int", 2, 4), "stepSize": ("float", 0.05, 0.3, "log"), "maxIter": ("cat", [5, 10])}
+    out = search_params(train, _FEATS, "quality", "doc_id", KFold(3, id_col="doc_id"), "gbt", "classification",
+                        space, RocAuc(), n_trials=3)
+    return tidy(out)
+
+
+@register("score_batch")
+def q_score_batch(spark, sf):
+    """The fold models of a stratified run averaged over unlabelled documents."""
+    train, test = _doc_features(spark, sf)
+    res = train_oof(train, _FEATS, "quality", "doc_id", _fold5(), Learner("logit", regParam=0.1))
+    return tidy(score_batch(res.models, test, "doc_id"))
+
+
+# ------------------------------------------------------------------ K1
+@register("apply_stream", """
+WITH g AS (SELECT user_id, avg(value) AS m FROM events WHERE user_id IS NOT NULL GROUP BY user_id),
+c AS (SELECT event_type, count(*) AS n FROM events WHERE event_type IS NOT NULL GROUP BY event_type)
+SELECT CAST(e.event_id AS BIGINT) AS event_id, CAST(hour(e.ts) AS BIGINT) AS ts_hour,
+  round(g.m, 9) AS user_id_mean_value, CAST(coalesce(c.n, 0) AS BIGINT) AS event_type_count
+FROM events e LEFT JOIN g ON e.user_id = g.user_id LEFT JOIN c ON e.event_type = c.event_type""")
+def q_apply_stream(spark, sf):
+    """K1: stages fitted on the events table, applied to the same file read
+    as a stream (availableNow) into a memory table."""
+    ev = table(spark, sf, "events")
+    fitted = [DatetimeFeatures("t", ["ts"], ["hour"]).fit(ev),
+              GroupStats("g", ["user_id"], ["value"], ["mean"]).fit(ev),
+              CountFrequencyEncoder("c", ["event_type"]).fit(ev)]
+    stream = spark.readStream.schema(ev.schema).parquet(f"{sf}/events*.parquet")
+    out = apply_stream(stream, fitted).select("event_id", "ts_hour", "user_id_mean_value", "event_type_count")
+    name = "k1_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    res = run_to_table(out, name, scratch_path(spark, "stream-ckpt"))
+    return tidy(res, overrides={"user_id_mean_value": 9})
+
+
+# ------------------------------------------------------------------ U1-U3
+@register("custom_stage", """
+SELECT o_orderkey, round(o_totalprice / 1000.0, 6) AS price_k, upper(o_orderpriority) AS prio FROM orders""")
+def q_custom_stage(spark, sf):
+    """A user stage defined by SQL expressions."""
+    o = table(spark, sf, "orders")
+    st = ExpressionStage("u1", {"price_k": "o_totalprice / 1000.0", "prio": "upper(o_orderpriority)"})
+    return tidy(st.transform(o).select("o_orderkey", "price_k", "prio"))
+
+
+@register("regex_extract_stage", r"""
+SELECT conv_id, CAST(turn AS BIGINT) AS turn, nullif(regexp_extract(text, ' ([A-Za-z]+)\.', 1), '') AS text_title
+FROM conversations""")
+def q_regex_extract_stage(spark, sf):
+    """First ` <word>.` in each conversation turn."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "text")
+    return tidy(RegexExtractStage("u2", "text").transform(c).drop("text"))
+
+
+@register("ratio_stage", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+  round(l_extendedprice / (l_quantity + 1e-6), 6) AS l_extendedprice_per_l_quantity FROM lineitem""")
+def q_ratio_stage(spark, sf):
+    """Price per unit."""
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+    return tidy(RatioStage("u3", "l_extendedprice", "l_quantity").transform(li).drop("l_extendedprice", "l_quantity"))
