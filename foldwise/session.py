@@ -69,3 +69,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (shared storage) — survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition ONLY when a frame has fewer partitions than
+    the cluster's default parallelism (small inputs, single-row-group files)
+    and CPU-heavy per-row work follows. On large inputs this is a no-op, so
+    it never adds a shuffle at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - streaming frames have no RDD
+        return df
+    return df.repartition(target) if n < target else df

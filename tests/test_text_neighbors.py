@@ -51,8 +51,8 @@ def test_mean_pool_masked(spark):
     assert pool_token_embeddings(df, "g", "pos", "v", "m", "cls").first()["pooled"] == [1.0, 2.0]
 
 
-@pytest.mark.parametrize("clustered", [False, True])
-def test_knn_join_exact_against_brute_force(spark, clustered):
+@pytest.mark.parametrize("clustered,block", [(False, 2048), (True, 2048), (True, 16)])
+def test_knn_join_exact_against_brute_force(spark, clustered, block):
     rng = np.random.default_rng(7)
     n, d = 300, 6
     x = rng.normal(size=(n, d))
@@ -60,7 +60,7 @@ def test_knn_join_exact_against_brute_force(spark, clustered):
         x = np.vstack([x[:200] * 0.01 + 5, x[200:]])  # one crowded cell
         x[10] = x[11]  # exact duplicate
     df = spark.createDataFrame([(i, x[i].tolist()) for i in range(n)], "id int, v array<double>")
-    got = knn_join(df, df, "id", "v", 4, exclude_self=True, n_pivots=8).toPandas()
+    got = knn_join(df, df, "id", "v", 4, exclude_self=True, n_pivots=8, block=block).toPandas()
     dist = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
     for i in range(n):
         order = sorted((dist[i, j], j) for j in range(n) if j != i)[:4]
