@@ -76,13 +76,16 @@ class GroupStats(Stage):
                 if f != "median":
                     exprs += _agg_exprs(v, f, self.out_name(v, f))
         state = src.groupBy(*keys).agg(*exprs) if exprs else src.select(*keys).distinct()
-        st = StateTable.build(state)
-        for v in self.group_values:
-            if "median" in self.agg_funcs:
-                med = grouped_quantiles(src, v, [0.5], keys, [self.out_name(v, "median")])
-                st = StateTable.build(st.df.join(med.df, on=keys, how="left"))
+        meds = []
+        if "median" in self.agg_funcs:
+            for v in self.group_values:
+                meds.append(grouped_quantiles(src, v, [0.5], keys, [self.out_name(v, "median")]))
+        for m in meds:
+            state = state.join(m.df, on=keys, how="left")
         order = [self.out_name(v, f) for v in self.group_values for f in self.agg_funcs]
-        st = StateTable(st.df.select(*keys, *order), st.rows)
+        st = StateTable.build(state.select(*keys, *order))
+        for m in meds:
+            m.df.unpersist()
         return _GroupStatsFitted(self, st)
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import EPS, flag, num, right_closed_bin
+from ..session import spread
 from .base import Fitted, LiteralFitted, StatelessStage, Stage, require_columns
 from .quantiles import global_quantiles
 from .state import StateTable, lookup
@@ -314,8 +315,12 @@ class _PowerTransformer(Stage):
         require_columns(df, self.cols, self.name)
         self._check(df)
         lams = {}
+        from pyspark import StorageLevel
+
         for c in self.cols:
-            x_df = df.select(num(c).alias("x")).where(F.col("x").isNotNull())
+            # one narrow column, read by every search pass: spread + keep it
+            x_df = spread(df.select(num(c).alias("x")).where(F.col("x").isNotNull()))
+            x_df = x_df.persist(StorageLevel.MEMORY_AND_DISK)
             r = x_df.agg(F.count(F.lit(1)).alias("n"), F.sum(self._jacobian(F.col("x"))).alias("j")).first()
             n, j = r["n"], r["j"]
             lam = self._best(x_df, n, j, [k / COARSE_DENOM for k in range(-COARSE_K, COARSE_K + 1)])
@@ -324,6 +329,7 @@ class _PowerTransformer(Stage):
                     break
                 lam = self._best(x_df, n, j, [lam + k / d for k in range(-ZOOM_K, ZOOM_K + 1)])
             lams[c] = lam
+            x_df.unpersist()
         return LiteralFitted(self, lams, lambda d, s: _add(
             d, {f"{c}_{self.suffix}": self._expr(num(c), s[c]) for c in self.cols}))
 

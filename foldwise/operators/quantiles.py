@@ -85,8 +85,9 @@ def grouped_quantiles(df: DataFrame, value_col: str, probs: list[float], by: lis
         ps = (srt.groupBy("_p", *by).agg(F.count(F.lit(1)).alias("_c"), F.min("_m").alias("_m0")))
         ps = (ps.withColumn("_off", F.sum("_c").over(Window.partitionBy(*by).orderBy("_p")) - F.col("_c"))
                 .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by))))
-        pst = StateTable.build(ps)
-        ranked = (srt.join(pst.side(), on=["_p", *by])
+        # `ps` has one row per (task, group piece); AQE picks the join
+        # strategy from its runtime size
+        ranked = (srt.join(ps, on=["_p", *by])
                   .withColumn("_r", F.col("_off") + F.col("_m") - F.col("_m0")))
         los, his, fracs = [], [], []
         for q in probs:

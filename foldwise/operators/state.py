@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 100_000
 
 
 class StateTable:

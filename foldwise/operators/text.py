@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .base import Fitted, StatelessStage, Stage, require_columns
 from .state import StateTable
 
@@ -30,9 +31,16 @@ STATS = ("text_length", "word_count", "unique_word_count", "avg_word_length", "s
          "punctuation_count", "uppercase_count")
 
 
+NON_SPACE_RUN = "[^" + WHITESPACE_CLASS[1:-1] + "]+"
+
+
 def words(t):
-    """Whitespace tokens of a text (empty pieces removed)."""
-    return F.filter(F.split(t, WHITESPACE_CLASS + "+"), lambda w: w != "")
+    """Whitespace tokens of a text, like Python's str.split(): the text is
+    trimmed of outer whitespace and split on whitespace runs (no per-element
+    lambda, so the whole expression stays in generated code)."""
+    trimmed = F.regexp_replace(t, "^" + WHITESPACE_CLASS + "+|" + WHITESPACE_CLASS + "+$", "")
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
+        F.split(trimmed, WHITESPACE_CLASS + "+"))
 
 
 class TextStatistics(StatelessStage):
@@ -47,14 +55,16 @@ class TextStatistics(StatelessStage):
 
     def apply(self, df):
         require_columns(df, self.cols, self.name)
+        df = spread(df)
         out = {}
         for c in self.cols:
             t = F.coalesce(F.col(c), F.lit(""))
             w = words(t)
-            e = {"text_length": F.length(t), "word_count": F.size(w),
+            n_words = F.regexp_count(t, F.lit(NON_SPACE_RUN))
+            e = {"text_length": F.length(t), "word_count": n_words,
                  "unique_word_count": F.size(F.array_distinct(w)),
                  "avg_word_length": F.length(F.regexp_replace(t, WHITESPACE_CLASS + "+", ""))
-                 / (F.size(w) + F.lit(1e-6)),
+                 / (n_words + F.lit(1e-6)),
                  "sentence_count": F.regexp_count(t, F.lit("[.!?]")) + 1,
                  "punctuation_count": F.regexp_count(t, F.lit(PUNCT_CLASS)),
                  "uppercase_count": F.regexp_count(t, F.lit("[A-Z]"))}
@@ -101,8 +111,9 @@ class CountVectorizer(Stage):
         self.max_features, self.stop_words = max_features, stop_words
 
     def _term_counts(self, df: DataFrame) -> DataFrame:
-        toks = df.select(F.col(self.id_col).alias("__id"),
-                         F.explode(tokens(F.col(self.col), self.ngram_range, self.stop_words)).alias("term"))
+        src = spread(df.select(self.id_col, self.col))
+        toks = src.select(F.col(self.id_col).alias("__id"),
+                          F.explode(tokens(F.col(self.col), self.ngram_range, self.stop_words)).alias("term"))
         return toks.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
     def _vocab(self, df: DataFrame):
@@ -182,7 +193,8 @@ class _PoolFitted(Fitted):
         s, out = self.stage, df
         aggs = {"mean": F.avg("__x"), "max": F.max("__x")}
         for c in s.cols:
-            toks = out.select(F.col(s.id_col).alias("__id"), F.explode(words(F.lower(F.col(c)))).alias("__w"))
+            toks = spread(out.select(s.id_col, c)).select(F.col(s.id_col).alias("__id"),
+                                                          F.explode(words(F.lower(F.col(c)))).alias("__w"))
             hit = toks.join(self.vectors.side(), "__w")
             per_dim = (hit.select("__id", F.posexplode("__v").alias("__d", "__x"))
                           .groupBy("__id", "__d").agg(*[aggs[a].alias(a) for a in s.aggs]))

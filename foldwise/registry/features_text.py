@@ -90,7 +90,9 @@ DIM = 8
 def word_vectors_from(docs):
     """A (word, vec) table derived from the documents' vocabulary: each
     lower-case whitespace token gets an 8-dim vector from its md5 bytes."""
-    vocab = (docs.select(F.explode(words(F.lower(F.col("text")))).alias("word")).distinct())
+    from ..session import spread
+
+    vocab = spread(docs.select("text")).select(F.explode(words(F.lower(F.col("text")))).alias("word")).distinct()
     h = F.md5(F.col("word"))
     vec = F.array(*[((F.conv(F.substring(h, 2 * i + 1, 2), 16, 10).cast("int") - 128) / 128.0).cast("float")
                     for i in range(DIM)])
