@@ -56,3 +56,32 @@ def q_date_diff(spark, sf):
     j = DateDifference("t5d", "l_shipdate", "o_orderdate", "D").transform(j)
     j = DateDifference("t5h", "l_shipdate", "o_orderdate", "h").transform(j)
     return tidy(j.drop("l_shipdate", "o_orderdate"))
+
+
+@register("date_flags", """SELECT o_orderkey, CAST(coalesce(isodow(o_orderdate) - 1 >= 5, false) AS BIGINT) AS o_orderdate_is_weekend,
+  CAST(coalesce(day(o_orderdate) = 1, false) AS BIGINT) AS o_orderdate_is_month_start,
+  CAST(coalesce(CAST(o_orderdate AS DATE) = last_day(o_orderdate), false) AS BIGINT) AS o_orderdate_is_month_end
+FROM orders""")
+def q_date_flags(spark, sf):
+    """Weekend / month start / month end flags."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    st = DatetimeFeatures("t2", ["o_orderdate"], ["is_weekend", "is_month_start", "is_month_end"])
+    return tidy(st.transform(o).drop("o_orderdate"))
+
+
+@register("time_of_day", """SELECT CAST(event_id AS BIGINT) AS event_id,
+  CASE WHEN hour(ts) < 6 THEN 'Night' WHEN hour(ts) < 12 THEN 'Morning' WHEN hour(ts) < 18 THEN 'Afternoon'
+       WHEN hour(ts) < 24 THEN 'Evening' END AS ts_time_of_day FROM events""")
+def q_time_of_day(spark, sf):
+    """T3."""
+    ev = table(spark, sf, "events").select("event_id", "ts")
+    return tidy(DatetimeFeatures("t3", ["ts"], ["time_of_day"]).transform(ev).drop("ts"))
+
+
+@register("cyclical", """SELECT CAST(event_id AS BIGINT) AS event_id, CAST(hour(ts) AS BIGINT) AS ts_hour,
+  round(sin(2 * pi() * hour(ts) / 24), 6) AS ts_hour_sin, round(cos(2 * pi() * hour(ts) / 24), 6) AS ts_hour_cos
+FROM events""")
+def q_cyclical(spark, sf):
+    """T4: sin/cos only for the requested parts (hour here)."""
+    ev = table(spark, sf, "events").select("event_id", "ts")
+    return tidy(DatetimeFeatures("t4", ["ts"], ["hour", "cyclical"]).transform(ev).drop("ts"))

@@ -296,3 +296,39 @@ def q_pseudo_label(spark, sf):
     test = d.join(lab, "doc_id", "left_anti")
     scored = test.select("doc_id", F.least(F.col("n_chars") / 20000.0, F.lit(1.0)).alias("p"))
     return tidy(pseudo_label_round(train, test, scored, "doc_id", "p", "quality", 0.3, 0.05))
+
+
+# ------------------------------------------------------------------ named entries of single operators
+@register("drop_cols", "SELECT doc_id, lang, source, CAST(n_chars AS BIGINT) AS n_chars FROM documents")
+def q_drop_cols(spark, sf):
+    """Drop consumed inputs (the text column)."""
+    return tidy(table(spark, sf, "documents").drop("text"))
+
+
+@register("column_exists_assert", "SELECT o_orderkey, o_orderstatus FROM orders")
+def q_column_exists_assert(spark, sf):
+    """A schema check before use (no job); a missing column raises."""
+    o = table(spark, sf, "orders")
+    require_columns(o, ["o_orderkey", "o_orderstatus"], "r12")
+    try:
+        require_columns(o, ["no_such_column"], "r12")
+        raise AssertionError("missing column not detected")
+    except ValueError:
+        pass
+    return o.select("o_orderkey", "o_orderstatus")
+
+
+@register("chain_left_join", f"WITH {_META_SQL}\nSELECT doc_id, round(pred_a, 6) AS pred_a, round(pred_b, 6) AS pred_b, "
+                             "round(pred_c, 6) AS pred_c FROM m")
+def q_chain_left_join(spark, sf):
+    """N prediction tables folded with left joins on the id."""
+    preds, _ = _model_predictions(spark, sf)
+    return tidy(build_meta_table(preds, "doc_id", "p"))
+
+
+@register("attach_target", "SELECT d.doc_id, CAST(l.quality AS BIGINT) AS quality, round(least(d.n_chars / 20000.0, 1.0), 6)"
+                           " AS pred_a FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def q_attach_target(spark, sf):
+    """Meta table ⟕ raw target."""
+    preds, lab = _model_predictions(spark, sf)
+    return tidy(build_meta_table({"a": preds["a"]}, "doc_id", "p", lab, "quality"))

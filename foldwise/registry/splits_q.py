@@ -145,3 +145,30 @@ def q_feature_ranking(spark, sf):
                     .withColumn("feature", F.lit(c))
         imp = part if imp is None else imp.unionByName(part)
     return tidy(feature_ranking(imp, top_n=2))
+
+
+_IMP_SQL = f"""WITH {_LI_FOLD},
+imp AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature, fold, abs(corr({c}, y)) AS imp FROM b GROUP BY fold" for c in _FEATS)})"""
+
+
+def _importances(spark, sf):
+    folds = _li_folds(spark, sf)
+    parts = [folds.groupBy("fold").agg(F.abs(F.corr(c, "l_extendedprice")).alias("importance"))
+             .withColumn("feature", F.lit(c)) for c in _FEATS]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("row_mean", f"{_IMP_SQL}\nSELECT feature, round(avg(imp), 6) AS mean_importance FROM imp GROUP BY feature")
+def q_row_mean(spark, sf):
+    """Mean over folds per feature (long table, no wide row mean)."""
+    return tidy(feature_ranking(_importances(spark, sf)))
+
+
+@register("global_top_n", f"{_IMP_SQL}\nSELECT feature, round(avg(imp), 6) AS mean_importance FROM imp GROUP BY feature "
+                          "ORDER BY avg(imp) DESC, feature LIMIT 1")
+def q_global_top_n(spark, sf):
+    """The single best feature."""
+    return tidy(feature_ranking(_importances(spark, sf), top_n=1))
