@@ -79,6 +79,27 @@ class LiteralFitted(Fitted):
         return self._build(df, self.state)
 
 
+class AggregateFit:
+    """Mixin for stages whose fit is ONE global aggregate row. The feature-set
+    builder fuses consecutive such fits (same fit scope, inputs not produced
+    inside the run) into a single `agg` job: each stage contributes
+    expressions aliased under its own prefix and then builds its fitted state
+    from the shared row."""
+
+    def fit_inputs(self) -> list[str]:  # pragma: no cover - abstract
+        raise NotImplementedError
+
+    def fit_aggs(self, prefix: str) -> list:  # pragma: no cover - abstract
+        raise NotImplementedError
+
+    def from_row(self, row, prefix: str) -> Fitted:  # pragma: no cover - abstract
+        raise NotImplementedError
+
+    def fit(self, df: DataFrame) -> Fitted:
+        require_columns(df, self.fit_inputs(), getattr(self, "name", "stage"))
+        return self.from_row(df.agg(*self.fit_aggs("")).first(), "")
+
+
 def require_columns(df: DataFrame, cols, where: str = "") -> None:
     """Fail early (no job) when a configured column is absent."""
     missing = [c for c in cols if c not in df.columns]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import EPS, flag, num, right_closed_bin
 from ..session import spread
-from .base import Fitted, LiteralFitted, StatelessStage, Stage, require_columns
+from .base import AggregateFit, Fitted, LiteralFitted, StatelessStage, Stage, require_columns
 from .quantiles import global_quantiles
 from .state import StateTable, lookup
 
@@ -34,32 +34,52 @@ def _add(df: DataFrame, cols: dict) -> DataFrame:
 
 
 # ------------------------------------------------------------------ binning
-class EqualWidthBinner(Stage):
-    """`<c>_ew_binned`; edges evenly spaced between the fitted min and max."""
-
-    suffix = "ew_binned"
+class _Binner(Stage):
+    suffix = ""
 
     def __init__(self, name: str, cols, n_bins: int = 10):
         super().__init__(name)
         self.cols, self.n_bins = list(cols), int(n_bins)
 
-    def _edges(self, df: DataFrame) -> dict:
-        r = df.agg(*[e for c in self.cols for e in (F.min(num(c)).alias(f"{c}__lo"),
-                                                      F.max(num(c)).alias(f"{c}__hi"))]).first()
+    def _bounds_aggs(self, prefix: str) -> list:
+        return [e for c in self.cols for e in (F.min(num(c)).alias(f"{prefix}{c}__lo"),
+                                               F.max(num(c)).alias(f"{prefix}{c}__hi"))]
+
+    def _bounds_edges(self, r, prefix: str) -> dict:
         out = {}
         for c in self.cols:
-            lo, hi = r[f"{c}__lo"], r[f"{c}__hi"]
+            lo, hi = r[f"{prefix}{c}__lo"], r[f"{prefix}{c}__hi"]
             out[c] = [] if lo is None else _linspace(lo, hi, self.n_bins)
         return out
 
-    def fit(self, df: DataFrame) -> Fitted:
-        require_columns(df, self.cols, self.name)
-        edges = self._edges(df)
+    def _edges(self, df: DataFrame) -> dict:
+        return self._bounds_edges(df.agg(*self._bounds_aggs("")).first(), "")
+
+    def _fitted(self, edges: dict) -> Fitted:
         return LiteralFitted(self, edges, lambda d, st: _add(
             d, {f"{c}_{self.suffix}": right_closed_bin(c, st[c]) for c in self.cols}))
 
+    def fit(self, df: DataFrame) -> Fitted:
+        require_columns(df, self.cols, self.name)
+        return self._fitted(self._edges(df))
+
+
+class EqualWidthBinner(AggregateFit, _Binner):
+    """`<c>_ew_binned`; edges evenly spaced between the fitted min and max."""
 
-class QuantileBinner(EqualWidthBinner):
+    suffix = "ew_binned"
+
+    def fit_inputs(self):
+        return self.cols
+
+    def fit_aggs(self, prefix):
+        return self._bounds_aggs(prefix)
+
+    def from_row(self, row, prefix):
+        return self._fitted(self._bounds_edges(row, prefix))
+
+
+class QuantileBinner(_Binner):
     """`<c>_q_binned`; edges at the k/n quantiles, duplicates dropped."""
 
     suffix = "q_binned"
@@ -73,7 +93,7 @@ class QuantileBinner(EqualWidthBinner):
         return out
 
 
-class DecisionTreeBinner(EqualWidthBinner):
+class DecisionTreeBinner(_Binner):
     """`<c>_tree_binned`; edges = min, max and the split thresholds of a
     depth-limited one-feature decision tree on the target (Spark ML tree;
     `max_bins` bounds the candidate cut points)."""
@@ -89,7 +109,7 @@ class DecisionTreeBinner(EqualWidthBinner):
         from pyspark.ml.classification import DecisionTreeClassifier
         from pyspark.ml.feature import VectorAssembler
 
-        bounds = EqualWidthBinner._edges(self, df)
+        bounds = _Binner._edges(self, df)
         out = {}
         for c in self.cols:
             data = (df.select(num(c).alias("x"), F.col(self.target_col).cast("double").alias("label"))
@@ -158,20 +178,24 @@ class OutlierIndicator(Stage):
 
 
 # ------------------------------------------------------------------ scalers
-class StandardScaler(Stage):
+class StandardScaler(AggregateFit, Stage):
     """`(x - mean) / std` with population std; zero std divides by 1."""
 
     def __init__(self, name: str, cols, with_mean: bool = True, with_std: bool = True):
         super().__init__(name)
         self.cols, self.with_mean, self.with_std = list(cols), with_mean, with_std
 
-    def fit(self, df):
-        require_columns(df, self.cols, self.name)
-        r = df.agg(*[e for c in self.cols for e in (F.avg(num(c)).alias(f"{c}__m"),
-                                                      F.stddev_pop(num(c)).alias(f"{c}__s"))]).first()
+    def fit_inputs(self):
+        return self.cols
+
+    def fit_aggs(self, prefix):
+        return [e for c in self.cols for e in (F.avg(num(c)).alias(f"{prefix}{c}__m"),
+                                               F.stddev_pop(num(c)).alias(f"{prefix}{c}__s"))]
+
+    def from_row(self, r, prefix):
         st = {}
         for c in self.cols:
-            m, s = r[f"{c}__m"], r[f"{c}__s"]
+            m, s = r[f"{prefix}{c}__m"], r[f"{prefix}{c}__s"]
             st[c] = (m if self.with_mean else 0.0, (s if s else 1.0) if self.with_std else 1.0)
 
         def build(d, s):
@@ -180,21 +204,25 @@ class StandardScaler(Stage):
         return LiteralFitted(self, st, build)
 
 
-class MinMaxScaler(Stage):
+class MinMaxScaler(AggregateFit, Stage):
     """To `feature_range`; a constant column maps to the low end."""
 
     def __init__(self, name: str, cols, feature_range=(0.0, 1.0)):
         super().__init__(name)
         self.cols, self.feature_range = list(cols), tuple(float(x) for x in feature_range)
 
-    def fit(self, df):
-        require_columns(df, self.cols, self.name)
-        r = df.agg(*[e for c in self.cols for e in (F.min(num(c)).alias(f"{c}__lo"),
-                                                      F.max(num(c)).alias(f"{c}__hi"))]).first()
+    def fit_inputs(self):
+        return self.cols
+
+    def fit_aggs(self, prefix):
+        return [e for c in self.cols for e in (F.min(num(c)).alias(f"{prefix}{c}__lo"),
+                                               F.max(num(c)).alias(f"{prefix}{c}__hi"))]
+
+    def from_row(self, r, prefix):
         lo_t, hi_t = self.feature_range
         st = {}
         for c in self.cols:
-            lo, hi = r[f"{c}__lo"], r[f"{c}__hi"]
+            lo, hi = r[f"{prefix}{c}__lo"], r[f"{prefix}{c}__hi"]
             rng = (hi - lo) if lo is not None else 1.0
             scale = (hi_t - lo_t) / (rng if rng != 0 else 1.0)
             st[c] = (scale, lo_t - (lo if lo is not None else 0.0) * scale)

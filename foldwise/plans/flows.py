@@ -70,29 +70,61 @@ def pseudo_label_round(train: DataFrame, test: DataFrame, scored: DataFrame, id_
 # ------------------------------------------------------------------ P1
 class FeatureSetBuilder:
     """Ordered stages, each fitted on the current train rows (or on
-    train ∪ test for `combined` stages), applied to both. The plans stay lazy;
-    every `checkpoint_every` table-state stages the two frames are
-    checkpointed to the shared folder so lineage stays short."""
+    train ∪ test for `combined` stages), applied to both. The plans stay lazy.
+
+    Fit fusion: a run of consecutive stages whose fit is one global aggregate
+    (`AggregateFit`), with the same fit scope and inputs already present
+    before the run, is fitted with ONE `agg` job. Every `checkpoint_every`
+    stages the two frames are checkpointed to the shared folder so lineage
+    stays short."""
 
     def __init__(self, stages, checkpoint_every: int = 8):
         self.stages, self.checkpoint_every = list(stages), checkpoint_every
         self.fitted = []
+        self.fit_jobs = 0  # aggregate jobs spent on fused fits (inspection)
 
-    def run(self, train: DataFrame, test: DataFrame | None = None):
+    @staticmethod
+    def _scope(st, train, test):
         from ..operators.base import COMBINED
 
-        n = 0
-        for st in self.stages:
-            scope = train if (test is None or st.fit_scope != COMBINED) else \
-                train.unionByName(test, allowMissingColumns=True)
-            f = st.fit(scope)
-            self.fitted.append(f)
-            train = f.transform(train)
-            test = f.transform(test) if test is not None else None
-            n += 1
-            if self.checkpoint_every and n % self.checkpoint_every == 0:
-                train = cut_lineage(train)
-                test = cut_lineage(test) if test is not None else None
+        if test is None or st.fit_scope != COMBINED:
+            return train
+        return train.unionByName(test, allowMissingColumns=True)
+
+    def _fusible_run(self, i, train):
+        from ..operators.base import AggregateFit
+
+        run = []
+        for st in self.stages[i:]:
+            if not isinstance(st, AggregateFit) or (run and st.fit_scope != run[0].fit_scope):
+                break
+            if any(c not in train.columns for c in st.fit_inputs()):
+                break
+            run.append(st)
+        return run
+
+    def run(self, train: DataFrame, test: DataFrame | None = None):
+        i, n = 0, 0
+        while i < len(self.stages):
+            group = self._fusible_run(i, train)
+            if len(group) > 1:
+                scope = self._scope(group[0], train, test)
+                aggs = [e for j, st in enumerate(group) for e in st.fit_aggs(f"f{j}__")]
+                row = scope.agg(*aggs).first()
+                self.fit_jobs += 1
+                fits = [st.from_row(row, f"f{j}__") for j, st in enumerate(group)]
+            else:
+                group = [self.stages[i]]
+                fits = [group[0].fit(self._scope(group[0], train, test))]
+            for f in fits:
+                self.fitted.append(f)
+                train = f.transform(train)
+                test = f.transform(test) if test is not None else None
+                n += 1
+                if self.checkpoint_every and n % self.checkpoint_every == 0:
+                    train = cut_lineage(train)
+                    test = cut_lineage(test) if test is not None else None
+            i += len(group)
         return train, test
 
 

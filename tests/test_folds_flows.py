@@ -83,3 +83,18 @@ def test_pseudo_label_round(spark):
     out = pseudo_label_round(train, test, scored, "id", "p", "t", 0.8, 0.1)
     extra = out.where("id >= 100").toPandas()
     assert set(extra["t"]) <= {0, 1} and len(extra) == test.where("x > 1 or x < -1").count()
+
+
+def test_fit_fusion_one_job_same_result(spark):
+    from foldwise.operators.numeric import EqualWidthBinner, MinMaxScaler, StandardScaler
+
+    df = base(spark).withColumn("z", F.col("x") * 3 + 1)
+    stages = lambda: [StandardScaler("s", ["x"]), MinMaxScaler("m", ["z"]), EqualWidthBinner("b", ["x", "z"], 4)]
+    b = FeatureSetBuilder(stages())
+    fused, _ = b.run(df)
+    assert b.fit_jobs == 1
+    sep = df
+    for st in stages():
+        sep = st.fit(sep).transform(sep)
+    cols = ["id", "x_standard_scaled", "z_minmax_scaled", "x_ew_binned", "z_ew_binned"]
+    assert sorted(map(tuple, fused.select(*cols).collect())) == sorted(map(tuple, sep.select(*cols).collect()))
