@@ -201,10 +201,12 @@ class RollingStats(StatelessStage):
 
 def value_counts(df: DataFrame, c: str, normalize: bool = False) -> DataFrame:
     """A3: count (or share of non-NULL rows) per category; NULLs excluded.
-    The share's total is computed on the small grouped table."""
+    The share's denominator is one scalar aggregate applied as a literal (no
+    global window, which would pull a high-cardinality table into one task)."""
     g = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("count"))
     if normalize:
-        g = g.withColumn("share", F.col("count") / F.sum("count").over(Window.partitionBy()))
+        total = df.where(F.col(c).isNotNull()).agg(F.count(F.lit(1))).first()[0]
+        g = g.withColumn("share", F.col("count") / F.lit(float(max(total, 1))))
     return g
 
 
