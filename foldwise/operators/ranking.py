@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,9 @@ def running_hits(df: DataFrame, by, score: str, rel: str, tie: str,
     offset of the preceding tasks' totals for that group (a small table)."""
     by = list(by)
     keys = [*by, F.col(score).desc(), F.col(tie).asc()]
-    srt = df.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id())
+    # persisted: the task ids below must be the same in both branches
+    # (local sums and per-task totals), whatever the exchange-reuse setting
+    srt = df.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
     local_w = Window.partitionBy(*by, "__p").orderBy(F.col(score).desc(), F.col(tie).asc())
     local = (srt.withColumn("__h", F.sum(F.col(rel)).over(local_w.rowsBetween(Window.unboundedPreceding, 0)))
                 .withColumn("__n", F.row_number().over(local_w)))
@@ -39,9 +42,8 @@ def running_hits(df: DataFrame, by, score: str, rel: str, tie: str,
     offs = (tot.withColumn("__oh", F.coalesce(F.sum("__th").over(ow) - F.col("__th"), F.lit(0)))
                .withColumn("__on", F.sum("__tn").over(ow) - F.col("__tn"))
                .select(*by, "__p", "__oh", "__on"))
-    # one plan: both uses of `local` share a single range exchange (exchange
-    # reuse), so partition ids agree; AQE broadcasts `offs` when its runtime
-    # size is under the broadcast threshold.
+    # AQE broadcasts `offs` (one row per task and group) when its runtime
+    # size is under the broadcast threshold
     out = local.join(offs, on=[*by, "__p"], how="left")
     return (out.withColumn(hits_col, F.col("__h") + F.col("__oh"))
                .withColumn(pos_col, F.col("__n") + F.col("__on"))
@@ -56,7 +58,8 @@ def running_totals(df: DataFrame, by, order, values: dict) -> DataFrame:
     hot (or the single, when `by` is empty) group over many tasks; per-task
     local sums are shifted by the totals of the preceding tasks."""
     by = list(by)
-    srt = df.repartitionByRange(*[F.col(b) for b in by], *order).withColumn("__p", F.spark_partition_id())
+    srt = (df.repartitionByRange(*[F.col(b) for b in by], *order).withColumn("__p", F.spark_partition_id())
+             .persist(StorageLevel.MEMORY_AND_DISK))
     local_w = Window.partitionBy(*by, "__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = srt.select("*", *[F.sum(v).over(local_w).alias(f"__l_{k}") for k, v in values.items()])
     tot = local.groupBy(*by, "__p").agg(*[F.sum(v).alias(f"__t_{k}") for k, v in values.items()])
