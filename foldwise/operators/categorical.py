@@ -215,13 +215,23 @@ class OrdinalEncoder(_CatStage):
 # ------------------------------------------------------------------ C6, C7
 class TargetEncoder(_CatStage):
     """`<c>_te` = (mean·n + global·s)/(n + s); unseen → global mean.
-    Inputs are dropped."""
+    Inputs are dropped.
+
+    With `fold_col`, rows that carry a fold are encoded out of fold: their
+    statistics (and the global mean) come from the other folds only —
+    category totals minus the fold's own share, both small grouped tables —
+    so a row never sees its own target. Rows without a fold (test rows) get
+    the full-data encoding."""
 
-    def __init__(self, name: str, cols, target_col: str, smoothing_strength: float = 20.0):
+    def __init__(self, name: str, cols, target_col: str, smoothing_strength: float = 20.0,
+                 fold_col: str | None = None):
         super().__init__(name)
         self.cols, self.target_col, self.s = list(cols), target_col, float(smoothing_strength)
+        self.fold_col = fold_col
 
     def fit(self, df):
+        if self.fold_col is not None:
+            return self._fit_oof(df)
         require_columns(df, self.cols + [self.target_col], self.name)
         y = F.col(self.target_col).cast("double")
         gm = df.agg(F.avg(y)).first()[0]
@@ -236,6 +246,53 @@ class TargetEncoder(_CatStage):
         return _LookupFitted(self, states, {c: (f"{c}_te", gm) for c in self.cols}, drop=True)
 
 
+    def _fit_oof(self, df):
+        fc = self.fold_col
+        require_columns(df, self.cols + [self.target_col, fc], self.name)
+        y = F.col(self.target_col).cast("double")
+        base = df.where(y.isNotNull())
+        folds = {r[0]: (r[1], r[2]) for r in base.where(F.col(fc).isNotNull()).groupBy(fc)
+                 .agg(F.sum(y), F.count(y)).collect()}  # one row per fold
+        tot = base.agg(F.sum(y), F.count(y)).first()
+        states = {}
+        for c in self.cols:
+            src = base.where(F.col(c).isNotNull())
+            cat = src.groupBy(c).agg(F.sum(y).alias("__S"), F.count(y).alias("__N"))
+            catf = src.where(F.col(fc).isNotNull()).groupBy(c, fc).agg(F.sum(y).alias("__Sf"),
+                                                                        F.count(y).alias("__Nf"))
+            states[c] = (StateTable.build(cat), StateTable.build(catf))
+        return _OofTargetFitted(self, states, folds, (tot[0], tot[1]))
+
+
+class _OofTargetFitted(Fitted):
+    def __init__(self, stage, states, folds, total):
+        super().__init__(stage)
+        self.states, self.folds, self.total = states, folds, total
+
+    def transform(self, df):
+        s, fc = self.stage, self.stage.fold_col
+        S, N = self.total
+        gm_all = S / N if N else None
+        # out-of-fold global mean per fold (k literals)
+        gmap = F.create_map(*[x for f, (sf, nf) in self.folds.items()
+                              for x in (F.lit(f), F.lit((S - sf) / (N - nf) if N - nf else None))])
+        out = df
+        for c, (cat, catf) in self.states.items():
+            a = cat.df.select(F.col(c).alias("__k1"), "__S", "__N")
+            b = catf.df.select(F.col(c).alias("__k2"), F.col(fc).alias("__f2"), "__Sf", "__Nf")
+            a = F.broadcast(a) if cat.broadcastable() else a
+            b = F.broadcast(b) if catf.broadcastable() else b
+            j = out.join(a, out[c] == a["__k1"], "left")
+            j = j.join(b, (j[c] == b["__k2"]) & (j[fc] == b["__f2"]), "left")
+            in_fold = F.col(fc).isNotNull()
+            g = F.when(in_fold, gmap[F.col(fc)]).otherwise(F.lit(gm_all))
+            ss = F.coalesce(F.col("__S"), F.lit(0.0)) - F.when(in_fold, F.coalesce(F.col("__Sf"), F.lit(0.0))).otherwise(0.0)
+            nn = F.coalesce(F.col("__N"), F.lit(0)) - F.when(in_fold, F.coalesce(F.col("__Nf"), F.lit(0))).otherwise(0)
+            te = F.when(nn > 0, (ss + g * F.lit(s.s)) / (nn + F.lit(s.s))).otherwise(g)
+            out = j.select(*[F.col(f"`{x}`") for x in out.columns], te.alias(f"{c}_te"))
+        return out.drop(*self.states.keys())
+
+
 class WoEEncoder(_CatStage):
     """`<c>_woe` = ln(((pos+ε)/P) / ((neg+ε)/N)); the target must be 0/1;
     unseen → 0. Inputs are dropped."""

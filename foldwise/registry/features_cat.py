@@ -168,3 +168,28 @@ def q_concat_categories(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     out = CategoricalInteraction("c8", [["p_brand", "p_type"], ["p_type", "p_size"]]).transform(p)
     return out.select("p_partkey", "p_brand_p_type", "p_type_p_size")
+
+
+@register("target_encode_oof", """
+WITH b AS (SELECT o_orderkey, o_orderpriority, CAST(o_orderstatus = 'F' AS DOUBLE) AS y,
+                  CAST(('0x' || substr(md5('42|' || CAST(o_orderkey AS VARCHAR)), 1, 8)) AS BIGINT) % 5 AS fold
+           FROM orders),
+t AS (SELECT sum(y) AS s, count(y) AS n FROM b),
+f AS (SELECT fold, sum(y) AS sf, count(y) AS nf FROM b GROUP BY fold),
+c AS (SELECT o_orderpriority, sum(y) AS s, count(y) AS n FROM b WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority),
+cf AS (SELECT o_orderpriority, fold, sum(y) AS s, count(y) AS n FROM b WHERE o_orderpriority IS NOT NULL
+       GROUP BY o_orderpriority, fold),
+x AS (SELECT b.o_orderkey, (t.s - f.sf) / (t.n - f.nf) AS g,
+        coalesce(c.s, 0) - coalesce(cf.s, 0) AS ss, coalesce(c.n, 0) - coalesce(cf.n, 0) AS nn
+      FROM b JOIN f ON b.fold = f.fold LEFT JOIN c ON b.o_orderpriority = c.o_orderpriority
+      LEFT JOIN cf ON b.o_orderpriority = cf.o_orderpriority AND b.fold = cf.fold, t)
+SELECT o_orderkey, round(CASE WHEN nn > 0 THEN (ss + g * 20.0) / (nn + 20.0) ELSE g END, 6) AS o_orderpriority_te
+FROM x""")
+def q_target_encode_oof(spark, sf):
+    """C6 out of fold (D15): each order encoded from the other four folds."""
+    from ..plans.folds import GroupKFold
+
+    o = GroupKFold(5, group_col="o_orderkey").assign(_orders(spark, sf))
+    st = TargetEncoder("c6o", ["o_orderpriority"], "is_f", 20.0, fold_col="fold").fit(o)
+    return tidy(st.transform(o.select("o_orderkey", "o_orderpriority", "fold")).select("o_orderkey",
+                                                                                        "o_orderpriority_te"))

@@ -94,3 +94,13 @@ def test_concat_null_as_nan(spark):
     df = spark.createDataFrame([(1, "a", 3), (2, None, None)], "id int, c string, n int")
     out = CategoricalInteraction("x", [["c", "n"]]).transform(df)
     assert [r[1] for r in rows(out, "id", "c_n")] == ["a_3", "nan_nan"]
+
+
+def test_target_encoding_out_of_fold(spark):
+    df = spark.createDataFrame([(1, "a", 1, 0), (2, "a", 0, 1), (3, "b", 1, 0), (4, "b", 1, 1), (5, "a", 1, None)],
+                               "id int, c string, y int, fold int")
+    out = TargetEncoder("t", ["c"], "y", smoothing_strength=0.0, fold_col="fold").fit(df).transform(df)
+    got = dict(rows(out, "id", "c_te"))
+    # id 1 (fold 0) sees only fold-1 and fold-less rows of "a": ids 2 and 5 → (0 + 1) / 2
+    assert got[1] == pytest.approx(0.5) and got[2] == pytest.approx(1.0)
+    assert got[5] == pytest.approx(2 / 3)  # no fold: full-data mean of "a"
