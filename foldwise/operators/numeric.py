@@ -325,10 +325,18 @@ class _PowerTransformer(Stage):
     def _check(self, df):
         pass
 
-    def _best(self, x_df, n, j, grid):
+    def _best(self, x_df, grid, nj=None):
+        """Best λ of `grid`; the first pass also returns (n, J) computed in
+        the same aggregate (identical for every λ group)."""
         lam = F.col("lam")
+        aggs = [F.var_pop(self._expr(F.col("x"), lam)).alias("v")]
+        if nj is None:
+            aggs += [F.count(F.lit(1)).alias("n"), F.sum(self._jacobian(F.col("x"))).alias("j")]
         g = (x_df.select("x", F.explode(F.array(*[F.lit(float(v)) for v in grid])).alias("lam"))
-                 .groupBy("lam").agg(F.var_pop(self._expr(F.col("x"), lam)).alias("v")).collect())
+                 .groupBy("lam").agg(*aggs).collect())
+        if nj is None:
+            nj = (g[0]["n"], g[0]["j"]) if g else (0, 0.0)
+        n, j = nj
         best, best_llf = None, -math.inf
         for r in sorted(g, key=lambda r: r["lam"]):
             v = r["v"]
@@ -337,7 +345,7 @@ class _PowerTransformer(Stage):
             llf = (r["lam"] - 1) * j - n / 2.0 * math.log(v)
             if llf > best_llf:
                 best, best_llf = r["lam"], llf
-        return best
+        return best, nj
 
     def fit(self, df):
         require_columns(df, self.cols, self.name)
@@ -349,13 +357,11 @@ class _PowerTransformer(Stage):
             # one narrow column, read by every search pass: spread + keep it
             x_df = spread(df.select(num(c).alias("x")).where(F.col("x").isNotNull()))
             x_df = x_df.persist(StorageLevel.MEMORY_AND_DISK)
-            r = x_df.agg(F.count(F.lit(1)).alias("n"), F.sum(self._jacobian(F.col("x"))).alias("j")).first()
-            n, j = r["n"], r["j"]
-            lam = self._best(x_df, n, j, [k / COARSE_DENOM for k in range(-COARSE_K, COARSE_K + 1)])
+            lam, nj = self._best(x_df, [k / COARSE_DENOM for k in range(-COARSE_K, COARSE_K + 1)])
             for d in ZOOM_DENOMS[: self.zoom_passes]:
                 if lam is None:
                     break
-                lam = self._best(x_df, n, j, [lam + k / d for k in range(-ZOOM_K, ZOOM_K + 1)])
+                lam, _ = self._best(x_df, [lam + k / d for k in range(-ZOOM_K, ZOOM_K + 1)], nj)
             lams[c] = lam
             x_df.unpersist()
         return LiteralFitted(self, lams, lambda d, s: _add(

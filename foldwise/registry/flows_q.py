@@ -144,7 +144,7 @@ def q_fit_ridge(spark, sf):
 def q_fit_linear_svm(spark, sf):
     """Linear SVM (margin output)."""
     train, _ = _doc_features(spark, sf)
-    m = Learner("linear_svm", regParam=0.1, maxIter=50).fit(train, _FEATS, "quality")
+    m = Learner("linear_svm", regParam=0.1, maxIter=20).fit(train, _FEATS, "quality")
     return tidy(m.predict(train).select("doc_id", "prediction"))
 
 

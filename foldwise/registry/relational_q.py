@@ -332,3 +332,12 @@ def q_attach_target(spark, sf):
     """Meta table ⟕ raw target."""
     preds, lab = _model_predictions(spark, sf)
     return tidy(build_meta_table({"a": preds["a"]}, "doc_id", "p", lab, "quality"))
+
+
+@register("read_csv_infer", "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, "
+                            "round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer")
+def q_read_csv_infer(spark, sf):
+    """S1 with schema inference (the reference's raw-file scan)."""
+    path = scratch_path(spark, "csvinfer")
+    table(spark, sf, "customer").write.option("header", "true").csv(path)
+    return tidy(read_csv(spark, path))
