@@ -115,9 +115,10 @@ class RollingStats(StatelessStage):
     timestamp are peers), lagged one row inside the group (ordered by time,
     then `order_col`) so a row only sees strictly earlier rows' windows.
 
-    Skew: a hot group is split into time buckets of width ≥ the largest
-    window. Each bucket also receives, as read-only halo rows, the previous
-    bucket's rows that fall inside the window, so windows are exact per
+    Skew: a group is split into time buckets (default width = the largest
+    window W; `bucket` may be narrower to split a hot key further). Each
+    bucket also receives, as read-only halo rows, the rows of the preceding
+    ⌈W/B⌉ buckets that fall inside the window, so windows are exact per
     bucket; the one-row lag across bucket borders is resolved from a small
     per-bucket "last value" table."""
 
@@ -137,9 +138,8 @@ class RollingStats(StatelessStage):
             if f not in self.FUNCS:
                 raise ValueError(f"unsupported rolling aggregate {f!r}")
         widths = [window_micros(w) for w in self.window_sizes]
-        self.bucket_us = max([window_micros(bucket)] if bucket else []) if bucket else max(widths)
-        if self.bucket_us < max(widths):
-            raise ValueError("bucket must be at least as wide as the largest window")
+        self.bucket_us = window_micros(bucket) if bucket else max(widths)
+        self.halo_buckets = -(-max(widths) // self.bucket_us)  # ceil(W / B)
 
     def out_name(self, value, window, func):
         return f"{'_'.join(self.group_keys)}_{value}_rolling_{window}_{func}"
@@ -159,8 +159,11 @@ class RollingStats(StatelessStage):
                   .withColumn("__b", F.floor(F.col("__t") / F.lit(B)).cast("long")))
         maxw = max(window_micros(w) for w in self.window_sizes)
         owned = base.withColumn("__own", F.lit(True))
-        halo = (base.where(F.col("__t") > (F.col("__b") + 1) * F.lit(B) - F.lit(maxw))
-                    .select(*keys, "__t", (F.col("__b") + 1).alias("__b"), oc,
+        # copy each row into the next ceil(W/B) buckets whose windows reach it
+        ahead = F.explode(F.sequence(F.lit(1), F.lit(self.halo_buckets))).alias("__ahead")
+        halo = (base.select("*", ahead)
+                    .where(F.col("__t") > (F.col("__b") + F.col("__ahead")) * F.lit(B) - F.lit(maxw))
+                    .select(*keys, "__t", (F.col("__b") + F.col("__ahead")).alias("__b"), oc,
                             *[c for c in self.value_cols if c not in keys and c != oc])
                     .withColumn("__own", F.lit(False)))
         both = owned.unionByName(halo, allowMissingColumns=True)

@@ -167,3 +167,29 @@ def q_running_hits(spark, sf):
     ev = table(spark, sf, "events").withColumn("rel", (F.col("event_type") == "purchase").cast("int"))
     out = running_hits(ev, ["user_id"], "value", "rel", tie="event_id")
     return tidy(out.select("user_id", "event_id", "hits", "pos"))
+
+
+def _a2_hot_sql() -> str:
+    us = 86_400_000_000
+    inner = [f"{fn}(value) OVER (PARTITION BY event_type ORDER BY epoch_us(ts) RANGE BETWEEN {us - 1} PRECEDING "
+             f"AND CURRENT ROW) AS r_{f}" for f, fn in _A2_FUNCS.items()]
+    outer = []
+    for f in _A2_FUNCS:
+        lag = f"lag(r_{f}) OVER (PARTITION BY event_type ORDER BY ts, event_id)"
+        n = f"event_type_value_rolling_1D_{f}"
+        # windows of 32/64 rows put 2-decimal means on 6-digit ties: compare means at 9
+        digits = 9 if f == "mean" else 6
+        outer.append(f"CAST({lag} AS BIGINT) AS {n}" if f == "count" else f"round({lag}, {digits}) AS {n}")
+    return f"""
+WITH r AS (SELECT event_id, event_type, ts, {", ".join(inner)} FROM events)
+SELECT CAST(event_id AS BIGINT) AS event_id, event_type, {", ".join(outer)} FROM r"""
+
+
+@register("rolling_stats_hot_key", _a2_hot_sql())
+def q_rolling_stats_hot_key(spark, sf):
+    """A2 keyed by event type (each key ~1/5 of all rows), 1-day windows over
+    6-hour buckets: every hot key is spread over many tasks."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    st = RollingStats("a2h", ["event_type"], "ts", ["value"], ["1D"], list(_A2_FUNCS), order_col="event_id",
+                      bucket="6h")
+    return tidy(st.transform(ev).drop("ts", "value"), overrides={"event_type_value_rolling_1D_mean": 9})

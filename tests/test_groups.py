@@ -43,8 +43,8 @@ def _rolling_reference(pdf, window_us, func):
     return out
 
 
-@pytest.mark.parametrize("func", ["mean", "sum", "count"])
-def test_rolling_matches_brute_force_across_buckets(spark, func):
+@pytest.mark.parametrize("func,bucket", [("mean", None), ("sum", None), ("count", None), ("mean", "5h")])
+def test_rolling_matches_brute_force_across_buckets(spark, func, bucket):
     rng = np.random.default_rng(2)
     n = 200
     ts = pd.to_datetime("2024-01-01") + pd.to_timedelta(rng.integers(0, 10 * 24 * 3600, n), unit="s")
@@ -52,7 +52,7 @@ def test_rolling_matches_brute_force_across_buckets(spark, func):
     pdf.loc[5, "ts"] = pdf.loc[6, "ts"]  # a timestamp tie
     pdf.loc[5, "k"] = pdf.loc[6, "k"]
     df = spark.createDataFrame(pdf)
-    st = RollingStats("r", ["k"], "ts", ["v"], ["1D"], [func], order_col="id")
+    st = RollingStats("r", ["k"], "ts", ["v"], ["1D"], [func], order_col="id", bucket=bucket)
     got = dict(rows(st.transform(df), "id", f"k_v_rolling_1D_{func}"))
     want = _rolling_reference(pdf, 86_400_000_000, func)
     for i in range(n):
