@@ -26,6 +26,33 @@ class Fitted:
     # state table can be applied to a streaming DataFrame unchanged.
     streamable = True
 
+    def release(self) -> None:
+        """Unpersist every persisted DataFrame this fitted stage holds (state
+        tables, indexes). Transforms built afterwards recompute the state
+        from lineage, so call it when the stage is no longer applied."""
+        from pyspark.sql import DataFrame as _DF
+
+        def drop(obj, depth=0):
+            if depth > 3:
+                return
+            if isinstance(obj, _DF):
+                obj.unpersist()
+            elif hasattr(obj, "df") and isinstance(getattr(obj, "df"), _DF):
+                obj.df.unpersist()
+            elif isinstance(obj, dict):
+                for v in obj.values():
+                    drop(v, depth + 1)
+            elif isinstance(obj, (list, tuple)):
+                for v in obj:
+                    drop(v, depth + 1)
+            elif hasattr(obj, "__dict__") and not isinstance(obj, type) and depth < 2 and obj is not self.stage:
+                for v in vars(obj).values():
+                    drop(v, depth + 1)
+
+        for k, v in vars(self).items():
+            if k != "stage":
+                drop(v)
+
 
 class Stage:
     """Base class of every feature stage.

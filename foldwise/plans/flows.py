@@ -127,6 +127,11 @@ class FeatureSetBuilder:
             i += len(group)
         return train, test
 
+    def release(self) -> None:
+        """Unpersist the state held by every fitted stage."""
+        for f in self.fitted:
+            f.release()
+
 
 # ------------------------------------------------------------------ P2, P3
 class OofResult:

@@ -98,3 +98,13 @@ def test_fit_fusion_one_job_same_result(spark):
         sep = st.fit(sep).transform(sep)
     cols = ["id", "x_standard_scaled", "z_minmax_scaled", "x_ew_binned", "z_ew_binned"]
     assert sorted(map(tuple, fused.select(*cols).collect())) == sorted(map(tuple, sep.select(*cols).collect()))
+
+
+def test_release_unpersists_state(spark):
+    df = base(spark)
+    b = FeatureSetBuilder([GroupStats("gs", ["g"], ["x"], ["mean"]), CountFrequencyEncoder("c", ["y"])])
+    b.run(df)
+    st = b.fitted[0].state.df
+    assert st.storageLevel.useMemory or st.storageLevel.useDisk
+    b.release()
+    assert not (st.storageLevel.useMemory or st.storageLevel.useDisk)
