@@ -52,11 +52,14 @@ class GroupStats(Stage):
 
     fit_scope = COMBINED
 
-    def __init__(self, name: str, group_keys, group_values, agg_funcs):
+    def __init__(self, name: str, group_keys, group_values, agg_funcs, approx_median: bool = False,
+                 accuracy: int = 10_000):
         super().__init__(name)
         self.group_keys = list(group_keys)
         self.group_values = list(group_values)
         self.agg_funcs = list(agg_funcs)
+        # scale option: a bounded-memory sketch per group instead of the exact rank method
+        self.approx_median, self.accuracy = approx_median, accuracy
         for f in self.agg_funcs:
             if f not in GROUP_FUNCS:
                 raise ValueError(f"unsupported aggregate {f!r}; choose from {GROUP_FUNCS}")
@@ -75,9 +78,11 @@ class GroupStats(Stage):
             for f in self.agg_funcs:
                 if f != "median":
                     exprs += _agg_exprs(v, f, self.out_name(v, f))
+                elif self.approx_median:
+                    exprs.append(F.percentile_approx(num(v), 0.5, self.accuracy).alias(self.out_name(v, f)))
         state = src.groupBy(*keys).agg(*exprs) if exprs else src.select(*keys).distinct()
         meds = []
-        if "median" in self.agg_funcs:
+        if "median" in self.agg_funcs and not self.approx_median:
             for v in self.group_values:
                 meds.append(grouped_quantiles(src, v, [0.5], keys, [self.out_name(v, "median")]))
         for m in meds:

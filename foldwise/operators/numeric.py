@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import EPS, flag, num, right_closed_bin
 from ..session import spread
 from .base import AggregateFit, Fitted, LiteralFitted, StatelessStage, Stage, require_columns
-from .quantiles import global_quantiles
+from .quantiles import approx_quantiles, global_quantiles
 from .state import StateTable, lookup
 
 
@@ -80,15 +80,21 @@ class EqualWidthBinner(AggregateFit, _Binner):
 
 
 class QuantileBinner(_Binner):
-    """`<c>_q_binned`; edges at the k/n quantiles, duplicates dropped."""
+    """`<c>_q_binned`; edges at the k/n quantiles, duplicates dropped.
+    `approx=True` uses a bounded-memory sketch instead of exact ranks."""
 
     suffix = "q_binned"
 
+    def __init__(self, name: str, cols, n_bins: int = 10, approx: bool = False):
+        super().__init__(name, cols, n_bins)
+        self.approx = approx
+
     def _edges(self, df: DataFrame) -> dict:
         probs = [k / self.n_bins for k in range(self.n_bins + 1)]
         out = {}
         for c in self.cols:
-            qs = [q for q in global_quantiles(df, c, probs) if q is not None]
+            qf = approx_quantiles if self.approx else global_quantiles
+            qs = [q for q in qf(df, c, probs) if q is not None]
             out[c] = sorted(set(qs))
         return out
 
@@ -236,17 +242,19 @@ class MinMaxScaler(AggregateFit, Stage):
 class RobustScaler(Stage):
     """`(x - median) / (q_hi - q_lo)`; a zero range divides by 1."""
 
-    def __init__(self, name: str, cols, quantile_range=(25.0, 75.0), with_centering=True, with_scaling=True):
+    def __init__(self, name: str, cols, quantile_range=(25.0, 75.0), with_centering=True, with_scaling=True,
+                 approx: bool = False):
         super().__init__(name)
         self.cols = list(cols)
         self.q = tuple(float(x) / 100.0 for x in quantile_range)
-        self.with_centering, self.with_scaling = with_centering, with_scaling
+        self.with_centering, self.with_scaling, self.approx = with_centering, with_scaling, approx
 
     def fit(self, df):
         require_columns(df, self.cols, self.name)
         st = {}
         for c in self.cols:
-            lo, med, hi = global_quantiles(df, c, [self.q[0], 0.5, self.q[1]])
+            qf = approx_quantiles if self.approx else global_quantiles
+            lo, med, hi = qf(df, c, [self.q[0], 0.5, self.q[1]])
             rng = hi - lo
             st[c] = (med if self.with_centering else 0.0,
                      (rng if rng != 0 else 1.0) if self.with_scaling else 1.0)

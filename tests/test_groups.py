@@ -94,3 +94,18 @@ def test_global_index_dense(spark):
     idx = global_index(df.repartition(5), ["k"], "i").toPandas()
     assert sorted(idx["i"]) == list(range(1000))
     assert (idx.sort_values("k")["i"].to_numpy() == np.arange(1000)).all()
+
+
+def test_approx_options_close_to_exact(spark):
+    from foldwise.operators.numeric import QuantileBinner, RobustScaler
+
+    rng = np.random.default_rng(9)
+    pdf = pd.DataFrame({"id": range(2000), "k": rng.integers(0, 3, 2000), "v": rng.normal(size=2000)})
+    df = spark.createDataFrame(pdf)
+    ex = GroupStats("g", ["k"], ["v"], ["median"]).fit(df).state.df.toPandas().set_index("k")
+    ap = GroupStats("g", ["k"], ["v"], ["median"], approx_median=True).fit(df).state.df.toPandas().set_index("k")
+    assert np.allclose(ex["k_median_v"], ap.loc[ex.index, "k_median_v"], atol=0.05)
+    e1 = QuantileBinner("q", ["v"], 4).fit(df).state["v"]
+    e2 = QuantileBinner("q", ["v"], 4, approx=True).fit(df).state["v"]
+    assert np.allclose(e1, e2, atol=0.05)
+    assert RobustScaler("r", ["v"], approx=True).fit(df).state["v"][1] > 0
