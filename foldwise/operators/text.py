@@ -155,6 +155,33 @@ class _BowFitted(Fitted):
         super().__init__(stage)
         self.vocab, self.n_docs = vocab, n_docs
 
+    def to_vectors(self, df, out: str = "features", max_vocab: int = 1_000_000):
+        """Vector form for Spark ML learners: one SparseVector per row over
+        the fitted vocabulary (sorted terms) — term counts, or for tf-idf the
+        idf-weighted counts scaled to unit L2 norm. Built from Spark ML
+        transformers (CountVectorizerModel, ElementwiseProduct, Normalizer);
+        the vocabulary itself is the only thing collected, and its size is
+        checked against `max_vocab`."""
+        import math as _m
+
+        from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+        from pyspark.ml.linalg import Vectors
+
+        s = self.stage
+        rows = self.vocab.df.select("term", "df").orderBy("term").limit(max_vocab + 1).collect()
+        if len(rows) > max_vocab:
+            raise ValueError(f"vocabulary larger than {max_vocab}; use the long form or set max_features")
+        vocab = [r["term"] for r in rows]
+        tok = df.withColumn("__tok", tokens(F.col(s.col), s.ngram_range, s.stop_words))
+        if not isinstance(s, TfidfVectorizer):
+            cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="__tok", outputCol=out)
+            return cv.transform(tok).drop("__tok")
+        idf = [_m.log((1.0 + self.n_docs) / (r["df"] + 1)) + 1 for r in rows]
+        cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="__tok", outputCol="__tf")
+        weighted = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="__tf", outputCol="__w")
+        norm = Normalizer(p=2.0, inputCol="__w", outputCol=out)
+        return norm.transform(weighted.transform(cv.transform(tok))).drop("__tok", "__tf", "__w")
+
     def transform(self, df):
         s = self.stage
         tc = s._term_counts(df)

@@ -77,3 +77,16 @@ def test_knn_features_population_std(spark):
     # id 1 (x=0): neighbours id 4 (x=NULL→0, d=0) and id 2 (d=1)
     assert r[1]["nn_dist_mean"] == pytest.approx(0.5) and r[1]["nn_dist_std"] == pytest.approx(0.5)
     assert r[1]["nn_t_neighbor_mean"] == pytest.approx(5.0)
+
+
+def test_vector_form_equals_long_form(spark):
+    docs = ["a cat sat", "the cat", "dog dog cat", ""]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, t string")
+    for cls, prefix in ((CountVectorizer, "countvec"), (TfidfVectorizer, "tfidf")):
+        f = cls("v", "t", "id").fit(df)
+        longf = {(r["id"], r["feature"]): r["value"] for r in f.transform(df).collect()}
+        vocab = sorted({feat[len(prefix) + 3:] for _, feat in longf})
+        for r in f.to_vectors(df).collect():
+            v = r["features"].toArray()
+            for j, term in enumerate(vocab):
+                assert v[j] == pytest.approx(longf.get((r["id"], f"{prefix}_t_{term}"), 0.0))
