@@ -144,7 +144,7 @@ def q_word_vector_pool(spark, sf):
 @register("token_embedding_pool", """
 WITH e AS (SELECT label, vec_id, CAST(embedding[1] >= 0 AS DOUBLE) AS m, embedding FROM embeddings),
 x AS (SELECT label, m, generate_subscripts(embedding, 1) - 1 AS dim, unnest(embedding) AS v FROM e)
-SELECT label, CAST(dim AS BIGINT) AS dim, round(sum(v * m) / greatest(sum(m), 1e-9), 6) AS value
+SELECT CAST(label AS BIGINT) AS label, CAST(dim AS BIGINT) AS dim, round(sum(v * m) / greatest(sum(m), 1e-9), 6) AS value
 FROM x GROUP BY label, dim""")
 def q_token_embedding_pool(spark, sf):
     """X5 mean pooling: each label is a sequence, its rows the tokens (ordered
@@ -156,7 +156,8 @@ def q_token_embedding_pool(spark, sf):
 
 @register("token_embedding_cls", """
 WITH f AS (SELECT label, arg_min(embedding, vec_id) AS emb FROM embeddings GROUP BY label)
-SELECT label, CAST(generate_subscripts(emb, 1) - 1 AS BIGINT) AS dim, round(CAST(unnest(emb) AS DOUBLE), 6) AS value FROM f""")
+SELECT CAST(label AS BIGINT) AS label, CAST(generate_subscripts(emb, 1) - 1 AS BIGINT) AS dim,
+  round(CAST(unnest(emb) AS DOUBLE), 6) AS value FROM f""")
 def q_token_embedding_cls(spark, sf):
     e = table(spark, sf, "embeddings").withColumn("mask", F.lit(1))
     p = pool_token_embeddings(e, "label", "vec_id", "embedding", "mask", "cls", "pooled")
