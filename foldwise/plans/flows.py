@@ -151,7 +151,7 @@ def train_oof(train: DataFrame, features, target: str, id_col: str, split, learn
     spark = train.sparkSession
     oofs, tests, scores, models = [], [], [], []
     for fold, tr, va in split.pairs(train):
-        model = learner.fit(tr, features, target)
+        model = learner.fit(tr, features, target, valid=va)  # valid = eval set (early stopping)
         models.append(model)
         pv = model.predict(va, pred_col).select(id_col, target, pred_col).withColumn("fold", F.lit(fold))
         oofs.append(pv)

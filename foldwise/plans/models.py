@@ -41,14 +41,23 @@ def _estimator(kind: str, task: str, params: dict):
 
 
 class Learner:
-    def __init__(self, kind: str = "gbt", task: str = "classification", **params):
+    """`early_stopping=True` (GBT only): when the flow passes a validation
+    frame (the fold's valid rows, like an eval set), boosting stops once the
+    validation error stops improving (`validationIndicatorCol`)."""
+
+    def __init__(self, kind: str = "gbt", task: str = "classification", early_stopping: bool = False, **params):
         if kind not in KINDS:
             raise ValueError(f"unknown learner {kind!r}; choose from {KINDS}")
-        self.kind, self.task, self.params = kind, task, params
-
-    def fit(self, df: DataFrame, features, label: str) -> "FittedModel":
-        data = assemble(df, features).withColumn("__label", F.col(label).cast("double"))
-        model = _estimator(self.kind, self.task, self.params).fit(data.where(F.col("__label").isNotNull()))
+        self.kind, self.task, self.params, self.early_stopping = kind, task, params, early_stopping
+
+    def fit(self, df: DataFrame, features, label: str, valid: DataFrame | None = None) -> "FittedModel":
+        params = dict(self.params)
+        src = df.withColumn("__valid", F.lit(False))
+        if valid is not None and self.early_stopping and self.kind == "gbt":
+            src = src.unionByName(valid.withColumn("__valid", F.lit(True)))
+            params["validationIndicatorCol"] = "__valid"
+        data = assemble(src, features).withColumn("__label", F.col(label).cast("double"))
+        model = _estimator(self.kind, self.task, params).fit(data.where(F.col("__label").isNotNull()))
         return FittedModel(model, features, self.kind, self.task)
 
 

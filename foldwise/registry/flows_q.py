@@ -82,8 +82,8 @@ def q_train_oof(spark, sf):
     """5-fold stratified out-of-fold GBT on document text statistics;
     every labelled document gets exactly one OOF prediction."""
     train, test = _doc_features(spark, sf)
-    res = train_oof(train, _FEATS, "quality", "doc_id", _fold5(), Learner("gbt", maxIter=10, maxDepth=3),
-                    RocAuc(), test=test)
+    res = train_oof(train, _FEATS, "quality", "doc_id", _fold5(),
+                    Learner("gbt", early_stopping=True, maxIter=10, maxDepth=3), RocAuc(), test=test)
     return tidy(res.oof.select("doc_id", "fold", "oof_pred"))
 
 
