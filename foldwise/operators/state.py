@@ -15,14 +15,24 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 DEFAULT_BROADCAST_ROWS = 100_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def _size_in_bytes(df: DataFrame) -> int | None:
+    """Spark's own size statistic of a (materialised) plan, if available."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics are best effort
+        return None
 
 
 class StateTable:
     """A materialised, counted state table."""
 
-    def __init__(self, df: DataFrame, rows: int):
+    def __init__(self, df: DataFrame, rows: int, size: int | None = None):
         self.df = df
         self.rows = rows
+        self.size = size
 
     @classmethod
     def build(cls, df: DataFrame, checkpoint: bool = False) -> "StateTable":
@@ -30,12 +40,15 @@ class StateTable:
         from lineage; `checkpoint=True` writes to the shared checkpoint folder
         instead (iterative flows, long stage chains)."""
         mat = cut_lineage(df) if checkpoint else df.persist(StorageLevel.MEMORY_AND_DISK)
-        return cls(mat, mat.count())
+        rows = mat.count()
+        return cls(mat, rows, _size_in_bytes(mat))
 
     def broadcastable(self) -> bool:
+        """Both the row count and the measured size must be under the caps."""
         spark = self.df.sparkSession
         cap = int(spark.conf.get("foldwise.broadcast.maxRows", str(DEFAULT_BROADCAST_ROWS)))
-        return self.rows <= cap
+        cap_b = int(spark.conf.get("foldwise.broadcast.maxBytes", str(DEFAULT_BROADCAST_BYTES)))
+        return self.rows <= cap and (self.size is None or self.size <= cap_b)
 
     def side(self) -> DataFrame:
         return F.broadcast(self.df) if self.broadcastable() else self.df

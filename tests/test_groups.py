@@ -109,3 +109,20 @@ def test_approx_options_close_to_exact(spark):
     e2 = QuantileBinner("q", ["v"], 4, approx=True).fit(df).state["v"]
     assert np.allclose(e1, e2, atol=0.05)
     assert RobustScaler("r", ["v"], approx=True).fit(df).state["v"][1] > 0
+
+
+def test_state_table_broadcast_caps(spark):
+    from foldwise.operators.state import StateTable
+
+    st = StateTable.build(spark.range(100).selectExpr("id", "array_repeat(cast(id as double), 32) as v"))
+    assert st.rows == 100 and st.size and st.size > 0 and st.broadcastable()
+    spark.conf.set("foldwise.broadcast.maxBytes", "10")
+    try:
+        assert not st.broadcastable()
+    finally:
+        spark.conf.unset("foldwise.broadcast.maxBytes")
+    spark.conf.set("foldwise.broadcast.maxRows", "10")
+    try:
+        assert not st.broadcastable()
+    finally:
+        spark.conf.unset("foldwise.broadcast.maxRows")
