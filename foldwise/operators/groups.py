@@ -131,8 +131,14 @@ class RollingStats(StatelessStage):
     FUNCS = ("mean", "sum", "count", "min", "max", "std")
 
     def __init__(self, name: str, group_keys, date_col: str, value_cols, window_sizes, agg_funcs,
-                 order_col: str | None = None, bucket: str | None = None):
+                 order_col: str | None = None, bucket: str | None = None, transform_scope: str = "split"):
         super().__init__(name)
+        # "split": train and test windows are computed separately (reference
+        # behaviour); "combined": a feature-set build computes them over
+        # train ∪ test, so test rows see the latest train history
+        if transform_scope not in ("split", "combined"):
+            raise ValueError("transform_scope must be 'split' or 'combined'")
+        self.transform_scope = transform_scope
         self.group_keys = list(group_keys)
         self.date_col = date_col
         self.value_cols = list(value_cols)

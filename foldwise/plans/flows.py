@@ -118,8 +118,11 @@ class FeatureSetBuilder:
                 fits = [group[0].fit(self._scope(group[0], train, test))]
             for f in fits:
                 self.fitted.append(f)
-                train = f.transform(train)
-                test = f.transform(test) if test is not None else None
+                if test is not None and getattr(f.stage, "transform_scope", "split") == "combined":
+                    train, test = self._transform_combined(f, train, test)
+                else:
+                    train = f.transform(train)
+                    test = f.transform(test) if test is not None else None
                 n += 1
                 if self.checkpoint_every and n % self.checkpoint_every == 0:
                     train = cut_lineage(train)
@@ -127,6 +130,19 @@ class FeatureSetBuilder:
             i += len(group)
         return train, test
 
+    @staticmethod
+    def _transform_combined(f, train, test):
+        """Transform train ∪ test in one plan, then split back (each side
+        keeps its own columns plus the new ones)."""
+        tr_cols, te_cols = list(train.columns), list(test.columns)
+        u = train.withColumn("__split", F.lit(0)).unionByName(test.withColumn("__split", F.lit(1)),
+                                                                allowMissingColumns=True)
+        out = f.transform(u)
+        new = [c for c in out.columns if c not in set(tr_cols) | set(te_cols) | {"__split"}]
+        tr = out.where(F.col("__split") == 0).select(*tr_cols, *new)
+        te = out.where(F.col("__split") == 1).select(*te_cols, *new)
+        return tr, te
+
     def release(self) -> None:
         """Unpersist the state held by every fitted stage."""
         for f in self.fitted:

@@ -108,3 +108,16 @@ def test_release_unpersists_state(spark):
     assert st.storageLevel.useMemory or st.storageLevel.useDisk
     b.release()
     assert not (st.storageLevel.useMemory or st.storageLevel.useDisk)
+
+
+def test_rolling_over_combined_scope(spark):
+    rows = [(i, 1, f"2024-01-0{1 + i // 2} 0{i % 2}:00:00", float(i)) for i in range(6)]
+    df = spark.createDataFrame(rows, "id int, k int, ts string, v double").withColumn("ts", F.to_timestamp("ts"))
+    train, test = df.where("id < 4"), df.where("id >= 4").drop("v").withColumn("v", F.lit(10.0))
+    mk = lambda scope: RollingStats("r", ["k"], "ts", ["v"], ["2D"], ["count"], order_col="id", transform_scope=scope)
+    _, te_split = FeatureSetBuilder([mk("split")]).run(train, test)
+    _, te_comb = FeatureSetBuilder([mk("combined")]).run(train, test)
+    split = dict(te_split.select("id", "k_v_rolling_2D_count").collect())
+    comb = dict(te_comb.select("id", "k_v_rolling_2D_count").collect())
+    assert split[4] is None  # first test row has no history of its own
+    assert comb[4] is not None and comb[4] >= 2  # sees the last train rows
