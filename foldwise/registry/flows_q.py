@@ -83,7 +83,7 @@ def q_train_oof(spark, sf):
     every labelled document gets exactly one OOF prediction."""
     train, test = _doc_features(spark, sf)
     res = train_oof(train, _FEATS, "quality", "doc_id", _fold5(),
-                    Learner("gbt", early_stopping=True, maxIter=10, maxDepth=3), RocAuc(), test=test)
+                    Learner("gbt", early_stopping=True, maxIter=5, maxDepth=3), RocAuc(), test=test)
     return tidy(res.oof.select("doc_id", "fold", "oof_pred"))
 
 
@@ -167,13 +167,13 @@ def q_rank_features(spark, sf):
 
 @register("stack")
 def q_stack(spark, sf):
-    """Logistic meta model over three models' out-of-fold predictions
+    """Logistic meta model over two models' out-of-fold predictions
     (3 stratified folds)."""
     train, test = _doc_features(spark, sf)
     folds = StratifiedKFold(3, y_col="quality", id_col="doc_id")
     preds, tests = {}, {}
-    for name, lr in (("gbt", Learner("gbt", maxIter=5, maxDepth=3)), ("rf", Learner("forest", numTrees=10, seed=42)),
-                     ("lr", Learner("logit", regParam=0.1))):
+    for name, lr in (("rf", Learner("forest", numTrees=5, maxDepth=4, seed=42)),
+                     ("lr", Learner("logit", regParam=0.1, maxIter=20))):
         r = train_oof(train, _FEATS, "quality", "doc_id", folds, lr, test=test)
         preds[name], tests[name] = r.oof, r.test_pred
     meta_tr = build_meta_table(preds, "doc_id", "oof_pred", train, "quality")
@@ -186,7 +186,7 @@ def q_stack(spark, sf):
 def q_search_params(spark, sf):
     """3-trial seeded random search over GBT depth and step size."""
     train, _ = _doc_features(spark, sf)
-    space = {"maxDepth": ("int", 2, 4), "stepSize": ("float", 0.05, 0.3, "log"), "maxIter": ("cat", [5, 10])}
+    space = {"maxDepth": ("int", 2, 4), "stepSize": ("float", 0.05, 0.3, "log"), "maxIter": ("cat", [3, 5])}
     out = search_params(train, _FEATS, "quality", "doc_id", KFold(3, id_col="doc_id"), "gbt", "classification",
                         space, RocAuc(), n_trials=3)
     return tidy(out)
