@@ -169,15 +169,20 @@ class KFold(_FoldColumn):
         self.id_col, self.shuffle, self.seed, self.order_col = id_col, shuffle, seed, order_col
 
     def assign(self, df):
+        # the index is built on a narrow (id, order key) projection — only
+        # those columns are sorted and checkpointed — and joined back by id
+        ic = self.id_col
         if self.shuffle:
-            keyed = df.withColumn("__h", hash_unit(self.id_col, self.seed))
-            order = ["__h", self.id_col]
+            narrow = df.select(ic, hash_unit(ic, self.seed).alias("__h"))
+            order = ["__h", ic]
         else:
-            keyed = df
-            order = [self.order_col or self.id_col] + ([self.id_col] if self.order_col else [])
+            oc = self.order_col or ic
+            narrow = df.select(ic, *([F.col(oc).alias("__o")] if oc != ic else []))
+            order = (["__o"] if oc != ic else []) + [ic]
         n = df.count()
-        idx = global_index(keyed, order, "__i")
-        return idx.withColumn(self.fold_col, _sized_fold(F.col("__i"), n, self.k)).drop("__i", "__h")
+        idx = global_index(narrow, order, "__i")
+        folds = idx.select(ic, _sized_fold(F.col("__i"), n, self.k).alias(self.fold_col))
+        return df.join(folds, ic, "left")
 
 
 class StratifiedKFold(_FoldColumn):
@@ -190,11 +195,12 @@ class StratifiedKFold(_FoldColumn):
         self.y_col, self.id_col, self.seed = y_col, id_col, seed
 
     def assign(self, df):
-        keyed = df.withColumn("__h", hash_unit(self.id_col, self.seed)).withColumn("__one", F.lit(1))
-        pos = running_totals(keyed, [self.y_col], [F.col("__h").asc(), F.col(self.id_col).asc()],
-                             {"__pos": F.col("__one")})
-        return pos.withColumn(self.fold_col, F.pmod(F.col("__pos") - 1, F.lit(self.k)).cast("int")).drop(
-            "__h", "__one", "__pos")
+        ic, yc = self.id_col, self.y_col
+        keyed = df.select(ic, yc, hash_unit(ic, self.seed).alias("__h"), F.lit(1).alias("__one"))
+        pos = running_totals(keyed, [yc], [F.col("__h").asc(), F.col(ic).asc()], {"__pos": F.col("__one")})
+        folds = pos.select(ic, F.pmod(F.col("__pos") - 1, F.lit(self.k)).cast("int").alias(self.fold_col))
+        # positions come from the narrow (id, class, hash) projection; joined back by id
+        return df.join(folds, ic, "left")
 
 
 class GroupKFold(_FoldColumn):
