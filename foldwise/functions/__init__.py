@@ -1,0 +1 @@
+"""Column-expression helpers (built-in Spark SQL functions only)."""

@@ -1,0 +1 @@
+"""Validation splits, Spark ML learners and the training flows that chain stages."""

@@ -1,0 +1 @@
+"""Scans and sinks: CSV / parquet, feature sets, predictions, feature lists, word vectors."""

@@ -1,0 +1 @@
+"""Fitted stages applied to streaming DataFrames."""
