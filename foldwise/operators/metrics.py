@@ -262,7 +262,7 @@ class TopKAccuracy(Metric):
         dt = df.select(_c(p).alias("__p")).schema["__p"].dataType.simpleString()
         scores = _c(p) if dt.startswith("array") else F.array(1 - _c(p), _c(p))
         yy = _c(y).cast("int")
-        st = F.element_at(scores, yy + 1)
+        st = F.try_element_at(scores, yy + 1)  # a label outside the vector → NULL, not an error
         idx = F.sequence(F.lit(0), F.size(scores) - 1)
         ahead = F.size(F.filter(F.arrays_zip(scores.alias("s"), idx.alias("i")),
                                 lambda e: (e["s"] > st) | ((e["s"] == st) & (e["i"] > yy))))
