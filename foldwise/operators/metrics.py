@@ -266,7 +266,8 @@ class TopKAccuracy(Metric):
         idx = F.sequence(F.lit(0), F.size(scores) - 1)
         ahead = F.size(F.filter(F.arrays_zip(scores.alias("s"), idx.alias("i")),
                                 lambda e: (e["s"] > st) | ((e["s"] == st) & (e["i"] > yy))))
-        return self._agg(df, by, F.avg((ahead < self.k).cast("double")))
+        hit = F.when(st.isNull(), F.lit(0.0)).otherwise((ahead < self.k).cast("double"))
+        return self._agg(df, by, F.avg(hit))
 
 
 class MapAtK(Metric):

@@ -86,3 +86,8 @@ def test_map_at_k_divides_by_all_relevant(spark):
     df = spark.createDataFrame(data, "g string, id int, y int, s double")
     # u1 top-2: [1, 0] → AP = (1/1) / 2 relevant = 0.5 ; u2 has none → 0
     assert MapAtK(2, "g", "id")(df, "y", "s") == pytest.approx(0.25)
+
+
+def test_top_k_label_outside_scores_is_a_miss(spark):
+    df = spark.createDataFrame([(5, [0.2, 0.8]), (1, [0.1, 0.9])], "y int, s array<double>")
+    assert TopKAccuracy(1)(df, "y", "s") == pytest.approx(0.5)
