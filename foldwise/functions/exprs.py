@@ -16,8 +16,9 @@ def col(c) -> Column:
 
 
 def num(c) -> Column:
-    """Numeric value as double with NaN normalised to NULL."""
-    x = col(c).cast("double")
+    """Numeric value as double with NaN normalised to NULL; text that is not a
+    number becomes NULL instead of failing under ANSI mode."""
+    x = col(c).try_cast("double")
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 

@@ -313,8 +313,9 @@ class WoEEncoder(_CatStage):
         for c in self.cols:
             g = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"),
                                                               F.sum(t).alias("__p"))
-            woe = F.log(((F.col("__p") + F.lit(self.eps)) / F.lit(P))
-                        / ((F.col("__n") - F.col("__p") + F.lit(self.eps)) / F.lit(N)))
+            # a target class absent from the fit data gives NULL (→ the unseen default), not an error
+            woe = F.log(F.try_divide(F.try_divide(F.col("__p") + F.lit(self.eps), F.lit(P)),
+                                     F.try_divide(F.col("__n") - F.col("__p") + F.lit(self.eps), F.lit(N))))
             states[c] = StateTable.build(g.select(c, woe.alias("__v")))
         return _LookupFitted(self, states, {c: (f"{c}_woe", 0.0) for c in self.cols}, drop=True)
 
