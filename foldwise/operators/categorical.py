@@ -233,7 +233,7 @@ class TargetEncoder(_CatStage):
         if self.fold_col is not None:
             return self._fit_oof(df)
         require_columns(df, self.cols + [self.target_col], self.name)
-        y = F.col(self.target_col).cast("double")
+        y = F.col(self.target_col).try_cast("double")
         gm = df.agg(F.avg(y)).first()[0]
         states = {}
         for c in self.cols:
@@ -249,7 +249,7 @@ class TargetEncoder(_CatStage):
     def _fit_oof(self, df):
         fc = self.fold_col
         require_columns(df, self.cols + [self.target_col, fc], self.name)
-        y = F.col(self.target_col).cast("double")
+        y = F.col(self.target_col).try_cast("double")
         base = df.where(y.isNotNull())
         folds = {r[0]: (r[1], r[2]) for r in base.where(F.col(fc).isNotNull()).groupBy(fc)
                  .agg(F.sum(y), F.count(y)).collect()}  # one row per fold

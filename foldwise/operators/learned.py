@@ -17,7 +17,7 @@ def assemble(df: DataFrame, cols, out: str = "__features") -> DataFrame:
 
     if isinstance(cols, str):
         return df.withColumn(out, array_to_vector(F.col(cols).cast("array<double>")))
-    arr = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols])
+    arr = F.array(*[F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in cols])
     return df.withColumn(out, array_to_vector(arr))
 
 
@@ -91,7 +91,7 @@ class TreeLeafFeature(Stage):
         from pyspark.ml.functions import vector_to_array
         from pyspark.ml.regression import RandomForestRegressor
 
-        data = assemble(df, self.cols).withColumn("__label", F.col(self.target).cast("double"))
+        data = assemble(df, self.cols).withColumn("__label", F.col(self.target).try_cast("double"))
         cls = RandomForestClassifier if self.task == "classification" else RandomForestRegressor
         m = cls(numTrees=self.n_trees, maxDepth=self.max_depth, seed=self.seed, featuresCol="__features",
                 labelCol="__label", leafCol="__leaf").fit(data.where(F.col("__label").isNotNull()))

@@ -145,7 +145,10 @@ class ValueIndicator(StatelessStage):
 
     def apply(self, df):
         tag = str(self.value).replace("-", "neg")
-        return _add(df, {f"{c}_is_{tag}": flag(F.col(c) == F.lit(self.value)) for c in self.cols})
+        numeric = isinstance(self.value, (int, float)) and not isinstance(self.value, bool)
+        # numeric values compare numerically (text that is not a number → no flag)
+        lhs = (lambda c: num(c)) if numeric else (lambda c: F.col(c))
+        return _add(df, {f"{c}_is_{tag}": flag(lhs(c) == F.lit(self.value)) for c in self.cols})
 
 
 class IsNullIndicator(StatelessStage):

@@ -56,7 +56,7 @@ class Learner:
         if valid is not None and self.early_stopping and self.kind == "gbt":
             src = src.unionByName(valid.withColumn("__valid", F.lit(True)))
             params["validationIndicatorCol"] = "__valid"
-        data = assemble(src, features).withColumn("__label", F.col(label).cast("double"))
+        data = assemble(src, features).withColumn("__label", F.col(label).try_cast("double"))
         model = _estimator(self.kind, self.task, params).fit(data.where(F.col("__label").isNotNull()))
         return FittedModel(model, features, self.kind, self.task)
 
