@@ -57,6 +57,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def ship_package() -> None:
+    """Send this package's functions to Python workers by value, so that jobs
+    also run where the workers can't import it (another working directory, a
+    cluster without the package installed)."""
+    import foldwise
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(foldwise)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
