@@ -90,6 +90,22 @@ class Texts:
         return h
 
 
+BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _K0)
+
+
+def byte_gram32(t: Texts) -> np.ndarray:
+    """Hash of every 32 consecutive bytes."""
+    n = len(t.data) - 31
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    v = t.load8()
+    g = v[:n] * _K0
+    for j in (8, 16, 24):
+        g += v[j:n + j]
+        g *= _K1 if j != 16 else _K2
+    return mix(g)
+
+
 def gram_hash(h: np.ndarray, k: int) -> np.ndarray:
     """Hash of every k consecutive items (row borders are not looked at)."""
     n = len(h) - k + 1
@@ -125,21 +141,26 @@ def within_rows(bounds: np.ndarray, size: int, n: int) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def window_min_at(g: np.ndarray, w: int) -> np.ndarray:
+def window_min_at(g: np.ndarray, w: int, block: int = 1 << 20) -> np.ndarray:
     """Position of the smallest of every w consecutive hashes; of equal ones
-    the leftmost. Positions must fit 24 bits (slices are far smaller)."""
-    n = len(g)
-    if n < w:
+    the leftmost. The hash keeps 40 bits in the comparison, the position 24."""
+    n = len(g) - w + 1
+    if n <= 0:
         return np.zeros(0, np.int64)
     low = U((1 << 24) - 1)
-    m = (g & ~low) | np.arange(n, dtype=np.uint64)
-    size = 1
-    while size * 2 <= w:
-        m = np.minimum(m[:-size], m[size:])
-        size *= 2
-    if size < w:
-        m = np.minimum(m[:n - w + 1], m[w - size:])
-    return (m & low).astype(np.int64)
+    out = np.empty(n, np.int64)
+    for s in range(0, n, block):
+        m = g[s:min(s + block, n) + w - 1]
+        m = (m & ~low) | np.arange(len(m), dtype=np.uint64)
+        size, total = 1, len(m)
+        while size * 2 <= w:
+            m = np.minimum(m[:-size], m[size:])
+            size *= 2
+        if size < w:
+            k = total - w + 1
+            m = np.minimum(m[:k], m[w - size:w - size + k])
+        out[s:s + block] = (m & low).astype(np.int64) + s
+    return out
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):

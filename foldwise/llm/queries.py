@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam
+from . import decontam, rlz
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,27 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_hit", "n_items",
                       F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
                       "contaminated")
+
+
+# ------------------------------------------------------------------ 2
+_WORDS = "list_filter(regexp_split_to_array({t}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce({_WORDS.format(t='text')}, []) AS w FROM documents),
+g AS (SELECT doc_id, i, list_slice(w, i, i + 12) AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+f AS (SELECT g, min(doc_id) AS low FROM g GROUP BY g HAVING min(doc_id) < max(doc_id)),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (g) WHERE doc_id > low),
+w AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d WHERE len(w) > 0),
+k AS (SELECT w.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS kept
+      FROM w ANTI JOIN r ON w.doc_id = r.doc_id AND w.p = r.p GROUP BY w.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+
+@register("op2_substring_dedup_rlz", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document after removing what smaller documents hold."""
+    return rlz.factor(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
