@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, rlz
+from . import decontam, rlz, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,12 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every document after removing what smaller documents hold."""
     return rlz.factor(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+# ------------------------------------------------------------------ 8
+@register("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left of every document after removing repeated 200-byte strings."""
+    return suffix_dedup.repeats_removed(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
