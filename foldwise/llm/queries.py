@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, rlz, suffix_dedup
+from . import decontam, mixing, rlz, suffix_dedup
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeats_removed(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# ------------------------------------------------------------------ 6
+@register("op6_source_mixing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
