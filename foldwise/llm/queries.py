@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, mixing, rlz, suffix_dedup
-from .common import table
+from . import decontam, langid, mixing, rlz, suffix_dedup
+from .common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -97,3 +97,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 7
+@register("op7_language_id")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, by a network trained on the rows not held out."""
+    docs = table(spark, sf_dir, "documents")
+    fit = docs.where(~is_held_out("doc_id")).select(F.col("doc_id").alias("id"), "text", "lang")
+    return langid.predict(docs, langid.train(fit)).select(
+        "doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score")
