@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, rlz, suffix_dedup
+from . import decontam, langid, mixing, rlz, suffix_dedup, toxicity
 from .common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     fit = docs.where(~is_held_out("doc_id")).select(F.col("doc_id").alias("id"), "text", "lang")
     return langid.predict(docs, langid.train(fit)).select(
         "doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+# ------------------------------------------------------------------ 1
+TOXIC_AT = 0.3
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the rows not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~is_held_out("doc_id")))
+    return toxicity.score(docs, model).select(
+        "doc_id", is_held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), F.size("segments").cast("long").alias("n_segments"))
