@@ -17,9 +17,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: lineage is cut and
-    no executor holds the only copy."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    no executor holds the only copy. The shuffle files behind it are deleted
+    when the write ends, so read the result, not `df`, from then on."""
+    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(cleanup, "false")
+    conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(cleanup, before)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

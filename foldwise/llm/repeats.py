@@ -21,14 +21,21 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, tasks_for
 from .kernels import (BYTE, SPACE, Texts, byte_gram32, gram_hash, mix, run_hash, signed, slices, window_min_at,
                       within_rows)
 
-RUN = "key long, ctx long, d long, th long, at int, n int, same int, ref long, settled boolean"
+RUN = "key long, ctx long, d long, place long"
+# place: first window 31 bits, text hash 20, windows 11, settled 1, repeated 1
+TH_BITS, N_BITS = 20, 11
+
+
+def text_tag(text) -> Column:
+    """Tells texts of rows with equal `d` apart."""
+    return F.pmod(F.hash(text), F.lit(1 << TH_BITS)).cast("int")
 
 
 def word_runs(size: int, gram: int = 4) -> Callable:
@@ -68,32 +75,40 @@ def _rows(part: pa.RecordBatch, kernel: Callable, size: int, ordered: bool):
     d = np.asarray(part.column("d"))[row]
     th = np.asarray(part.column("th"))[row]
     # merge equal runs of the slice
-    order = np.lexsort((d, key, ctx))
-    key, ctx, d, th, at, n = key[order], ctx[order], d[order], th[order], at[order], n[order]
-    first = np.ones(len(key), bool)
-    first[1:] = (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1])
+    order = np.lexsort((at, d, key, ctx))
+    k, c, dd, aa = key[order], ctx[order], d[order], at[order]
+    first = np.ones(len(k), bool)
+    first[1:] = (k[1:] != k[:-1]) | (c[1:] != c[:-1])
     f = np.flatnonzero(first)
-    count = np.diff(np.append(f, len(key)))
-    low = np.repeat(d[f], count)
+    count = np.diff(np.append(f, len(k)))
+    low = np.repeat(dd[f], count)
+    keep = np.ones(len(k), bool)
     if ordered:
-        settled = d > low
-        same = np.ones(len(key), np.int32)
+        settled = dd > low
+        again = np.zeros(len(k), bool)
     else:
         settled = ~first
-        same = np.repeat(count, count).astype(np.int32)
-    # settled rows travel alone
-    lone = mix(key ^ (ctx * np.uint64(3)) ^ np.arange(len(key), dtype=np.uint64))
-    key, ctx = np.where(settled, lone, key), np.where(settled, lone, ctx)
+        again = np.repeat(count > 1, count)
+        keep[1:] = first[1:] | (dd[1:] != dd[:-1]) | (aa[1:] != aa[:-1])  # copies of a text: one row
+    # settled rows travel alone, with the reference in place of the text
+    lone = mix(k ^ (c * np.uint64(3)) ^ np.arange(len(k), dtype=np.uint64))
+    k = np.where(settled, lone, k)
+    c = np.where(settled, low, signed(c))
+    place = ((aa.astype(np.uint64) << np.uint64(33)) | (th[order].astype(np.uint64) << np.uint64(13))
+             | (n[order].astype(np.uint64) << np.uint64(2)) | (settled.astype(np.uint64) << np.uint64(1))
+             | again.astype(np.uint64))
+    back = np.argsort(order, kind="stable")  # document order compresses best
+    back = back[keep[back]]
     return pa.RecordBatch.from_arrays(
-        [pa.array(signed(key)), pa.array(signed(ctx)), pa.array(d), pa.array(th), pa.array(at.astype(np.int32)),
-         pa.array(n.astype(np.int32)), pa.array(same), pa.array(low), pa.array(settled)],
-        names=["key", "ctx", "d", "th", "at", "n", "same", "ref", "settled"])
+        [pa.array(signed(k)[back]), pa.array(c[back]), pa.array(dd[back]), pa.array(signed(place)[back])],
+        names=["key", "ctx", "d", "place"])
 
 
 def repeated_runs(src: DataFrame, kernel: Callable, size: int, ordered: bool) -> DataFrame:
     """Runs that are repeated (`hit`) or have to be looked at (`check`), from
-    `src` (d long, th long, text): d, th, at, n (windows), ref, hit, check, key,
-    n_ctx (different runs with this gram). Written to the shared folder."""
+    `src` (d long, th: `text_tag`, text): d, th, at, n (windows), ref, hit,
+    check, key, n_ctx (different runs with this gram). Written to the shared
+    folder."""
 
     def run(batches):
         for batch in batches:
@@ -103,28 +118,32 @@ def repeated_runs(src: DataFrame, kernel: Callable, size: int, ordered: bool) ->
                     yield out
 
     runs = src.mapInArrow(run, RUN)
-    runs = runs.repartition(tasks_for(runs), "key")
-    one = Window.partitionBy("key", "ctx").orderBy("d", "th", "at")
+    runs = (runs.repartition(tasks_for(runs), "key")
+            .withColumn("settled", F.col("place").bitwiseAND(2) > 0))
+    one = Window.partitionBy("key", "ctx").orderBy("d", "place")
     text = Window.partitionBy("key", "ctx")
     gram = Window.partitionBy("key")
-    r = (runs.withColumn("rn", F.row_number().over(one))
-         .withColumn("total", F.sum("same").over(text)).withColumn("low", F.min("d").over(text))
+    r = (runs.withColumn("rn", F.row_number().over(one)).withColumn("low", F.min("d").over(text))
          .withColumn("n_ctx", F.sum((F.col("rn") == 1).cast("int")).over(gram)))
     if ordered:
         hit = F.col("settled") | (F.col("d") > F.col("low"))
         check = ~F.col("settled") & (F.col("d") == F.col("low")) & (F.col("n_ctx") > 1)
     else:
+        r = r.withColumn("total", F.max(F.col("place").bitwiseAND(1) + F.col("rn")).over(text))
         hit = F.col("settled") | (F.col("total") > 1)
         check = ~F.col("settled") & (F.col("rn") == 1) & (F.col("n_ctx") > 1)
     r = (r.withColumn("hit", hit).withColumn("check", check).where("hit or check")
-         .select("key", "d", "th", "at", "n", "hit", "check", "n_ctx",
-                 F.when(F.col("settled"), F.col("ref")).otherwise(F.col("low")).alias("ref")))
+         .select("key", "d", F.shiftrightunsigned("place", 33).cast("int").alias("at"),
+                 F.shiftright("place", 13).bitwiseAND((1 << TH_BITS) - 1).cast("int").alias("th"),
+                 F.shiftright("place", 2).bitwiseAND((1 << N_BITS) - 1).cast("int").alias("n"),
+                 "hit", "check", "n_ctx",
+                 F.when(F.col("settled"), F.col("ctx")).otherwise(F.col("low")).alias("ref")))
     return stored(r, "runs")
 
 
 def with_text(texts: DataFrame, rows: DataFrame, what: list[str]) -> DataFrame:
     """Join rows, gathered by text (d, th), to `texts` (d, th, text)."""
-    per = rows.groupBy("d", "th").agg(F.collect_list(F.struct(*what)).alias("rows"))
+    per = rows.groupBy("d", "th").agg(F.collect_set(F.struct(*what)).alias("rows"))
     return texts.join(per, ["d", "th"])
 
 

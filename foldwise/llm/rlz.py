@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import tasks_for
 from .kernels import SPACE, Texts, gram_hash, ragged, signed, slices
-from .repeats import repeated_runs, structs, with_text, word_runs
+from .repeats import repeated_runs, structs, text_tag, with_text, word_runs
 
 WINDOW = 13
 
@@ -32,7 +32,7 @@ def factor(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window:
     """One row per row of docs: doc_id, n_words, n_removed, factors (array of
     at, n, ref: n words from word `at` stand in document `ref`), kept (the words
     outside all factors, joined by one space)."""
-    src = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64(F.col(text)).alias("th"),
+    src = docs.select(F.col(id_col).cast("long").alias("d"), text_tag(text).alias("th"),
                       F.col(text).alias("text"))
     runs = repeated_runs(src.where("d is not null and text is not null"), word_runs(window), window, ordered=True)
     n = tasks_for(docs)
@@ -55,11 +55,11 @@ def factor(docs: DataFrame, id_col: str = "doc_id", text: str = "text", window:
                     names=["h", "d", "th", "at"])
 
     single = with_text(texts, runs.where("check"), ["at", "n"]).mapInArrow(
-        windows, "h long, d long, th long, at int")
+        windows, "h long, d long, th int, at int")
     single = (single.withColumn("ref", F.min("d").over(Window.partitionBy("h"))).where("d > ref")
               .select("d", "th", "at", F.lit(1).alias("n"), "ref"))
     hits = runs.where("hit").select("d", "th", "at", "n", "ref").unionByName(single)
-    per = hits.groupBy("d", "th").agg(F.collect_list(F.struct("at", "n", "ref")).alias("rows"))
+    per = hits.groupBy("d", "th").agg(F.collect_set(F.struct("at", "n", "ref")).alias("rows"))
 
     def parse(batches):
         for batch in batches:

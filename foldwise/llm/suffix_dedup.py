@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import stored, tasks_for
 from .kernels import BYTE, Texts, ragged, run_hash, signed, slices
-from .repeats import byte_runs, repeated_runs, structs, with_text
+from .repeats import byte_runs, repeated_runs, structs, text_tag, with_text
 from .suffix_sort import long_repeats
 
 SIZE = 200
@@ -34,24 +34,24 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     """One row per row of docs: doc_id, n_bytes, n_removed, spans (array of at,
     n: maximal removed runs), kept (remaining bytes). size: at least 32."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                      F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("d"),
-                      F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("text"))
+                      F.xxhash64(F.col(text)).alias("d"), text_tag(text).alias("th"),
+                      F.col(text).alias("text"))
     runs = repeated_runs(src.select("d", "th", "text").where("text is not null"), byte_runs(size), size,
                          ordered=False)
     texts = src.repartition(tasks_for(docs), "d", "th")
     check = runs.where("check")
     pieces = (with_text(texts, check.where(F.col("n_ctx") <= crowd), ["key", "at", "n"])
-              .mapInArrow(_cut(size), "key long, d long, th long, at int, n int, piece binary"))
+              .mapInArrow(_cut(size), "key long, d long, th int, at int, n int, piece binary"))
     pieces = pieces.repartition(tasks_for(docs), "key").sortWithinPartitions("key")
-    found = pieces.mapInArrow(_sort(size), "d long, th long, at int, n int")
+    found = pieces.mapInArrow(_sort(size), "d long, th int, at int, n int")
     hits = runs.where("hit").select("d", "th", "at", "n").unionByName(found)
     crowded = check.where(F.col("n_ctx") > crowd)
     if not crowded.isEmpty():
         single = stored(with_text(texts, crowded, ["at", "n"]).mapInArrow(
-            _strings(size), "h long, i long, d long, th long, at int"), "strings")
+            _strings(size), "h long, i long, d long, th int, at int"), "strings")
         often = single.groupBy("h", "i").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
         hits = hits.unionByName(single.join(often, ["h", "i"]).select("d", "th", "at", F.lit(1).alias("n")))
-    per = hits.groupBy("d", "th").agg(F.collect_list(F.struct("at", "n")).alias("rows"))
+    per = hits.groupBy("d", "th").agg(F.collect_set(F.struct("at", "n")).alias("rows"))
     return texts.join(per, ["d", "th"], "left").mapInArrow(
         _rest(size), "doc_id long, n_bytes long, n_removed long, spans array<struct<at: long, n: long>>, kept binary")
 
