@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, rlz, suffix_dedup, toxicity
+from . import decontam, langid, mixing, ngram_join, rlz, suffix_dedup, toxicity
 from .common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,29 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", is_held_out("doc_id").alias("held_out"), "score",
         (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), F.size("segments").cast("long").alias("n_segments"))
+
+
+# ------------------------------------------------------------------ 5
+_LOW = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP5_SQL = f"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT doc_id, coalesce({_WORDS.format(t=_LOW.format(t='text'))}, []) AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, hash(list_slice(w, i, i + 4)) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+l AS MATERIALIZED (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i
+                    FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * i >= 75 * (na.n + nb.n - i)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM n UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
+"""
+
+
+@register("op5_ngram_jaccard_join", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with similar sets of 5-word shingles."""
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents"))[0]
