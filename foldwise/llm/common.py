@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -95,3 +96,35 @@ def discard(df: DataFrame | None) -> None:
         jvm, hadoop = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(hadoop).delete(p, True)
+
+
+def group_links(rows: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], similar: int,
+                tasks: int) -> DataFrame:
+    """Verified links (a, b) between things that share a group, enough to give
+    every component, without all pairs of a group.
+
+    rows: t (group), c (thing, long), n (its set's size). Sets that differ too
+    much in size are never compared. Each thing is first compared with the
+    smallest of each of its groups; the links found join most of a group. Then
+    every pair with a common group that is still in different components is
+    compared, so no component is missed. `prepare` gets the rows of groups with
+    several things and returns the comparison: pairs (a, b) to the similar ones."""
+    w = Window.partitionBy("t")
+    shared = (rows.repartition(tasks, "t").withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w))
+              .where("lo < hi").dropDuplicates(["t", "c"]).select("t", "c", "n", "lo"))
+    shared = stored(shared, "shared")
+    verify = prepare(shared)
+    star = shared.where("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
+    one = stored(verify(star), "links")
+    comp = stored(components(one), "components")
+    r = (shared.join(comp, shared.c == comp.node, "left")
+         .select("t", "c", "n", F.coalesce("component", "c").alias("k")))
+    r = (r.withColumn("lo", F.min("k").over(w)).withColumn("hi", F.max("k").over(w)).where("lo < hi")
+         .select("t", "c", "n", "k"))
+    r = stored(r, "open")
+    other = r.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"))
+    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * similar
+    rest = (r.join(other, "t").where((F.col("c") < F.col("b")) & (F.col("k") != F.col("k2")) & near)
+            .select(F.col("c").alias("a"), "b").distinct())
+    two = stored(verify(rest.join(star, ["a", "b"], "left_anti")), "links")
+    return one.union(two)

@@ -23,10 +23,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, stored, tasks_for
+from .common import components, group_links, stored, tasks_for
 from .kernels import SPACE, Texts, gram_hash, mix, ragged, run_hash, signed, slices
 
 GRAM = 5
@@ -120,27 +120,12 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     classes = meta.where("n > 0 and d is not null").groupBy("c").agg(F.min("d").alias("low"))
     # classes by prefix token, in the first order
     rows = heads.where("d is not null").select(F.explode("head").alias("t"), "c", F.col("n").cast("int").alias("n"))
-    rows = rows.repartition(tasks_for(docs), "t")
-    w = Window.partitionBy("t")
-    rows = rows.withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w)).where("lo < hi")
-    rows = stored(rows.dropDuplicates(["t", "c"]).select("t", "c", "n", "lo"), "shared")
-    sets = _sets(src, rows.select("c").distinct().join(classes, "c"), gram, similar)
-    near = (lambda a, b: (F.least(a, b) * 100 >= F.greatest(a, b) * similar))
-    star = (rows.where("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct())
-    one = stored(_verified(star, sets, similar), "links")
-    comp = stored(components(one), "components")
-    # what is left: pairs with a common token in different components
-    r = (rows.select("t", "c", "n").join(comp, rows.c == comp.node, "left")
-         .select("t", "c", "n", F.coalesce("component", "c").alias("k")))
-    r = (r.withColumn("lo", F.min("k").over(w)).withColumn("hi", F.max("k").over(w)).where("lo < hi")
-         .select("t", "c", "n", "k"))
-    r = stored(r, "open")
-    other = r.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"))
-    rest = (r.join(other, "t").where((F.col("c") < F.col("b")) & (F.col("k") != F.col("k2")) & near(F.col("n"), F.col("m")))
-            .select(F.col("c").alias("a"), "b").distinct())
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    two = stored(_verified(rest.join(tried, ["a", "b"], "left_anti"), sets, similar), "links")
-    links = one.union(two)
+
+    def compare(shared):
+        sets = _sets(src, shared.select("c").distinct().join(classes, "c"), gram, similar)
+        return lambda pairs: _verified(pairs, sets, similar)
+
+    links = group_links(rows, compare, similar, tasks_for(docs))
     comp = components(links)
     low = classes.join(comp, classes.c == comp.node, "left").select("c", "low", F.coalesce("component", "c").alias("k"))
     root = low.groupBy("k").agg(F.min("low").alias("component_id"))

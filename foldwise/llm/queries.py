@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, mixing, ngram_join, rlz, suffix_dedup, toxicity
+from . import decontam, langid, line_dedup, mixing, ngram_join, rlz, suffix_dedup, toxicity
 from .common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +147,11 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = d.doc_id
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with similar sets of 5-word shingles."""
     return ngram_join.similar_documents(table(spark, sf_dir, "documents"))[0]
+
+
+# ------------------------------------------------------------------ 10
+@register("op10_line_dedup_minhash")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text left of every document when one line of each group of similar lines stays."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
