@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, line_dedup, mixing, ngram_join, rlz, suffix_dedup, toxicity
+from . import cover_tree, decontam, langid, line_dedup, mixing, ngram_join, rlz, suffix_dedup, toxicity
 from .common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,26 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text left of every document when one line of each group of similar lines stays."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+# ------------------------------------------------------------------ 3
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL),
+l AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, coalesce(component_id, e.vec_id) AS component_id,
+  coalesce(component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
+@register("op3_embedding_near_dedup", OP3_SQL)
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of vectors of one label with a cosine of 0.98."""
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
