@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, decontam, langid, line_dedup, mixing, ngram_join, rlz, suffix_dedup, toxicity
+from . import cover_tree, decontam, langid, line_dedup, mixing, ngram_join, preference, rlz, suffix_dedup, toxicity
 from .common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -178,3 +178,36 @@ FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of vectors of one label with a cosine of 0.98."""
     return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# ------------------------------------------------------------------ 4
+_RENDER = ("array_to_string(list_transform({t}, lambda x: '<|im_start|>' || x.role || chr(10) || x.text || '<|im_end|>'"
+           " || chr(10)), '')")
+_SPANS = ("array_to_string(list_filter(list_transform(range(1, len({t}) + 1), lambda i: CASE WHEN {t}[i].role = 'assistant' THEN "
+          "CAST(length(prompt) + coalesce(list_sum(list_transform({t}[1:i - 1], lambda y: length(y.role) + length(y.text) + 24)), 0)"
+          " + length({t}[i].role) + 13 AS BIGINT) || ':' || (length({t}[i].text) + 10) END), lambda z: z IS NOT NULL), ',')")
+OP4_SQL = f"""
+WITH p AS (
+  SELECT conv_id // 2 AS pair_id,
+    coalesce(list({{'role': role, 'text': text}} ORDER BY turn, role, text) FILTER (conv_id % 2 = 0), []) AS a,
+    coalesce(list({{'role': role, 'text': text}} ORDER BY turn, role, text) FILTER (conv_id % 2 = 1), []) AS b
+  FROM conversations GROUP BY 1),
+n AS (
+  SELECT *, coalesce(nullif(list_position(list_transform(range(1, least(len(a), len(b)) + 1),
+    lambda i: a[i] = b[i]), false), 0) - 1, least(len(a), len(b))) AS k FROM p),
+r AS (SELECT pair_id, k, {_RENDER.format(t='a[1:k]')} AS prompt, a[k + 1:] AS ca, b[k + 1:] AS cb FROM n)
+SELECT pair_id, CAST(k AS BIGINT) AS n_common, prompt, {_RENDER.format(t='ca')} AS chosen_completion,
+  {_RENDER.format(t='cb')} AS rejected_completion, {_SPANS.format(t='ca')} AS chosen_mask,
+  {_SPANS.format(t='cb')} AS rejected_mask
+FROM r
+"""
+
+
+@register("op4_preference_formatting", OP4_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt, completions and masks of every pair of conversations."""
+    out = preference.format_pairs(preference.conversation_pairs(table(spark, sf_dir, "conversations")))
+    spans = (lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["at"], s["n"])), ","))
+    return out.select("pair_id", F.col("n_common").cast("long").alias("n_common"), "prompt", "chosen_completion",
+                      "rejected_completion", spans("chosen_mask").alias("chosen_mask"),
+                      spans("rejected_mask").alias("rejected_mask"))
