@@ -2,9 +2,8 @@
 
 Category statistics are computed with one `groupBy` per column (partial
 aggregation on the map side, so a hot category costs one row per task) into
-a state table. Small category sets become literals (`isin`, `create_map`) so
-the transform needs no join at all; large ones are joined back, broadcast only
-under the row cap.
+a state table, which is joined back; it is broadcast only under the row and
+byte caps.
 """
 
 from __future__ import annotations
@@ -17,8 +16,6 @@ from .base import Fitted, LiteralFitted, StatelessStage, Stage, require_columns
 from .indexing import global_index
 from .state import StateTable, lookup
 
-LITERAL_MAX = 10_000  # category sets up to this size are inlined as literals
-
 
 def _add(df: DataFrame, cols: dict, drop=()) -> DataFrame:
     keep = [F.col(f"`{c}`") for c in df.columns if c not in cols and c not in drop]
@@ -30,12 +27,7 @@ def _counts(df: DataFrame, c: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ C1
-class _CatStage(Stage):
-    # category sets up to this many rows become literals; larger ones are joined
-    literal_max = LITERAL_MAX
-
-
-class RareCategoryCombiner(_CatStage):
+class RareCategoryCombiner(Stage):
     """Categories seen fewer than `min_count` times (or, when no count is
     given, with a share below `min_freq` of non-NULL rows) and NULL become
     `other_value`; the column is replaced in place."""
@@ -70,15 +62,12 @@ class _RareFitted(Fitted):
         out = df
         other = F.lit(self.stage.other_value)
         for c, st in self.keep.items():
-            if st.rows <= self.stage.literal_max:
-                vals = [r[0] for r in st.df.collect()]
-                out = _add(out, {c: F.when(F.col(c).isin(vals), F.col(c).cast("string")).otherwise(other)})
-            else:  # R9 by join: membership through the state table
-                s = st.df.select(F.col(c).alias("__k"), F.lit(True).alias("__in"))
-                s = F.broadcast(s) if st.broadcastable() else s
-                j = out.join(s, out[c] == s["__k"], "left")
-                out = j.select(*[F.col(f"`{x}`") for x in out.columns if x != c],
-                               F.when(F.col("__in"), F.col(c).cast("string")).otherwise(other).alias(c))
+            # Membership through the state table
+            s = st.df.select(F.col(c).alias("__k"), F.lit(True).alias("__in"))
+            s = F.broadcast(s) if st.broadcastable() else s
+            j = out.join(s, out[c] == s["__k"], "left")
+            out = j.select(*[F.col(f"`{x}`") for x in out.columns if x != c],
+                           F.when(F.col("__in"), F.col(c).cast("string")).otherwise(other).alias(c))
         return out
 
 
@@ -86,10 +75,10 @@ class _RareFitted(Fitted):
 class OneHotEncoder(Stage):
     """`<c>_ohe_<v>` 0/1 per kept category; with `max_categories`, the N
     most frequent (ties by value) plus `<c>_ohe_other` (also 1 for NULL).
-    Without a cap all non-NULL categories are used, up to `max_columns`.
-    Inputs are dropped."""
+    Without a cap all non-NULL categories are used. `max_columns` is an optional
+    guard against wide results. Inputs are dropped."""
 
-    def __init__(self, name: str, cols, max_categories: int | None = None, max_columns: int = 1000):
+    def __init__(self, name: str, cols, max_categories: int | None = None, max_columns: int | None = None):
         super().__init__(name)
         self.cols, self.max_categories, self.max_columns = list(cols), max_categories, max_columns
 
@@ -101,8 +90,9 @@ class OneHotEncoder(Stage):
             if self.max_categories:
                 rows = g.orderBy(F.desc("__n"), F.asc(c)).limit(self.max_categories).collect()
             else:
-                rows = g.orderBy(c).limit(self.max_columns + 1).collect()
-                if len(rows) > self.max_columns:
+                g = g.orderBy(c)
+                rows = (g.limit(self.max_columns + 1) if self.max_columns else g).collect()
+                if self.max_columns and len(rows) > self.max_columns:
                     raise ValueError(f"{self.name}: {c} has more than {self.max_columns} categories; "
                                      "set max_categories or use count/target encoding")
             cats[c] = [r[0] for r in rows]
@@ -120,7 +110,7 @@ class OneHotEncoder(Stage):
 
 
 # ------------------------------------------------------------------ C3
-class CountFrequencyEncoder(_CatStage):
+class CountFrequencyEncoder(Stage):
     """`<c>_count` (or `<c>_freq`, share of non-NULL rows); unseen / NULL → 0."""
 
     def __init__(self, name: str, cols, normalize: bool = False):
@@ -153,13 +143,7 @@ class _LookupFitted(Fitted):
         out = df
         for c, st in self.states.items():
             name, default = self.outs[c]
-            if st.rows <= self.stage.literal_max:
-                pairs = [x for r in st.df.collect() for x in (F.lit(r[0]), F.lit(r[1]))]
-                m = F.create_map(*pairs) if pairs else None
-                val = F.coalesce(m[F.col(c)] if m is not None else F.lit(None), F.lit(default))
-                out = _add(out, {name: val})
-            else:
-                out = lookup(out, st, c, c, {name: ("__v", default)})
+            out = lookup(out, st, c, c, {name: ("__v", default)})
         if self.drop:
             out = out.drop(*self.states.keys())
         return out
@@ -188,7 +172,7 @@ class HashingEncoder(StatelessStage):
 
 
 # ------------------------------------------------------------------ C5
-class OrdinalEncoder(_CatStage):
+class OrdinalEncoder(Stage):
     """`<c>_ordinal` from a given mapping, else codes 0..K-1 in ascending
     value order; unseen and NULL → `unknown_value`. Inputs are dropped."""
 
@@ -213,7 +197,7 @@ class OrdinalEncoder(_CatStage):
 
 
 # ------------------------------------------------------------------ C6, C7
-class TargetEncoder(_CatStage):
+class TargetEncoder(Stage):
     """`<c>_te` = (mean·n + global·s)/(n + s); unseen → global mean.
     Inputs are dropped.
 
@@ -293,7 +277,7 @@ class _OofTargetFitted(Fitted):
         return out.drop(*self.states.keys())
 
 
-class WoEEncoder(_CatStage):
+class WoEEncoder(Stage):
     """`<c>_woe` = ln(((pos+ε)/P) / ((neg+ε)/N)); the target must be 0/1;
     unseen → 0. Inputs are dropped."""
 

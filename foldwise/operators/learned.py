@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import cosine, dot
 from .base import COMBINED, Fitted, Stage, require_columns
@@ -12,8 +13,24 @@ from .state import StateTable
 
 
 def assemble(df: DataFrame, cols, out: str = "__features") -> DataFrame:
-    """Feature vector from numeric columns (NULL → 0) or one array column."""
+    """Feature vector from one array or vector column, or from any mix of
+    numeric (NULL → 0), array and vector columns."""
+    from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.linalg import VectorUDT
+
+    names = [cols] if isinstance(cols, str) else list(cols)
+    kind = {c: df.schema[c].dataType for c in names if c in df.columns}
+    if any(isinstance(k, (VectorUDT, T.ArrayType)) for k in kind.values()) and not (
+            isinstance(cols, str) and isinstance(kind.get(cols), T.ArrayType)):
+        made = {}
+        for i, c in enumerate(names):
+            if isinstance(kind[c], T.ArrayType):
+                made[f"__part{i}"] = array_to_vector(F.col(c).cast("array<double>"))
+            elif not isinstance(kind[c], VectorUDT):
+                made[f"__part{i}"] = F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
+        parts = [f"__part{i}" if f"__part{i}" in made else c for i, c in enumerate(names)]
+        return VectorAssembler(inputCols=parts, outputCol=out).transform(df.withColumns(made)).drop(*made)
 
     if isinstance(cols, str):
         return df.withColumn(out, array_to_vector(F.col(cols).cast("array<double>")))

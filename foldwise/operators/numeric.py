@@ -307,10 +307,12 @@ def yeo_johnson_expr(x, lam):
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-# Search schedule (fixed values): a coarse grid k/10 on [-2, 2], then three
-# zoom passes best + k/d for k in -10..10 with d = 100, 1000, 10000.
+# Search schedule (fixed values): a coarse grid k/10 on [-2, 2]; while the best
+# value is an end of the grid, the next grid goes on from there with twice the
+# step; then zoom passes, ten times finer each, down to 1/10000.
 COARSE_DENOM, COARSE_K = 10, 20
 ZOOM_DENOMS, ZOOM_K = (100, 1000, 10000), 10
+MAX_LAMBDA = 1e4  # beyond it, powers of anything but 1 overflow
 
 
 class _PowerTransformer(Stage):
@@ -351,7 +353,7 @@ class _PowerTransformer(Stage):
         best, best_llf = None, -math.inf
         for r in sorted(g, key=lambda r: r["lam"]):
             v = r["v"]
-            if v is None or v <= 0 or math.isnan(v):
+            if v is None or v <= 0 or not math.isfinite(v):
                 continue
             llf = (r["lam"] - 1) * j - n / 2.0 * math.log(v)
             if llf > best_llf:
@@ -368,7 +370,18 @@ class _PowerTransformer(Stage):
             # one narrow column, read by every search pass: spread + keep it
             x_df = spread(df.select(num(c).alias("x")).where(F.col("x").isNotNull()))
             x_df = x_df.persist(StorageLevel.MEMORY_AND_DISK)
-            lam, nj = self._best(x_df, [k / COARSE_DENOM for k in range(-COARSE_K, COARSE_K + 1)])
+            grid = [k / COARSE_DENOM for k in range(-COARSE_K, COARSE_K + 1)]
+            lam, nj = self._best(x_df, grid)
+            step = 1 / COARSE_DENOM
+            while lam is not None and lam in (grid[0], grid[-1]) and abs(lam) < MAX_LAMBDA:
+                step *= 2
+                way = 1 if lam == grid[-1] else -1
+                # one point back, so that an optimum at the old end is interior
+                grid = sorted(lam + way * k * step for k in range(-1, COARSE_K + 1))
+                lam, _ = self._best(x_df, grid, nj)
+            while lam is not None and step > 1.5 / COARSE_DENOM:
+                lam, _ = self._best(x_df, [lam + k * step / ZOOM_K for k in range(-ZOOM_K, ZOOM_K + 1)], nj)
+                step /= ZOOM_K
             for d in ZOOM_DENOMS[: self.zoom_passes]:
                 if lam is None:
                     break

@@ -44,11 +44,12 @@ class StateTable:
         return cls(mat, rows, _size_in_bytes(mat))
 
     def broadcastable(self) -> bool:
-        """Both the row count and the measured size must be under the caps."""
+        """Both the row count and the measured size must be under the caps; an
+        unknown size is not."""
         spark = self.df.sparkSession
         cap = int(spark.conf.get("foldwise.broadcast.maxRows", str(DEFAULT_BROADCAST_ROWS)))
         cap_b = int(spark.conf.get("foldwise.broadcast.maxBytes", str(DEFAULT_BROADCAST_BYTES)))
-        return self.rows <= cap and (self.size is None or self.size <= cap_b)
+        return self.rows <= cap and self.size is not None and self.size <= cap_b
 
     def side(self) -> DataFrame:
         return F.broadcast(self.df) if self.broadcastable() else self.df

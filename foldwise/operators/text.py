@@ -9,6 +9,7 @@ partial aggregation, so a very common term costs one row per task.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -91,6 +92,12 @@ def tokens(t, ngram_range=(1, 1), stop_words=None):
     """Lower-cased tokens, stop words removed, then word n-grams joined by a
     space."""
     toks = F.regexp_extract_all(F.lower(F.coalesce(t, F.lit(""))), F.lit(TOKEN_RE), 0)
+    if stop_words == "english":
+        from pyspark.ml.feature import StopWordsRemover
+
+        # Spark's English list, cut into words the way texts are
+        stop_words = sorted({w for s in StopWordsRemover.loadDefaultStopWords("english")
+                             for w in re.findall(r"\w{2,}", s.lower())})
     if stop_words:
         sw = F.array(*[F.lit(s) for s in stop_words])
         toks = F.filter(toks, lambda w: ~F.array_contains(sw, w))
@@ -155,21 +162,22 @@ class _BowFitted(Fitted):
         super().__init__(stage)
         self.vocab, self.n_docs = vocab, n_docs
 
-    def to_vectors(self, df, out: str = "features", max_vocab: int = 1_000_000):
+    def to_vectors(self, df, out: str = "features", max_vocab: int | None = None):
         """Vector form for Spark ML learners: one SparseVector per row over
         the fitted vocabulary (sorted terms) — term counts, or for tf-idf the
         idf-weighted counts scaled to unit L2 norm. Built from Spark ML
         transformers (CountVectorizerModel, ElementwiseProduct, Normalizer);
-        the vocabulary itself is the only thing collected, and its size is
-        checked against `max_vocab`."""
+        the vocabulary itself is the only thing collected (bounded by the
+        stage's `max_features`; `max_vocab` is an optional guard)."""
         import math as _m
 
         from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
         from pyspark.ml.linalg import Vectors
 
         s = self.stage
-        rows = self.vocab.df.select("term", "df").orderBy("term").limit(max_vocab + 1).collect()
-        if len(rows) > max_vocab:
+        terms = self.vocab.df.select("term", "df").orderBy("term")
+        rows = (terms.limit(max_vocab + 1) if max_vocab else terms).collect()
+        if max_vocab and len(rows) > max_vocab:
             raise ValueError(f"vocabulary larger than {max_vocab}; use the long form or set max_features")
         vocab = [r["term"] for r in rows]
         tok = df.withColumn("__tok", tokens(F.col(s.col), s.ngram_range, s.stop_words))
@@ -182,6 +190,11 @@ class _BowFitted(Fitted):
         norm = Normalizer(p=2.0, inputCol="__w", outputCol=out)
         return norm.transform(weighted.transform(cv.transform(tok))).drop("__tok", "__tf", "__w")
 
+    def add_to(self, df):
+        """The frame with all its rows and columns and one vector column,
+        `<prefix>_<column>`: the form for feature sets and learners."""
+        return self.to_vectors(df, f"{self.stage.prefix}_{self.stage.col}")
+
     def transform(self, df):
         s = self.stage
         tc = s._term_counts(df)

@@ -121,8 +121,10 @@ class FeatureSetBuilder:
                 if test is not None and getattr(f.stage, "transform_scope", "split") == "combined":
                     train, test = self._transform_combined(f, train, test)
                 else:
-                    train = f.transform(train)
-                    test = f.transform(test) if test is not None else None
+                    # bag-of-words fits give a vector column here, not their long form
+                    apply = getattr(f, "add_to", f.transform)
+                    train = apply(train)
+                    test = apply(test) if test is not None else None
                 n += 1
                 if self.checkpoint_every and n % self.checkpoint_every == 0:
                     train = cut_lineage(train)

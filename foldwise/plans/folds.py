@@ -158,31 +158,42 @@ def _sized_fold(idx, n: int, k: int):
         F.lit(r) + F.floor((idx - F.lit(big)) / F.lit(max(q, 1)))).cast("int")
 
 
+def _row_hash(col: str, seed: int):
+    """Seeded hash; NULL ids count as the text 'NULL'."""
+    return F.coalesce(hash_unit(col, seed), F.pmod(F.xxhash64(F.lit("NULL"), F.lit(seed)), F.lit(1 << 30)))
+
+
+def _hash_fold(col: str, seed: int, k: int):
+    return F.pmod(_row_hash(col, seed), F.lit(k)).cast("int")
+
+
 class KFold(_FoldColumn):
     """V3: k contiguous folds of sizes differing by at most one row, either
     in `order_col` order or (shuffle) in the order of a seeded md5 hash of
-    `id_col`. Positions come from a distributed global index."""
+    `id_col`. Positions come from a distributed global index of the rows.
+    `exact=False`: the hash modulo k, a projection without shuffle; sizes are
+    equal only on average and rows with equal ids share a fold."""
 
     def __init__(self, n_splits: int = 5, id_col: str = "id", shuffle: bool = True, seed: int = 42,
-                 order_col: str | None = None):
+                 order_col: str | None = None, exact: bool = True):
         super().__init__(n_splits)
+        if not exact and not shuffle:
+            raise ValueError("folds by hash are shuffled")
+        self.exact = exact
         self.id_col, self.shuffle, self.seed, self.order_col = id_col, shuffle, seed, order_col
 
     def assign(self, df):
-        # the index is built on a narrow (id, order key) projection — only
-        # those columns are sorted and checkpointed — and joined back by id
+        # on the rows themselves: ids may repeat or be NULL
         ic = self.id_col
+        if not self.exact:
+            return df.withColumn(self.fold_col, _hash_fold(ic, self.seed, self.k))
         if self.shuffle:
-            narrow = df.select(ic, hash_unit(ic, self.seed).alias("__h"))
-            order = ["__h", ic]
+            rows, order = df.withColumn("__h", _row_hash(ic, self.seed)), ["__h", ic]
         else:
-            oc = self.order_col or ic
-            narrow = df.select(ic, *([F.col(oc).alias("__o")] if oc != ic else []))
-            order = (["__o"] if oc != ic else []) + [ic]
+            rows, order = df, [self.order_col, ic] if self.order_col and self.order_col != ic else [ic]
         n = df.count()
-        idx = global_index(narrow, order, "__i")
-        folds = idx.select(ic, _sized_fold(F.col("__i"), n, self.k).alias(self.fold_col))
-        return df.join(folds, ic, "left")
+        idx = global_index(rows, order, "__i")
+        return idx.withColumn(self.fold_col, _sized_fold(F.col("__i"), n, self.k)).drop("__i", "__h")
 
 
 class StratifiedKFold(_FoldColumn):
@@ -190,17 +201,22 @@ class StratifiedKFold(_FoldColumn):
     to the folds, so every fold keeps the class balance. The position inside a
     class is a distributed running count (a dominant class is not one task)."""
 
-    def __init__(self, n_splits: int = 5, y_col: str = "y", id_col: str = "id", seed: int = 42):
+    def __init__(self, n_splits: int = 5, y_col: str = "y", id_col: str = "id", seed: int = 42, exact: bool = True):
         super().__init__(n_splits)
+        self.exact = exact
         self.y_col, self.id_col, self.seed = y_col, id_col, seed
 
     def assign(self, df):
         ic, yc = self.id_col, self.y_col
-        keyed = df.select(ic, yc, hash_unit(ic, self.seed).alias("__h"), F.lit(1).alias("__one"))
-        pos = running_totals(keyed, [yc], [F.col("__h").asc(), F.col(ic).asc()], {"__pos": F.col("__one")})
-        folds = pos.select(ic, F.pmod(F.col("__pos") - 1, F.lit(self.k)).cast("int").alias(self.fold_col))
-        # positions come from the narrow (id, class, hash) projection; joined back by id
-        return df.join(folds, ic, "left")
+        # on the rows themselves: ids may repeat or be NULL. Equal keys are told
+        # apart by the row's place after the sort
+        if not self.exact:
+            return df.withColumn(self.fold_col, _hash_fold(ic, self.seed, self.k))
+        rows = df.withColumn("__h", _row_hash(ic, self.seed)).withColumn("__y", F.coalesce(
+            F.col(yc).cast("string"), F.lit("NULL"))).withColumn("__one", F.lit(1))
+        pos = running_totals(rows, ["__y"], [F.col("__h").asc(), F.col(ic).asc()], {"__pos": F.col("__one")})
+        return (pos.withColumn(self.fold_col, F.pmod(F.col("__pos") - 1, F.lit(self.k)).cast("int"))
+                .drop("__h", "__y", "__one", "__pos"))
 
 
 class GroupKFold(_FoldColumn):

@@ -179,10 +179,9 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
   CASE WHEN l_partkey IN (SELECT l_partkey FROM k) THEN CAST(l_partkey AS VARCHAR) ELSE 'Other' END AS l_partkey
 FROM lineitem""")
 def q_isin_semi(spark, sf):
-    """R9 via the state-table join (literal inlining switched off)."""
+    """R9 via the state-table join."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     st = RareCategoryCombiner("r9", ["l_partkey"], min_count=35)
-    st.literal_max = 0
     return tidy(st.fit(li).transform(li))
 
 
@@ -227,10 +226,9 @@ WITH g AS (SELECT l_partkey, count(*) AS n FROM lineitem GROUP BY l_partkey)
 SELECT l.l_orderkey, CAST(l.l_linenumber AS BIGINT) AS l_linenumber, CAST(coalesce(g.n, 0) AS BIGINT) AS l_partkey_count
 FROM lineitem l LEFT JOIN g ON l.l_partkey = g.l_partkey""")
 def q_lookup_join(spark, sf):
-    """J2 through the state-table join (not literal maps)."""
+    """J2 through the state-table join."""
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     st = CountFrequencyEncoder("j2", ["l_partkey"])
-    st.literal_max = 0
     return tidy(st.fit(li).transform(li).drop("l_partkey"))
 
 

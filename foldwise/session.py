@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,14 +45,17 @@ def get_session(master: str | None = None, app: str = "foldwise",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared `spark.checkpoint.dir`; only when it is unset
-    (local runs, tests) fall back to a fresh scratch folder."""
+    """Use the cluster's shared `spark.checkpoint.dir`. Where it is unset a local
+    run gets a fresh scratch folder; on a cluster that is an error, as executors
+    don't share local folders."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="foldwise-ckpt-", dir="/tmp")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -82,12 +86,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition ONLY when a frame has fewer partitions than
-    the cluster's default parallelism (small inputs, single-row-group files)
-    and CPU-heavy per-row work follows. On large inputs this is a no-op, so
-    it never adds a shuffle at scale."""
+    """Round-robin repartition of a scan with fewer partitions than the
+    cluster's default parallelism (small inputs, single-row-group files) when
+    CPU-heavy per-row work follows. On large inputs this is a no-op. A plan that
+    already shuffles is left alone: asking for its partitions would run it."""
     target = df.sparkSession.sparkContext.defaultParallelism
     try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        if re.search(r"\b(Aggregate|Join|Window|Sort|Repartition\w*|Distinct|Deduplicate|Rebalance\w*|InMemoryRelation)\b",
+                     plan):
+            return df
         n = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - streaming frames have no RDD
         return df

@@ -65,12 +65,18 @@ def read_feature_list(spark: SparkSession, path: str) -> list[str]:
 
 def read_word_vectors(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
     """word2vec / GloVe text format `word v1 … vN` → (word, vec array<float>).
-    The optional first line `count dim` is dropped by its field count."""
-    lines = spark.read.text(path)
+    A header line `count dim` is left out: two integers that are the number and
+    the width of the file's other lines."""
     parts = F.split(F.trim(F.col("value")), " ")
-    out = lines.select(parts.alias("p")).where(F.size("p") > 2 if header else F.lit(True))
-    return out.select(F.col("p")[0].alias("word"),
-                      F.transform(F.slice("p", 2, 1 << 20), lambda x: x.cast("float")).alias("vec"))
+    lines = spark.read.text(path).select(F.input_file_name().alias("f"), parts.alias("p")).where("p[0] <> ''")
+    if header:
+        # one row a file
+        whole = lines.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("p") - 1).alias("dim"))
+        head = ((F.size("p") == 2) & (F.col("p")[0] == (F.col("n") - 1).cast("string"))
+                & (F.col("p")[1] == F.col("dim").cast("string")))
+        lines = lines.join(whole, "f").where(~head)
+    return lines.select(F.col("p")[0].alias("word"),
+                        F.transform(F.expr("slice(p, 2, size(p) - 1)"), lambda x: x.cast("float")).alias("vec"))
 
 
 def write_word_vectors(vectors: DataFrame, path: str, word_col: str = "word", vec_col: str = "vec") -> str:

@@ -13,8 +13,11 @@ from pyspark.sql import DataFrame
 
 from ..operators.groups import RollingStats
 from ..operators.neighbors import NearestNeighborFeatures
+from ..operators.text import CountVectorizer, WordVectorPool
+from ..session import scratch_path
 
-NOT_STREAMABLE = (RollingStats, NearestNeighborFeatures)
+# these read other rows, or aggregate a row's terms
+NOT_STREAMABLE = (RollingStats, NearestNeighborFeatures, CountVectorizer, WordVectorPool)
 
 
 def apply_stream(stream: DataFrame, fitted: list) -> DataFrame:
@@ -28,11 +31,12 @@ def apply_stream(stream: DataFrame, fitted: list) -> DataFrame:
 
 
 def run_to_table(stream: DataFrame, query_name: str, checkpoint: str, trigger_available_now: bool = True):
-    """Drive a streaming plan to completion into an in-memory table (tests,
-    small checks) and return the table as a batch DataFrame. Production jobs
-    write to a durable sink with `writeStream.format(...)` instead."""
-    w = stream.writeStream.format("memory").queryName(query_name).outputMode("append") \
-                          .option("checkpointLocation", checkpoint)
+    """Drive a streaming plan to completion into Parquet files under the shared
+    checkpoint folder and return them as a batch DataFrame."""
+    spark = stream.sparkSession
+    path = scratch_path(spark, query_name)
+    w = (stream.writeStream.format("parquet").queryName(query_name).outputMode("append")
+         .option("checkpointLocation", checkpoint).option("path", path))
     q = w.trigger(availableNow=True).start() if trigger_available_now else w.start()
     q.awaitTermination()
-    return stream.sparkSession.table(query_name)
+    return spark.read.schema(stream.schema).parquet(path)
