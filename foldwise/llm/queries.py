@@ -154,7 +154,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text left of every document when one line of each group of similar lines stays."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+        "doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
 # ------------------------------------------------------------------ 3
