@@ -39,44 +39,56 @@ def repeats_removed(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     runs = repeated_runs(src.select("d", "th", "text").where("text is not null"), byte_runs(size), size,
                          ordered=False)
     texts = src.repartition(tasks_for(docs), "d", "th")
-    check = runs.where("check")
-    pieces = (with_text(texts, check.where(F.col("n_ctx") <= crowd), ["key", "at", "n"])
-              .mapInArrow(_cut(size), "key long, d long, th int, at int, n int, piece binary"))
-    pieces = pieces.repartition(tasks_for(docs), "key").sortWithinPartitions("key")
+    # one row a piece, or one a string where a gram has a crowd of runs
+    cut = stored(with_text(texts, runs.where("check"), ["key", "at", "n", "n_ctx"]).mapInArrow(_cut(size, crowd), CUT),
+                 "pieces")
+    pieces = (cut.where("piece is not null").select("key", "d", "th", "at", "piece")
+              .repartition(tasks_for(docs), "key").sortWithinPartitions("key"))
     found = pieces.mapInArrow(_sort(size), "d long, th int, at int, n int")
-    hits = runs.where("hit").select("d", "th", "at", "n").unionByName(found)
-    crowded = check.where(F.col("n_ctx") > crowd)
-    if not crowded.isEmpty():
-        single = stored(with_text(texts, crowded, ["at", "n"]).mapInArrow(
-            _strings(size), "h long, i long, d long, th int, at int"), "strings")
-        often = single.groupBy("h", "i").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-        hits = hits.unionByName(single.join(often, ["h", "i"]).select("d", "th", "at", F.lit(1).alias("n")))
+    strings = cut.where("piece is null")
+    often = strings.groupBy("key", "key2").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "key2")
+    single = strings.join(often, ["key", "key2"]).select("d", "th", "at", F.lit(1).alias("n"))
+    hits = runs.where("hit").select("d", "th", "at", "n").unionByName(found).unionByName(single)
     per = hits.groupBy("d", "th").agg(F.collect_set(F.struct("at", "n")).alias("rows"))
     return texts.join(per, ["d", "th"], "left").mapInArrow(
         _rest(size), "doc_id long, n_bytes long, n_removed long, spans array<struct<at: long, n: long>>, kept binary")
 
 
-def _cut(size: int):
+CUT = "key long, key2 long, d long, th int, at int, piece binary"
+
+
+def _cut(size: int, crowd: int):
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", 1 << 20):
                 row, f = structs(part)
                 t = Texts(part.column("text"))
-                at, n = (np.asarray(f[k]).astype(np.int64) for k in ("at", "n"))
-                # bounded output batches: pieces overlap
-                length = n + size - 1
-                total = np.cumsum(length)
-                for k in range(int(total[-1] // (4 << 20)) + 1 if len(total) else 0):
-                    i = np.flatnonzero(total // (4 << 20) == k)
-                    off = np.concatenate([[0], np.cumsum(length[i])]).astype(np.int32)
-                    data = t.data[ragged(t.off[row[i]] + at[i], length[i])]
+                key, at, n = (f[k].to_numpy().astype(np.int64) for k in ("key", "at", "n"))
+                d, th = (part.column(k).to_numpy() for k in ("d", "th"))
+                many = f["n_ctx"].to_numpy() > crowd
+                # pieces overlap: batches of bounded output
+                i = np.flatnonzero(~many)
+                length = n[i] + size - 1
+                group = np.cumsum(length) // (4 << 20)
+                for k in np.unique(group):
+                    j, w = i[group == k], length[group == k]
+                    off = np.concatenate([[0], np.cumsum(w)]).astype(np.int32)
+                    data = t.data[ragged(t.off[row[j]] + at[j], w)]
                     yield pa.RecordBatch.from_arrays(
-                        [f["key"].take(pa.array(i)), pa.array(np.asarray(part.column("d"))[row[i]]),
-                         pa.array(np.asarray(part.column("th"))[row[i]]), pa.array(at[i].astype(np.int32)),
-                         pa.array(n[i].astype(np.int32)),
-                         pa.BinaryArray.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(off),
-                                                                          pa.py_buffer(data)])],
-                        names=["key", "d", "th", "at", "n", "piece"])
+                        [pa.array(key[j]), pa.nulls(len(j), pa.int64()), pa.array(d[row[j]]), pa.array(th[row[j]]),
+                         pa.array(at[j].astype(np.int32)),
+                         pa.BinaryArray.from_buffers(pa.binary(), len(j), [None, pa.py_buffer(off), pa.py_buffer(data)])],
+                        names=["key", "key2", "d", "th", "at", "piece"])
+                j = np.flatnonzero(many)
+                if not len(j):
+                    continue
+                r, w = np.repeat(row[j], n[j]), ragged(at[j], n[j])
+                a = t.off[r] + w
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(signed(run_hash(BYTE[t.data], a, a + size))),
+                     pa.array(signed(run_hash(BYTE[255 - t.data], a, a + size))), pa.array(d[r]), pa.array(th[r]),
+                     pa.array(w.astype(np.int32)), pa.nulls(len(r), pa.binary())],
+                    names=["key", "key2", "d", "th", "at", "piece"])
 
     return run
 
@@ -123,24 +135,6 @@ def _block(part: pa.RecordBatch, size: int) -> pa.RecordBatch:
          pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32))], names=["d", "th", "at", "n"])
 
 
-def _strings(size: int):
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, "text", 1 << 20):
-                row, f = structs(part)
-                t = Texts(part.column("text"))
-                n = np.asarray(f["n"]).astype(np.int64)
-                at, r = ragged(np.asarray(f["at"]).astype(np.int64), n), np.repeat(row, n)
-                a = t.off[r] + at
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(run_hash(BYTE[t.data], a, a + size))),
-                     pa.array(signed(run_hash(BYTE[255 - t.data], a, a + size))),
-                     pa.array(np.asarray(part.column("d"))[r]), pa.array(np.asarray(part.column("th"))[r]),
-                     pa.array(at.astype(np.int32))], names=["h", "i", "d", "th", "at"])
-
-    return run
-
-
 def _rest(size: int):
     def run(batches):
         for batch in batches:
