@@ -2,10 +2,10 @@
 
 `percentile()` keeps every distinct value of a group in one aggregation
 buffer, so a hot group (or a global quantile over a huge column) lands in a
-single task. Here the values are range-partitioned and sorted instead — a hot
-group is spread over many tasks — and each row's rank inside its group is
-recovered from per-partition counts (one small table). Only the rows sitting
-at the wanted ranks are read back.
+single task. Here equal values are counted first, with map-side combining, so
+a value that most rows share is one row; the distinct values are then
+range-partitioned, and running counts (`ranking.running_totals`) give the ranks
+that each value covers. Only the values at the wanted ranks are kept.
 
 Interpolation: position (n-1)·q, value = v[lo] + (v[hi]-v[lo])·frac, as in
 numpy's/pandas' "linear" method and SQL `quantile_cont`.
@@ -15,101 +15,64 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import num
+from .ranking import running_totals
 from .state import StateTable
 
 
-def _sorted_ranked(df: DataFrame, value_col: str, by: list[str]) -> DataFrame:
+def _covered(df: DataFrame, value_col: str, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(by..., _v, _before, _after): value _v has the 0-based ranks
+    _before.._after-1 of its group; and the value counts behind it."""
     base = df.select(*[F.col(b) for b in by], num(value_col).alias("_v")).where(F.col("_v").isNotNull())
     for b in by:
         base = base.where(F.col(b).isNotNull())
-    srt = base.orderBy(*by, "_v").select(
-        *by, "_v", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_m"))
-    # persisted (not re-planned) so both passes see the same range partitions;
-    # lost blocks are recomputed through the same partitioner.
-    return srt.persist(StorageLevel.MEMORY_AND_DISK)
+    counts = base.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    cum = running_totals(counts, by, [F.col("_v").asc()], {"_after": F.col("_c")})
+    return cum.withColumn("_before", F.col("_after") - F.col("_c")), counts
 
 
-def _interp(lo_v, hi_v, frac):
-    if lo_v is None or hi_v is None:
-        return None
-    return lo_v + (hi_v - lo_v) * frac
+def _at(rank):
+    """The value that covers a rank, as an aggregate."""
+    return F.max(F.when((F.col("_before") <= rank) & (rank < F.col("_after")), F.col("_v")))
 
 
 def global_quantiles(df: DataFrame, value_col: str, probs: list[float]) -> list[float | None]:
     """Quantiles of one column over the whole table (NULL/NaN skipped)."""
-    srt = _sorted_ranked(df, value_col, [])
-    try:
-        parts = srt.groupBy("_p").agg(F.count(F.lit(1)).alias("c"), F.min("_m").alias("m0")).collect()
-        parts = sorted((r["_p"], r["c"], r["m0"]) for r in parts)
-        n = sum(c for _, c, _ in parts)
-        if n == 0:
-            return [None for _ in probs]
-        wanted = {}
-        for q in probs:
-            pos = q * (n - 1)
-            lo = int(math.floor(pos))
-            hi = min(lo + 1, n - 1)
-            wanted[lo] = wanted[hi] = None
-        targets = []
-        off = 0
-        for _, c, m0 in parts:
-            for r in wanted:
-                if off <= r < off + c:
-                    targets.append((r, m0 + (r - off)))
-            off += c
-        ids = [m for _, m in targets]
-        got = {row["_m"]: row["_v"] for row in srt.where(F.col("_m").isin(ids)).select("_m", "_v").collect()}
-        for r, m in targets:
-            wanted[r] = got[m]
-        out = []
-        for q in probs:
-            pos = q * (n - 1)
-            lo = int(math.floor(pos))
-            hi = min(lo + 1, n - 1)
-            out.append(_interp(wanted[lo], wanted[hi], pos - lo))
-        return out
-    finally:
-        srt.unpersist()
+    cum, _ = _covered(df, value_col, [])
+    n = cum.agg(F.max("_after")).first()[0]
+    if not n:
+        return [None for _ in probs]
+    ranks = []
+    for q in probs:
+        lo = int(math.floor(q * (n - 1)))
+        ranks += [lo, min(lo + 1, n - 1)]
+    row = cum.agg(*[_at(F.lit(r)).alias(f"r{i}") for i, r in enumerate(ranks)]).first()
+    out = []
+    for i, q in enumerate(probs):
+        lo, hi = row[2 * i], row[2 * i + 1]
+        out.append(lo + (hi - lo) * (q * (n - 1) - ranks[2 * i]))
+    return out
 
 
 def grouped_quantiles(df: DataFrame, value_col: str, probs: list[float], by: list[str],
                       names: list[str]) -> StateTable:
     """Per-group quantiles → materialised state table (by..., names...)."""
-    srt = _sorted_ranked(df, value_col, by)
-    try:
-        ps = (srt.groupBy("_p", *by).agg(F.count(F.lit(1)).alias("_c"), F.min("_m").alias("_m0")))
-        ps = (ps.withColumn("_off", F.sum("_c").over(Window.partitionBy(*by).orderBy("_p")) - F.col("_c"))
-                .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by))))
-        # `ps` has one row per (task, group piece); AQE picks the join
-        # strategy from its runtime size
-        ranked = (srt.join(ps, on=["_p", *by])
-                  .withColumn("_r", F.col("_off") + F.col("_m") - F.col("_m0")))
-        los, his, fracs = [], [], []
-        for q in probs:
-            pos = F.lit(q) * (F.col("_n") - 1)
-            lo = F.floor(pos).cast("long")
-            los.append(lo)
-            his.append(F.least(lo + 1, F.col("_n") - 1))
-            fracs.append(pos - lo)
-        keep = F.array(*los, *his)
-        sel = ranked.where(F.array_contains(keep, F.col("_r")))
-        aggs = []
-        for i, _ in enumerate(probs):
-            aggs.append(F.max(F.when(F.col("_r") == los[i], F.col("_v"))).alias(f"_lo{i}"))
-            aggs.append(F.max(F.when(F.col("_r") == his[i], F.col("_v"))).alias(f"_hi{i}"))
-            aggs.append(F.first(fracs[i]).alias(f"_f{i}"))
-        g = sel.groupBy(*by).agg(*aggs)
-        out = g.select(*by, *[
-            (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(names[i])
-            for i in range(len(probs))])
-        return StateTable.build(out)
-    finally:
-        srt.unpersist()
+    cum, _ = _covered(df, value_col, by)
+    total = cum.groupBy(*by).agg(F.max("_after").alias("_n"))
+    ranked = cum.join(total, by)
+    aggs = []
+    for i, q in enumerate(probs):
+        pos = F.lit(float(q)) * (F.col("_n") - 1)
+        lo = F.floor(pos).cast("long")
+        aggs += [_at(lo).alias(f"_lo{i}"), _at(F.least(lo + 1, F.col("_n") - 1)).alias(f"_hi{i}"),
+                 F.max(pos - lo).alias(f"_f{i}")]
+    g = ranked.groupBy(*by).agg(*aggs)
+    return StateTable.build(g.select(*by, *[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")).alias(names[i])
+        for i in range(len(probs))]))
 
 
 def approx_quantiles(df: DataFrame, value_col: str, probs: list[float], accuracy: int = 100_000):

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 
 
 def group_sort_topk(df: DataFrame, by, score: str, k: int, tie: str | None = None,
@@ -31,9 +31,9 @@ def running_hits(df: DataFrame, by, score: str, rel: str, tie: str,
     offset of the preceding tasks' totals for that group (a small table)."""
     by = list(by)
     keys = [*by, F.col(score).desc(), F.col(tie).asc()]
-    # persisted: the task ids below must be the same in both branches
-    # (local sums and per-task totals), whatever the exchange-reuse setting
-    srt = df.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id()).persist(StorageLevel.MEMORY_AND_DISK)
+    # checkpointed: the task ids below must be the same in both branches
+    # (local sums and per-task totals); nothing stays cached
+    srt = cut_lineage(df.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id()))
     local_w = Window.partitionBy(*by, "__p").orderBy(F.col(score).desc(), F.col(tie).asc())
     local = (srt.withColumn("__h", F.sum(F.col(rel)).over(local_w.rowsBetween(Window.unboundedPreceding, 0)))
                 .withColumn("__n", F.row_number().over(local_w)))
@@ -58,8 +58,7 @@ def running_totals(df: DataFrame, by, order, values: dict) -> DataFrame:
     hot (or the single, when `by` is empty) group over many tasks; per-task
     local sums are shifted by the totals of the preceding tasks."""
     by = list(by)
-    srt = (df.repartitionByRange(*[F.col(b) for b in by], *order).withColumn("__p", F.spark_partition_id())
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    srt = cut_lineage(df.repartitionByRange(*[F.col(b) for b in by], *order).withColumn("__p", F.spark_partition_id()))
     local_w = Window.partitionBy(*by, "__p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = srt.select("*", *[F.sum(v).over(local_w).alias(f"__l_{k}") for k, v in values.items()])
     tot = local.groupBy(*by, "__p").agg(*[F.sum(v).alias(f"__t_{k}") for k, v in values.items()])

@@ -241,3 +241,21 @@ FROM customer c LEFT JOIN g ON c.c_mktsegment = g.c_mktsegment, o""")
 def q_group_deviation(spark, sf):
     st = NumCatInteraction("n15", {"c_mktsegment": ["c_acctbal"]})
     return _fit_apply(st, table(spark, sf, "customer"), ["c_custkey"])
+
+
+@register("box_cox_skewed", """
+WITH x AS (SELECT power((l_discount * 100 + 1) / 11.0, 0.125) AS x, count(*) AS c FROM lineitem GROUP BY l_discount),
+n AS (SELECT sum(c) AS n, sum(c * ln(x)) AS j FROM x),
+g AS (SELECT k / 1000.0 AS lam FROM (SELECT unnest(range(1, 20000)) AS k)),
+v AS (SELECT lam, sum(c * power((power(x, lam) - 1) / lam, 2)) / sum(c)
+        - power(sum(c * (power(x, lam) - 1) / lam) / sum(c), 2) AS var FROM g, x GROUP BY lam)
+SELECT round(max((lam - 1) * j - n / 2.0 * ln(var)), 1) AS llf FROM v, n""")
+def q_box_cox_skewed(spark, sf):
+    """N12 with an optimum far above 2: the log-likelihood that the fit reaches."""
+    import math
+
+    x = table(spark, sf, "lineitem").select(F.pow((F.col("l_discount") * 100 + 1) / 11.0, F.lit(0.125)).alias("x"))
+    lam = BoxCoxTransformer("n12s", ["x"]).fit(x).state["x"]
+    r = x.agg(F.var_pop((F.pow("x", F.lit(lam)) - 1) / lam).alias("v"), F.count(F.lit(1)).alias("n"),
+              F.sum(F.log("x")).alias("j"))
+    return tidy(r.select(((F.lit(lam) - 1) * F.col("j") - F.col("n") / 2 * F.log("v")).alias("llf")), overrides={"llf": 1})

@@ -74,15 +74,43 @@ def q_tfidf(spark, sf):
     return tidy(st.fit(d).transform(d))
 
 
-@register("count_vectorize_bigrams")
+@register("count_vectorize_bigrams", f"""
+WITH k AS (SELECT conv_id * 1000 + turn AS msg_id, regexp_extract_all(lower(coalesce(text, '')), {_q(TOKEN_RE)}) AS w
+           FROM conversations),
+t AS (SELECT msg_id, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM k),
+tc AS (SELECT msg_id, term, count(*) AS tf FROM t GROUP BY msg_id, term),
+vk AS (SELECT term FROM tc GROUP BY term HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 5000)
+SELECT msg_id, 'countvec_text_' || term AS feature, CAST(tf AS DOUBLE) AS value FROM tc JOIN vk USING (term)""")
 def q_count_vectorize_bigrams(spark, sf):
-    """Unigrams + bigrams over conversation turns (rows-only check)."""
+    """Unigrams + bigrams over conversation turns."""
     c = (table(spark, sf, "conversations")
          .select((F.col("conv_id") * 1000 + F.col("turn")).alias("msg_id"), "text"))
     st = CountVectorizer("x2b", "text", "msg_id", ngram_range=(1, 2), min_df=2, max_features=5000)
     return tidy(st.fit(c).transform(c))
 
 
+@register("feature_build_text", f"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), {_q(TOKEN_RE)})) AS term FROM documents),
+vk AS (SELECT term FROM t GROUP BY term ORDER BY count(*) DESC, term LIMIT 50),
+s AS (SELECT doc_id, count(*) AS n FROM t JOIN vk USING (term) GROUP BY doc_id)
+SELECT d.doc_id, d.source, CAST(coalesce(s.n, 0) AS DOUBLE) AS total, CAST(length(d.text) AS BIGINT) AS n_text
+FROM documents d LEFT JOIN s USING (doc_id)""")
+def q_feature_build_text(spark, sf):
+    """P1 with a bag of words: every row and column stays, one vector column
+    is added, and the next stage still finds its input."""
+    from pyspark.ml.functions import vector_to_array
+
+    from ..operators.custom import ExpressionStage
+    from ..plans.flows import FeatureSetBuilder
+
+    d = table(spark, sf, "documents").select("doc_id", "source", "text")
+    stages = [CountVectorizer("x2", "text", "doc_id", max_features=50),
+              ExpressionStage("n", {"n_text": "char_length(text)"})]
+    out, _ = FeatureSetBuilder(stages).run(d)
+    total = F.aggregate(vector_to_array("countvec_text"), F.lit(0.0), lambda a, x: a + x)
+    return tidy(out.select("doc_id", "source", total.alias("total"), "n_text"))
+
+
 # ------------------------------------------------------------------ word vectors
 DIM = 8
 

@@ -172,3 +172,21 @@ def q_row_mean(spark, sf):
 def q_global_top_n(spark, sf):
     """The single best feature."""
     return tidy(feature_ranking(_importances(spark, sf), top_n=1))
+
+
+@register("split_kfold_repeated_ids", f"""
+WITH n AS (SELECT count(*) AS n FROM lineitem), r AS (SELECT unnest(range(0, (SELECT n FROM n))) AS i)
+SELECT {_sized_sql('i', 'n.n', 5)} AS fold, count(*) AS n_rows FROM r, n GROUP BY 1""")
+def q_split_kfold_repeated_ids(spark, sf):
+    """V3 by an id that repeats: no row is lost or doubled."""
+    a = KFold(5, id_col="l_orderkey", shuffle=True, seed=42).assign(table(spark, sf, "lineitem"))
+    return tidy(a.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@register("split_kfold_hash", f"""
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
+  CAST({_hash_sql('l_orderkey')} % 5 AS BIGINT) AS fold FROM lineitem""")
+def q_split_kfold_hash(spark, sf):
+    """V3 as a projection: hash modulo k, no shuffle."""
+    a = KFold(5, id_col="l_orderkey", exact=False).assign(table(spark, sf, "lineitem"))
+    return tidy(a.select("l_orderkey", "l_linenumber", "fold"))
