@@ -88,6 +88,12 @@ class TextStatistics(StatelessStage):
         return df.select(*keep, *[v.alias(k) for k, v in out.items()])
 
 
+def _gram(toks, n: int):
+    """The n tokens from a position, as a function of one argument: Spark would
+    pass the element's index to a second one."""
+    return lambda i: F.array_join(F.slice(toks, i, n), " ")
+
+
 def tokens(t, ngram_range=(1, 1), stop_words=None):
     """Lower-cased tokens, stop words removed, then word n-grams joined by a
     space."""
@@ -107,8 +113,7 @@ def tokens(t, ngram_range=(1, 1), stop_words=None):
         if n == 1:
             grams.append(toks)
         else:
-            grams.append(F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - n + 1, F.lit(0))),
-                                     lambda i, n=n: F.array_join(F.slice(toks, i, n), " ")))
+            grams.append(F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - n + 1, F.lit(0))), _gram(toks, n)))
             grams[-1] = F.when(F.size(toks) >= n, grams[-1]).otherwise(F.array().cast("array<string>"))
     return grams[0] if len(grams) == 1 else F.flatten(F.array(*grams))
 
