@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -60,31 +60,33 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     Alternating large-star / small-star rounds. A round is two map-side
     combined minima and joins on the node (skewed nodes are split by adaptive
     execution); its links are written to the shared folder, so lineage stays
-    flat. Nothing but a checksum comes to the driver."""
-    e = (links.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v"))
-         .where("u < v").distinct())
-    e0 = e = stored(e, "links")
-    last = None
-    for _ in range(max_rounds):
+    flat. Nothing but a checksum, taken while writing, comes to the driver."""
+
+    def written(e: DataFrame):
+        seen = Observation()
+        e = stored(e.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")), "links")
+        return e, (seen.get["n"], seen.get["x"])
+
+    e, last = written(links.select(F.least(a, b).alias("u"), F.greatest(a, b).alias("v")).where("u < v").distinct())
+    for _ in range(max_rounds if last[0] else 0):
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
-        e = (both.where("v > u").join(low, "u").select(F.col("m").alias("u"), "v")
-             .where("u < v").distinct())
-        down = e.select(F.col("v").alias("x"), F.col("u").alias("y"))
+        star = (both.where("v > u").join(low, "u").select(F.col("m").alias("u"), "v")
+                .where("u < v").distinct())
+        down = star.select(F.col("v").alias("x"), F.col("u").alias("y"))
         low = down.groupBy("x").agg(F.min("y").alias("m"))
         j = down.join(low, "x")
-        e = (j.select(F.col("m").alias("u"), F.col("y").alias("v"))
-             .union(low.select(F.col("m").alias("u"), F.col("x").alias("v")))
-             .where("u < v").distinct())
-        old, e = e0, stored(e, "links")
+        star = (j.select(F.col("m").alias("u"), F.col("y").alias("v"))
+                .union(low.select(F.col("m").alias("u"), F.col("x").alias("v")))
+                .where("u < v").distinct())
+        old, (e, now) = e, written(star)
         discard(old)
-        e0 = e
-        r = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if (r[0], r[1]) == last:
+        if now == last:
             break
-        last = (r[0], r[1])
+        last = now
     else:
-        raise RuntimeError("components did not converge")
+        if last[0]:
+            raise RuntimeError("components did not converge")
     low = e.groupBy("v").agg(F.min("u").alias("component")).select(F.col("v").alias("node"), "component")
     return low.union(e.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
 
@@ -98,33 +100,71 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(hadoop).delete(p, True)
 
 
-def group_links(rows: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], similar: int,
-                tasks: int) -> DataFrame:
+CROWD = 32
+
+
+def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], similar: int, tasks: int,
+                finer: Callable[[DataFrame], DataFrame] | None = None,
+                common: Callable[[Column], Column] | None = None) -> DataFrame:
     """Verified links (a, b) between things that share a group, enough to give
     every component, without all pairs of a group.
 
     rows: t (group), c (thing, long), n (its set's size). Sets that differ too
-    much in size are never compared. Each thing is first compared with the
-    smallest of each of its groups; the links found join most of a group. Then
-    every pair with a common group that is still in different components is
-    compared, so no component is missed. `prepare` gets the rows of groups with
-    several things and returns the comparison: pairs (a, b) to the similar ones."""
+    much in size are never compared. Each thing is first compared with one
+    other: of the smallest things of its groups, the one it meets most often;
+    the links found join most of a group. Then every pair with a common group
+    that is still in different components is compared, so no component is
+    missed. `verify` takes pairs (a, b) and returns the similar ones.
+
+    A group with more than `CROWD` components left would make many pairs. With
+    `finer`, its things (c) are grouped anew, by groups (t, c, n) in which any
+    two similar things meet; else all groups are taken as they are. `common`
+    gives, for the smaller set's size, in how many of these groups (the finer
+    ones, if there are) two similar things meet at least."""
     w = Window.partitionBy("t")
+    near = (lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * similar)
     shared = (rows.repartition(tasks, "t").withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w))
-              .where("lo < hi").dropDuplicates(["t", "c"]).select("t", "c", "n", "lo"))
+              .withColumn("m", F.min_by("n", "c").over(w))
+              .where("lo < hi").dropDuplicates(["t", "c"]).select("t", "c", "n", "lo", "m"))
     shared = stored(shared, "shared")
-    verify = prepare(shared)
-    star = shared.where("c <> lo").select(F.col("lo").alias("a"), F.col("c").alias("b")).distinct()
+    star = (shared.where((F.col("c") != F.col("lo")) & near(F.col("n"), F.col("m")))
+            .groupBy("c", "lo").agg(F.count(F.lit(1)).alias("met"))
+            .groupBy("c").agg(F.max_by("lo", F.struct("met", "lo")).alias("a"))
+            .select("a", F.col("c").alias("b")))
+    star = stored(star, "star")
     one = stored(verify(star), "links")
-    comp = stored(components(one), "components")
-    r = (shared.join(comp, shared.c == comp.node, "left")
-         .select("t", "c", "n", F.coalesce("component", "c").alias("k")))
-    r = (r.withColumn("lo", F.min("k").over(w)).withColumn("hi", F.max("k").over(w)).where("lo < hi")
-         .select("t", "c", "n", "k"))
-    r = stored(r, "open")
-    other = r.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"))
-    near = F.least("n", "m") * 100 >= F.greatest("n", "m") * similar
-    rest = (r.join(other, "t").where((F.col("c") < F.col("b")) & (F.col("k") != F.col("k2")) & near)
-            .select(F.col("c").alias("a"), "b").distinct())
-    two = stored(verify(rest.join(star, ["a", "b"], "left_anti")), "links")
+    # every thing has one link at most, to a smaller one: follow them, doubling
+    # the step; what is still apart after eight is only compared once more
+    comp = one.groupBy("b").agg(F.min("a").alias("a"))
+    for _ in range(3):
+        up = comp.select(F.col("b").alias("b2"), F.col("a").alias("a2"))
+        comp = comp.join(up, comp.a == up.b2, "left").select("b", F.coalesce("a2", "a").alias("a"))
+    comp = stored(comp.select(F.col("b").alias("node"), F.col("a").alias("component")), "components")
+    open_groups = (lambda x: x.join(comp, x.c == comp.node, "left")
+                   .select("t", "c", "n", F.coalesce("component", "c").alias("k"))
+                   .withColumn("lo", F.min("k").over(w)).withColumn("hi", F.max("k").over(w)).where("lo < hi")
+                   .select("t", "c", "n", "k"))
+
+    def pairs(r, least_met):
+        other = r.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"))
+        met = (r.join(other, "t")
+               .where((F.col("c") < F.col("b")) & (F.col("k") != F.col("k2")) & near(F.col("n"), F.col("m")))
+               .groupBy(F.col("c").alias("a"), "b").agg(F.count(F.lit(1)).alias("met"),
+                                                        F.first(F.least("n", "m")).alias("least")))
+        return met.where(F.col("met") >= (least_met(F.col("least")) if least_met else 1)).select("a", "b")
+
+    if finer is None:
+        rest = pairs(stored(open_groups(shared), "open"), common)
+    else:
+        crowd = Window.partitionBy("t").orderBy("k")
+        first = (open_groups(shared).withColumn("rank", F.dense_rank().over(crowd))
+                 .withColumn("many", F.max("rank").over(w) > CROWD))
+        first = stored(first.select("t", "c", "n", "k", "many"), "open")
+        again = finer(first.where("many").select("c").distinct()).repartition(tasks, "t")
+        rest = (pairs(first.where("not many"), None)
+                .union(pairs(stored(open_groups(again), "open"), common)).distinct())
+    discard(shared)
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stored(rest.join(tried, ["a", "b"], "left_anti"), "rest")
+    two = stored(verify(rest), "links")
     return one.union(two)

@@ -5,8 +5,9 @@ A document's set holds its distinct 5-word shingles (64-bit hashes). Two sets
 with a Jaccard similarity of 0.75 or more share a token among the first
 n - ceil(0.75 n) + 1 tokens of each, under any order of all tokens. The first
 order puts rare tokens first: frequencies come from a count sketch of fixed
-size over all documents, and only prefixes are shuffled, by token. The other
-orders are random permutations; a candidate pair must share prefix tokens
+size over all documents, and only prefixes are shuffled, by token; they are a
+twentieth longer than that, and share a twentieth of the smaller set at least.
+The other orders are random permutations; a candidate pair must share prefix tokens
 under every one of them before the sets are compared exactly.
 
 Equal sets are one class. To emit no pairs inside large groups, each class is
@@ -26,12 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, group_links, stored, tasks_for
+from .common import components, discard, group_links, stored, tasks_for
 from .kernels import SPACE, Texts, gram_hash, mix, ragged, run_hash, signed, slices
 
 GRAM = 5
 SIMILAR = 75
-SKETCH_BITS = 18
+SKETCH_BITS = 22
+COMMON = 20
 SALTS = (0x51ED270B, 0x2545F491)
 
 
@@ -58,16 +60,19 @@ def shingles(col: pa.Array, gram: int):
     return tokens, np.searchsorted(row, np.arange(t.n + 1))
 
 
-def prefix_size(n: np.ndarray, similar: int) -> np.ndarray:
-    return np.where(n > 0, n - -(-similar * n // 100) + 1, 0)
+def prefix_size(n: np.ndarray, similar: int, common: int = 0) -> np.ndarray:
+    """Length of the prefixes in which two similar sets share a token; with
+    `common`, max(1, n // common) tokens for the size n of the smaller set."""
+    more = np.maximum(n // common, 1) if common else 1
+    return np.where(n > 0, np.minimum(n - -(-similar * n // 100) + more, n), 0)
 
 
-def prefixes(tokens: np.ndarray, bounds: np.ndarray, key: np.ndarray, similar: int):
+def prefixes(tokens: np.ndarray, bounds: np.ndarray, key: np.ndarray, similar: int, common: int = 0):
     """The tokens of each row that come first in the order of `key`."""
     n = np.diff(bounds)
     row = np.repeat(np.arange(len(n)), n)
     order = np.lexsort((tokens, key, row))
-    k = prefix_size(n, similar)
+    k = prefix_size(n, similar, common)
     return tokens[order][ragged(bounds[:-1], k)], np.concatenate([[0], np.cumsum(k)])
 
 
@@ -75,22 +80,43 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(signed(values)))
 
 
-def frequency_sketch(docs: DataFrame, gram: int, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Documents by hash slot of their shingles; 2**bits counts at any scale."""
+def frequency_sketch(docs: DataFrame, gram: int, bits: int = SKETCH_BITS, piece: int = 16) -> np.ndarray:
+    """Documents by hash slot of their shingles; 2**bits counts at any scale.
+    Tasks send their counts in compressed pieces, which are added up piece by
+    piece."""
 
-    def run(batches):
-        total = np.zeros(1 << bits, np.int64)
+    def count(batches):
+        total = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, _ = shingles(part.column("text"), gram)
-                total += np.bincount((tokens >> np.uint64(64 - bits)).astype(np.int64), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["slot", "n"])
-
-    got = docs.select("text").mapInArrow(run, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(1 << bits, np.int64)
-    out[got.column("slot").to_numpy()] = got.column("n").to_numpy()
-    return out
+                slot, n = np.unique((tokens >> np.uint64(64 - bits)).astype(np.int32), return_counts=True)
+                total[slot] += n.astype(np.uint32)
+        pieces = total.reshape(-1, 1 << piece)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(pieces), dtype=np.int32)),
+             pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in pieces], pa.binary())], names=["piece", "n"])
+
+    def add(batches):
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, x in zip(batch.column("piece").to_pylist(), batch.column("n")):
+                raw = pa.decompress(x.as_buffer(), decompressed_size=4 << piece, codec="zstd")
+                if k not in total:
+                    total[k] = np.zeros(1 << piece, np.uint64)
+                total[k] += np.frombuffer(raw, np.uint32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(total), pa.int32()),
+             pa.array([np.minimum(x, 65535).astype(np.uint16).tobytes() for x in total.values()], pa.binary())],
+            names=["piece", "n"])
+
+    n = 1 << (bits - piece)
+    got = (docs.select("text").mapInArrow(count, "piece int, n binary").repartition(n, "piece")
+           .mapInArrow(add, "piece int, n binary").toArrow())
+    out = np.zeros((n, 1 << piece), np.uint16)
+    for k, x in zip(got.column("piece").to_pylist(), got.column("n").to_pylist()):
+        out[k] = np.frombuffer(x, np.uint16)
+    return out.ravel()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", gram: int = GRAM,
@@ -100,7 +126,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     classes, a and b."""
     spark, bits = docs.sparkSession, SKETCH_BITS
     src = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text).alias("text"))
-    sketch = spark.sparkContext.broadcast(frequency_sketch(src, gram).astype(np.float64))
+    sketch = spark.sparkContext.broadcast(frequency_sketch(src, gram))
 
     def first_pass(batches):
         count = sketch.value
@@ -108,24 +134,21 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
             for part in slices(batch, "text"):
                 tokens, bounds = shingles(part.column("text"), gram)
                 n = np.diff(bounds)
-                total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens ^ np.uint64(0xA5A5)))])
-                c = mix(total[bounds[1:]] - total[bounds[:-1]] + n.astype(np.uint64))
-                head, hb = prefixes(tokens, bounds, count[(tokens >> np.uint64(64 - bits)).astype(np.int64)], similar)
+                c = class_of(tokens, bounds)
+                head, hb = prefixes(tokens, bounds, count[(tokens >> np.uint64(64 - bits)).astype(np.int64)], similar,
+                                    COMMON)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("d"), pa.array(n.astype(np.int64)), pa.array(signed(c)), _lists(head, hb)],
+                    [part.column("d"), pa.array(n.astype(np.int64)), pa.array(c), _lists(head, hb)],
                     names=["d", "n", "c", "head"])
 
     heads = stored(src.mapInArrow(first_pass, "d long, n long, c long, head array<long>"), "heads")
-    meta = heads.select("d", "n", "c")
-    classes = meta.where("n > 0 and d is not null").groupBy("c").agg(F.min("d").alias("low"))
+    meta = stored(heads.select("d", "n", "c"), "sizes")
+    classes = stored(meta.where("n > 0 and d is not null").groupBy("c").agg(F.min("d").alias("low")), "classes")
     # classes by prefix token, in the first order
     rows = heads.where("d is not null").select(F.explode("head").alias("t"), "c", F.col("n").cast("int").alias("n"))
-
-    def compare(shared):
-        sets = _sets(src, shared.select("c").distinct().join(classes, "c"), gram, similar)
-        return lambda pairs: _verified(pairs, sets, similar)
-
-    links = group_links(rows, compare, similar, tasks_for(docs))
+    links = group_links(rows, lambda pairs: _verified(pairs, src, classes, gram, similar), similar, tasks_for(docs),
+                        common=lambda n: F.greatest(F.floor(n / COMMON), F.lit(1)))
+    discard(heads)
     comp = components(links)
     low = classes.join(comp, classes.c == comp.node, "left").select("c", "low", F.coalesce("component", "c").alias("k"))
     root = low.groupBy("k").agg(F.min("low").alias("component_id"))
@@ -139,52 +162,59 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     return out, pairs
 
 
-def _sets(src: DataFrame, wanted: DataFrame, gram: int, similar: int) -> DataFrame:
-    """Sets of one document of each wanted class (c, low), with the prefixes
-    under the other orders: c, set, p0, p1."""
+def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame, gram: int, similar: int) -> DataFrame:
+    """Pairs (a, b) of classes that pass the other orders' filters and the exact
+    test, on the texts of each class's smallest document."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(classes, "c")
+    one = src.join(wanted, src.d == wanted.low).select("c", "text")
 
-    def run(batches):
+    def same_class(batches):
+        """Rows that repeat an id may hold another text, of another class."""
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, bounds = shingles(part.column("text"), gram)
-                heads = [prefixes(tokens, bounds, mix(tokens ^ np.uint64(s)), similar) for s in SALTS]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("c"), _lists(tokens, bounds), *(_lists(*x) for x in heads)],
-                    names=["c", "set", *(f"p{k}" for k in range(len(heads)))])
-
-    one = src.join(wanted, src.d == wanted.low).select("c", "text")
-    cols = ", ".join(f"p{k} array<long>" for k in range(len(SALTS)))
-    # rows that repeat an id may hold another text: its class then has another set
-    return stored(one.mapInArrow(run, f"c long, set array<long>, {cols}").dropDuplicates(["c"]), "sets")
-
+                yield part.filter(pa.array(class_of(tokens, bounds) == part.column("c").to_numpy()))
 
-def _verified(pairs: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
-    """Pairs (a, b) that pass the other orders' filters and the exact test."""
-    order = [f"p{k}" for k in range(len(SALTS))]
-    x = sets.select(F.col("c").alias("a"), F.col("set").alias("sa"), *(F.col(p).alias(f"a{p}") for p in order))
-    y = sets.select(F.col("c").alias("b"), F.col("set").alias("sb"), *(F.col(p).alias(f"b{p}") for p in order))
-    small = F.least(F.size("sa"), F.size("sb")) * 100 >= F.greatest(F.size("sa"), F.size("sb")) * similar
-    both = pairs.join(x, "a").join(y, "b").where(small)
+    texts = stored(one.mapInArrow(same_class, "c long, text string"), "texts")
+    x = texts.select(F.col("c").alias("a"), F.col("text").alias("x"))
+    y = texts.select(F.col("c").alias("b"), F.col("text").alias("y"))
+    both = pairs.join(x, "a").join(y, "b")
 
     def run(batches):
         for batch in batches:
-            a, b = batch.column("sa"), batch.column("sb")
-            heads = [(batch.column(f"a{p}"), batch.column(f"b{p}")) for p in order]
-            flat = {id(c): (c.values.to_numpy(), c.offsets.to_numpy()) for c in (a, b, *(z for h in heads for z in h))}
-            get = (lambda c, i: flat[id(c)][0][flat[id(c)][1][i]:flat[id(c)][1][i + 1]])
-            keep = []
-            for i in range(batch.num_rows):
-                if any(not np.isin(get(p, i), get(q, i)).any() for p, q in heads):
-                    continue
-                u, v = get(a, i), get(b, i)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                if 100 * both >= similar * (len(u) + len(v) - both):
-                    keep.append(i)
-            keep = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)],
-                                             names=["a", "b"])
-
-    return both.mapInArrow(run, "a long, b long")
+            for part in slices(batch, "x", 1 << 20):
+                yield _compare(part, gram, similar)
+
+    return both.mapInArrow(run, "a long, b long").distinct()
+
+
+def class_of(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """One number for a set."""
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens ^ np.uint64(0xA5A5)))])
+    return signed(mix(total[bounds[1:]] - total[bounds[:-1]] + np.diff(bounds).astype(np.uint64)))
+
+
+def _common(x, bx, y, by, n: int) -> np.ndarray:
+    """Number of common tokens of each pair of sorted sets."""
+    row = np.concatenate([np.repeat(np.arange(n), np.diff(bx)), np.repeat(np.arange(n), np.diff(by))])
+    both = np.concatenate([x, y])
+    order = np.lexsort((both, row))
+    row, both = row[order], both[order]
+    same = (row[1:] == row[:-1]) & (both[1:] == both[:-1])
+    return np.bincount(row[1:][same], minlength=n)
+
+
+def _compare(part: pa.RecordBatch, gram: int, similar: int) -> pa.RecordBatch:
+    n = part.num_rows
+    x, bx = shingles(part.column("x"), gram)
+    y, by = shingles(part.column("y"), gram)
+    keep = np.ones(n, bool)
+    for s in SALTS:
+        heads = [prefixes(v, b, mix(v ^ np.uint64(s)), similar) for v, b in ((x, bx), (y, by))]
+        keep &= _common(*heads[0], *heads[1], n) > 0
+    both = _common(x, bx, y, by, n)
+    keep &= 100 * both >= similar * (np.diff(bx) + np.diff(by) - both)
+    return part.select(["a", "b"]).filter(pa.array(keep))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", gram: int = GRAM,
