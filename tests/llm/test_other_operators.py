@@ -185,6 +185,40 @@ def test_vectors(spark, leaf, fan):
     assert ordered(got.collect()) == ordered(brute_vectors(rows))
 
 
+def shapes(r):
+    """Unit vectors on arcs and patches: rows of few dimensions whose cells
+    reach far beside the cells of their centres."""
+    for d in (2, 3, 4):
+        for n, wide in ((6, 0.4), (12, 0.8), (40, 1.5), (90, 3.0)):
+            arc = np.zeros((n, d))
+            angle = np.sort(r.uniform(-wide, wide, n))
+            arc[:, 0], arc[:, 1] = np.cos(angle), np.sin(angle)
+            patch = np.concatenate([r.uniform(-wide, wide, (n, d - 1)), np.ones((n, 1))], 1)
+            for u in (arc, patch):
+                u = u / np.sqrt((u * u).sum(1))[:, None]
+                for order in (np.arange(n), np.arange(n)[::-1], r.permutation(n), r.permutation(n)):
+                    yield u[order]
+
+
+def test_linked_is_whole():
+    flat = np.array([(-.33, 0), (-.13, 0), (-.03, 0), (-.03, .19), (.33, 0), (.16, 0)])
+    u = np.concatenate([flat, np.sqrt(1 - (flat * flat).sum(1))[:, None]], 1)
+    cases = [u] + list(shapes(np.random.default_rng(11)))
+    for a, b in [(x, x) for x in cases] + list(zip(cases[1:-4], cases[5:])):
+        if a.shape[1] == b.shape[1]:
+            for cosine in (0.9, 0.98, 0.999):
+                cos = a @ b.T
+                got, sure = cover_tree.linked(a, b, cosine), np.abs(cos - cosine) > 1e-12
+                assert (got == (cos >= cosine))[sure].all()
+
+
+def test_levels_are_nested():
+    for u in shapes(np.random.default_rng(12)):
+        levels = list(cover_tree._levels(u))
+        for (_, above, _), (net, of, _) in zip(levels, levels[1:]):
+            assert (above[net[of]] == above).all() and (of[net] == np.arange(len(net))).all()
+
+
 def test_no_vectors(spark):
     d = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert cover_tree.near_vectors(d).count() == 0
