@@ -117,10 +117,16 @@ def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], simil
     missed. `verify` takes pairs (a, b) and returns the similar ones.
 
     A group with more than `CROWD` components left would make many pairs. With
-    `finer`, its things (c) are grouped anew, by groups (t, c, n) in which any
-    two similar things meet; else all groups are taken as they are. `common`
-    gives, for the smaller set's size, in how many of these groups (the finer
-    ones, if there are) two similar things meet at least."""
+    `finer`, its things (c) are grouped anew, by groups (t, c, n, i): t is the
+    i-th token, from 0, of a set of n under one order of all tokens, and any two
+    similar things meet; else all groups are taken as they are. `common` gives,
+    for the smaller set's size, in how many of these groups (the finer ones, if
+    there are) two similar things meet at least.
+
+    Two similar sets of n and m tokens share `need` of them or more. Their first
+    `common` shared tokens then have need - common others behind them in both
+    sets, so tokens of the finer groups meet only at places before n - need +
+    common and m - need + common."""
     w = Window.partitionBy("t")
     near = (lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * similar)
     shared = (rows.repartition(tasks, "t").withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w))
@@ -141,28 +147,32 @@ def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], simil
         comp = comp.join(up, comp.a == up.b2, "left").select("b", F.coalesce("a2", "a").alias("a"))
     comp = stored(comp.select(F.col("b").alias("node"), F.col("a").alias("component")), "components")
     open_groups = (lambda x: x.join(comp, x.c == comp.node, "left")
-                   .select("t", "c", "n", F.coalesce("component", "c").alias("k"))
+                   .select(*x.columns, F.coalesce("component", "c").alias("k"))
                    .withColumn("lo", F.min("k").over(w)).withColumn("hi", F.max("k").over(w)).where("lo < hi")
-                   .select("t", "c", "n", "k"))
-
-    def pairs(r, least_met):
-        other = r.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"))
-        met = (r.join(other, "t")
-               .where((F.col("c") < F.col("b")) & (F.col("k") != F.col("k2")) & near(F.col("n"), F.col("m")))
+                   .drop("lo", "hi"))
+
+    def pairs(r, least_met, placed=False):
+        other = r.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"),
+                         *([F.col("i").alias("j")] if placed else []))
+        may = (F.col("c") < F.col("b")) & (F.col("k") != F.col("k2")) & near(F.col("n"), F.col("m"))
+        if placed:
+            room = least_met(F.least("n", "m")) - F.ceil((F.col("n") + F.col("m")) * similar / (100 + similar))
+            may &= (F.col("i") < F.col("n") + room) & (F.col("j") < F.col("m") + room)
+        met = (r.join(other, "t").where(may)
                .groupBy(F.col("c").alias("a"), "b").agg(F.count(F.lit(1)).alias("met"),
                                                         F.first(F.least("n", "m")).alias("least")))
         return met.where(F.col("met") >= (least_met(F.col("least")) if least_met else 1)).select("a", "b")
 
     if finer is None:
-        rest = pairs(stored(open_groups(shared), "open"), common)
+        rest = pairs(stored(open_groups(shared.select("t", "c", "n")), "open"), common)
     else:
         crowd = Window.partitionBy("t").orderBy("k")
-        first = (open_groups(shared).withColumn("rank", F.dense_rank().over(crowd))
+        first = (open_groups(shared.select("t", "c", "n")).withColumn("rank", F.dense_rank().over(crowd))
                  .withColumn("many", F.max("rank").over(w) > CROWD))
         first = stored(first.select("t", "c", "n", "k", "many"), "open")
         again = finer(first.where("many").select("c").distinct()).repartition(tasks, "t")
         rest = (pairs(first.where("not many"), None)
-                .union(pairs(stored(open_groups(again), "open"), common)).distinct())
+                .union(pairs(stored(open_groups(again), "open"), common, True)).distinct())
     discard(shared)
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.join(tried, ["a", "b"], "left_anti"), "rest")

@@ -1,15 +1,18 @@
 """Operators on texts against brute force, with nulls, empty and odd texts,
 repeated rows and clashing column names."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from foldwise.llm import decontam, line_dedup, ngram_join, rlz, suffix_dedup
+from foldwise.llm.common import components, group_links
 from foldwise.llm.suffix_sort import long_repeats, packed, suffix_array
 
 from .helpers import (brute_bytes, brute_contamination, brute_factor, brute_lines, brute_similar, corpus, ordered, sha,
-                      words)
+                      union_find, words)
 
 SCHEMA = "doc_id long, text string"
 
@@ -148,3 +151,30 @@ def test_lines(spark, empty):
         (w[0], w[3]) for w in want if w[1] == 0 or w[2] < w[1])
     assert left.where("doc_id = 100 and text is null").count() == 1
     assert line_dedup.dedup_lines(empty).count() == 0
+
+
+def crowded_lines(n: int = 120):
+    """Lines with one common passage, below the threshold among each other, and
+    each with a longer copy: a unique tail makes the similarity exactly 0.80."""
+    r = random.Random(21)
+    text = (lambda k: "".join(r.choice("abcdefghijklmnop") for _ in range(k)))
+    passage, out = text(150), []
+    for _ in range(n):
+        size = r.choice([200, 240, 320])
+        line = text(size - 143) + passage  # `size` shingles
+        out += [line, line + text(size // 4)]
+    return out
+
+
+def test_crowded_band_is_compared_whole(spark):
+    """All lines in one band: every similar pair is in one component."""
+    line = dict(enumerate(crowded_lines()))
+    texts = spark.createDataFrame([(k, x.encode()) for k, x in line.items()], "c long, line binary")
+    sets = {k: {x[j:j + 8] for j in range(len(x) - 7)} for k, x in line.items()}
+    links = [(a, b) for a in sets for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert len(links) == len(line) // 2
+    met = texts.select(F.lit(1).cast("long").alias("t"), "c", F.lit(1).alias("n"))
+    found = group_links(met, lambda pairs: line_dedup._verified(pairs, texts, 80), 80, 4,
+                        lambda wanted: line_dedup._rare_shingles(texts.join(wanted, "c"), 80), line_dedup._rare_common)
+    got = {x["node"]: x["component"] for x in components(found).collect()}
+    assert {k: got.get(k, k) for k in line} == union_find(line, links)
