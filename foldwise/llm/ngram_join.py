@@ -122,8 +122,9 @@ def frequency_sketch(docs: DataFrame, gram: int, bits: int = SKETCH_BITS, piece:
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", gram: int = GRAM,
                       similar: int = SIMILAR) -> tuple[DataFrame, DataFrame]:
     """(documents, links): doc_id, n_shingles, component_id for every row of
-    docs; and the verified links between classes, as the smallest ids of both
-    classes, a and b."""
+    docs; and verified links between classes, as the smallest ids of both
+    classes, a and b. The links span every component but are not all similar
+    pairs: classes that earlier links joined are not compared again."""
     spark, bits = docs.sparkSession, SKETCH_BITS
     src = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text).alias("text"))
     sketch = spark.sparkContext.broadcast(frequency_sketch(src, gram))
