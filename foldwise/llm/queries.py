@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, decontam, langid, line_dedup, mixing, ngram_join, preference, rlz, suffix_dedup, toxicity
+from . import cover_tree, decontam, importance, langid, line_dedup, mixing, ngram_join, preference, rlz, suffix_dedup, toxicity
 from .common import is_held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,3 +211,42 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("pair_id", F.col("n_common").cast("long").alias("n_common"), "prompt", "chosen_completion",
                       "rejected_completion", spans("chosen_mask").alias("chosen_mask"),
                       spans("rejected_mask").alias("rejected_mask"))
+
+
+# ------------------------------------------------------------------ 12
+OP12_SQL = f"""
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce({_WORDS9.format(t='text')}, []) AS w FROM documents),
+e AS (SELECT {_WORDS9.format(t='text')} AS w FROM benchmark WHERE text IS NOT NULL),
+fd AS MATERIALIZED (
+  SELECT doc_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM d),
+fb AS MATERIALIZED (
+  SELECT unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS f FROM e),
+c AS MATERIALIZED (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y:
+    CASE WHEN x & 1 = 1 THEN xor(3988292384, x >> 1) ELSE x >> 1 END)) AS crc),
+b AS MATERIALIZED (
+  SELECT f, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+      list_transform(range(1, len(h) // 2 + 1), lambda i: ('0x' || substr(h, 2 * i - 1, 2))::BIGINT)),
+    lambda x, y: xor(x >> 8, crc[(xor(x, y) & 255) + 1]))) % 10000 AS b
+  FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM fd UNION SELECT f FROM fb)), c),
+s AS (SELECT b, count(*) AS s FROM fd JOIN b USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM fb JOIN b USING (f) GROUP BY b),
+g AS (SELECT s.b AS b, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM fd) + 10000)::DOUBLE
+        / ((s + 1)::DOUBLE * ((SELECT count(*) FROM fb) + 10000)::DOUBLE))) AS BIGINT) AS g FROM s LEFT JOIN t ON s.b = t.b),
+w AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(g) AS BIGINT) AS z
+      FROM fd JOIN b USING (f) JOIN g USING (b) GROUP BY doc_id),
+o AS (SELECT d.doc_id, len(w) >= 20 AS fit, coalesce(n, 0) AS n_features,
+        coalesce((z - ((z % n) + n) % n) // n, 0) AS weight,
+        CAST(floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+          / 4294967296::DOUBLE))) AS BIGINT) AS noise FROM d LEFT JOIN w USING (doc_id)),
+r AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY weight + noise DESC, doc_id) AS k FROM o)
+SELECT doc_id, n_features, weight, weight + noise AS score,
+  CASE WHEN fit AND k <= (SELECT 25 * count(*) // 100 FROM o WHERE fit) THEN k END AS rank
+FROM r
+"""
+
+
+@register("op12_importance_resampling", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and noisy score of every document, and the ranks of those drawn."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
