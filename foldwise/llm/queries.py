@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cover_tree, decontam, importance, langid, line_dedup, mixing, ngram_join, preference, rlz, suffix_dedup, toxicity
-from .common import is_held_out, table
+from . import alignment, cover_tree, decontam, importance, langid, line_dedup, mixing, ngram_join, preference, rlz, suffix_dedup, toxicity
+from .common import is_held_out, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -250,3 +250,17 @@ FROM r
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight and noisy score of every document, and the ranks of those drawn."""
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+
+
+# ------------------------------------------------------------------ 11
+@register("op11_cross_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups, links and corpus-wide link counts of every document's tokens."""
+    import public_tokenizers
+
+    aligned = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                              public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2(F.col("groups").cast("binary"), 256)).otherwise("")
+    aligned = stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.link_scores(aligned).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                                                 "groups_sha256")
