@@ -118,7 +118,7 @@ class Filter:
         place = F.explode(F.array(F.col("h1").bitwiseAND(m), F.shiftright("h1", 32).bitwiseAND(m),
                                   F.col("h2").bitwiseAND(m)))
         got = (keys.select(place.alias("p")).groupBy(F.shiftright("p", 5).cast("int").alias("w"))
-               .agg(F.bit_or(F.shiftleft(F.lit(1).cast("long"), F.col("p").bitwiseAND(31).cast("int"))).alias("b"))
+               .agg(F.expr("bit_or(shiftleft(1L, cast(p & 31 AS int)))").alias("b"))
                .toPandas())
         words = np.zeros(max(1 << bits >> 5, 1), np.uint32)
         words[got["w"].to_numpy(np.int64)] = got["b"].to_numpy(np.int64).astype(np.uint32)
@@ -174,14 +174,27 @@ def dictionary(docs: DataFrame, vocab: str, known, text: str = "text", zeros: in
     return once.dropDuplicates(["h1", "h2"]).mapInArrow(encode_each, "h1 long, h2 long, ids binary")
 
 
-def pieces(text: str, own: ByteVocab, special, keep, zeros: int = ZEROS, encode: bool = True):
+def _held(text: str, special, keep, zeros: int) -> bool:
+    """Whether a text has a dictionary chunk."""
+    return any(not wall and chunk_key(raw) in keep for raw, wall in chunks(text, special, zeros))
+
+
+def _plain(text: str, own: ByteVocab, special) -> np.ndarray:
+    """Ids of a text encoded whole."""
+    out = []
+    for i, s in enumerate(special.split(text) if special else [text]):
+        out += [own.special[s]] if i % 2 else own.plain(s)
+    return np.array(out, KIND)
+
+
+def pieces(text: str, own: ByteVocab, special, keep, zeros: int = ZEROS):
     """A text as [(key of a dictionary chunk, None) or (None, ids)], special
     tokens and the stretches between dictionary chunks being ids."""
     out, run = [], []
 
     def close():
         if run:
-            out.append((None, np.array(own.plain(b"".join(run).decode()), KIND) if encode else None))
+            out.append((None, np.array(own.plain(b"".join(run).decode()), KIND)))
             run.clear()
 
     for raw, wall in chunks(text, special, zeros):
@@ -263,11 +276,9 @@ def encode(docs: DataFrame, vocab: str, text: str = "text", out: str = "ids", ze
             for part in slices(batch, t, SLICE):
                 rows, ids = [], []
                 for i, s in enumerate(part.column(t).to_pylist()):
-                    p = pieces(s, own, special, keep, zeros, encode=False)
-                    if all(k is None for k, _ in p):
-                        p = pieces(s, own, special, keep, zeros)
+                    if not _held(s, special, keep, zeros):
                         rows.append(i)
-                        ids.append(np.concatenate([x for _, x in p]) if p else np.zeros(0, KIND))
+                        ids.append(_plain(s, own, special))
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c).take(pa.array(rows, pa.int64())) for c in carry), _lists(ids)], names=[*carry, out])
 
@@ -282,11 +293,11 @@ def encode(docs: DataFrame, vocab: str, text: str = "text", out: str = "ids", ze
                     if with_pieces and k in seen:
                         continue
                     seen.add(k)
-                    p = pieces(s, own, special, keep, zeros, encode=with_pieces)
-                    if any(h is not None for h, _ in p):
+                    if _held(s, special, keep, zeros):
                         rows.append(i)
-                        got.append([{"h1": h and h[0], "h2": h and h[1], "ids": None if x is None else x.tobytes()}
-                                    for h, x in p])
+                        if with_pieces:
+                            got.append([{"h1": h and h[0], "h2": h and h[1], "ids": None if x is None else x.tobytes()}
+                                        for h, x in pieces(s, own, special, keep, zeros)])
                 yield part.take(pa.array(rows, pa.int64())).drop_columns([t]) if not with_pieces else (
                     pa.RecordBatch.from_arrays(
                         [part.column(key).take(pa.array(rows, pa.int64())),

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, cover_tree, decontam, importance, langid, line_dedup, mixing, ngram_join, preference, rlz, suffix_dedup, toxicity
+from . import alignment, bpe_chunks, cover_tree, decontam, importance, langid, line_dedup, mixing, ngram_join, preference, rlz, suffix_dedup, toxicity
 from .common import is_held_out, stored, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -264,3 +264,17 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     aligned = stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
     return alignment.link_scores(aligned).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
                                                  "groups_sha256")
+
+
+# ------------------------------------------------------------------ 13
+@register("op13_bpe_chunk_reuse")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, and the text that they decode to."""
+    import public_tokenizers
+
+    vocab = public_tokenizers.path("byte_bpe_50k.json")
+    ids = bpe_chunks.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab)
+    return bpe_chunks.decode(ids, vocab).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
