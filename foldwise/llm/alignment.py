@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from .common import fresh, stored
 from .kernels import ragged, slices
-from .vocab import ByteVocab, PairWords, PieceVocab, joined, once, safe_parts
+from .vocab import ByteVocab, PieceVocab, SliceIds, once
 
-LANES = 2048
+LANES = 8192
 FREQUENT = 1 << 20
-SLICE = 1 << 20
+SLICE = 2 << 20
 WIDE = 1 << 12
 SHIFT = 16
 
@@ -43,43 +43,50 @@ def gallop(x: np.ndarray, ends: np.ndarray, lanes: int = LANES) -> np.ndarray:
         return np.zeros(0, np.int64)
     lanes = min(lanes, n)
     steps = -(-n // lanes)
-    grid = np.concatenate([x, np.full(lanes * steps - n, x[-1])]).reshape(lanes, steps)
+    grid = np.ascontiguousarray(np.concatenate([x, np.full(lanes * steps - n, x[-1])]).reshape(lanes, steps).T)
     # place 0 is before all values, the last one after them
-    big = np.iinfo(np.int64).max
-    line = np.concatenate([[-1], ends, [big]]).astype(np.int64)
+    line = np.concatenate([[-1], ends, [np.iinfo(np.int64).max]]).astype(np.int64)
     last = len(line) - 1
-    out = np.empty((lanes, steps), np.int64)
+    out = np.empty((steps, lanes), np.int64)
     at = np.ones(lanes, np.int64)
     for j in range(steps):
-        want = grid[:, j]
-        low, high, step = at - 1, at, 1
-        past = line[high] < want
-        while past.any():
-            low = np.where(past, high, low)
-            high = np.where(past, np.minimum(high + step, last), high)
-            step *= 2
+        lane = np.flatnonzero(line[at] < grid[j])
+        low, want, step = at[lane], grid[j][lane], 1
+        while len(lane):
+            high = np.minimum(low + step, last)
             past = line[high] < want
-        while (high - low > 1).any():
-            mid = (low + high) >> 1
-            under = line[mid] < want
-            low, high = np.where(under, mid, low), np.where(under, high, np.maximum(mid, low + 1))
-        at = high
-        out[:, j] = high
-    return out.ravel()[:n] - 1
-
-
-def common_ends(a: np.ndarray, b: np.ndarray, a_shorter: np.ndarray, b_shorter: np.ndarray):
-    """Ranks (in a, in b) of the ends that both lists hold. `a_shorter` marks the
-    ends of a that drive the search, `b_shorter` those of b."""
-    found = []
-    for short, long, drive in ((a, b, a_shorter), (b, a, b_shorter)):
-        rank = np.flatnonzero(drive)
-        place = gallop(short[rank], long)
-        hit = place < len(long)
-        hit[hit] = long[place[hit]] == short[rank[hit]]
-        found.append((rank[hit], place[hit]))
-    (ia, ib), (jb, ja) = found
-    ia, ib = np.concatenate([ia, ja]), np.concatenate([ib, jb])
+            there = ~past
+            if there.any():
+                at[lane[there]] = _halve(line, low[there], high[there], want[there])
+            lane, low, want, step = lane[past], high[past], want[past], step * 2
+        out[j] = at
+    return out.T.ravel()[:n] - 1
+
+
+def _halve(line: np.ndarray, low: np.ndarray, high: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """The first place after `low`, up to `high`, that is not smaller."""
+    while (high - low > 1).any():
+        mid = (low + high) >> 1
+        under = line[mid] < want
+        low, high = np.where(under, mid, low), np.where(under, high, np.maximum(mid, low + 1))
+    return high
+
+
+def common_ends(a: np.ndarray, b: np.ndarray, a_short: np.ndarray, b_short: np.ndarray):
+    """Ranks (in a, in b) of the ends that both lists hold. The marks say of every
+    end of a and b whether its text has no more ends in a than in b: there a's
+    ends drive the search, else b's."""
+    ia, ib = [], []
+    for mark in (True, False):
+        ra, rb = np.flatnonzero(a_short == mark), np.flatnonzero(b_short == mark)
+        x, y = (a[ra], b[rb]) if mark else (b[rb], a[ra])
+        place = gallop(x, y)
+        hit = place < len(y)
+        hit[hit] = y[place[hit]] == x[hit]
+        found = np.flatnonzero(hit), place[hit]
+        ia.append(ra[found[0] if mark else found[1]])
+        ib.append(rb[found[1] if mark else found[0]])
+    ia, ib = np.concatenate(ia), np.concatenate(ib)
     order = np.argsort(ia, kind="stable")
     return ia[order], ib[order]
 
@@ -88,29 +95,14 @@ class Aligned:
     """The alignment of one slice of texts: ids of all its tokens side by side,
     tokens of each text, and of each group the text, first tokens and sizes."""
 
-    def __init__(self, texts: list, words: PairWords):
-        va, vb = words.vocabs
-        ids = ([], [])
-        n = np.zeros((2, len(texts)), np.int64)
-        parts = [safe_parts(t) if t else [] for t in texts]
-        words.ids([p for q in parts for p in q])  # what is new in the slice, at once
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            a, b = words.ids(parts[i])
-            raw = (" " + t).encode()
-            if joined(va.table, a) != raw or joined(vb.table, b) != raw:
-                continue
-            ids[0].append(a)
-            ids[1].append(b)
-            n[:, i] = len(a), len(b)
-        cat = (lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
-        self.a, self.b = cat(ids[0]), cat(ids[1])
-        self.n = n
+    def __init__(self, texts: list, va: ByteVocab, vb: PieceVocab):
+        x = SliceIds(texts, [va, vb])
+        self.a, self.b = (i.astype(np.int64) for i in x.ids)
+        self.n = n = x.n
         # every text's last ends are common, so ends may run on over all texts
         ends = np.cumsum(va.size[self.a]), np.cumsum(vb.size[self.b])
         short = n[0] <= n[1]
-        ia, ib = common_ends(*ends, np.repeat(short, n[0]), np.repeat(~short, n[1]))
+        ia, ib = common_ends(*ends, np.repeat(short, n[0]), np.repeat(short, n[1]))
         before = (lambda x: np.concatenate([[-1], x[:-1]]) if len(x) else x)
         self.at = before(ia) + 1, before(ib) + 1
         self.size = ia + 1 - self.at[0], ib + 1 - self.at[1]
@@ -120,9 +112,9 @@ class Aligned:
         self.n_links = np.zeros(k, np.int64)
         np.add.at(self.n_links, self.text, self.size[0] * self.size[1])
 
-    def groups(self) -> list[bytes]:
+    def groups(self) -> pa.Array:
         """Of each text: its groups as a1,a2|b1;a3|b2,b3."""
-        (na, nb), n = self.size, len(self.text)
+        na, nb = self.size
         out_at = np.cumsum(na + nb) - na - nb
         total = int((na + nb).sum())
         ids, mark = np.empty(total, np.int64), np.zeros(total, np.int64)
@@ -130,9 +122,13 @@ class Aligned:
         ids[ragged(out_at + na, nb)] = self.b
         mark[out_at + na - 1] = 1
         mark[out_at + na + nb - 1] = 2
-        written = once("written ids", _written)[mark, ids].tolist()
-        stop = np.cumsum(self.n.sum(0)).tolist()
-        return [b"".join(written[i:j])[:-1] for i, j in zip([0, *stop], stop)]
+        stop = np.cumsum(self.n.sum(0))
+        mark[stop[self.n[0] > 0] - 1] = 3
+        written, size = once("written ids", _written)
+        cells = written[mark, ids].view(np.uint8)
+        off = np.concatenate([[0], np.cumsum(size[mark, ids])])[np.concatenate([[0], stop])]
+        return pa.LargeStringArray.from_buffers(len(stop), pa.py_buffer(off.astype(np.int64)),
+                                                pa.py_buffer(cells[cells != 0])).cast(pa.string())
 
     def pairs(self):
         """(text, pair, links): pairs of ids linked in a text, ascending by text
@@ -161,9 +157,11 @@ class Aligned:
         return key >> 2 * SHIFT, key & ((1 << 2 * SHIFT) - 1), n
 
 
-def _written() -> np.ndarray:
-    """Every id as text, followed by a comma, a bar or a semicolon."""
-    return np.array([[b"%d%s" % (i, c) for i in range(1 << SHIFT)] for c in (b",", b"|", b";")])
+def _written():
+    """Every id as text, followed by a comma, a bar, a semicolon or nothing, and
+    the lengths."""
+    text = np.array([[b"%d%s" % (i, c) for i in range(1 << SHIFT)] for c in (b",", b"|", b";", b"")])
+    return text, np.char.str_len(text)
 
 
 def align(docs: DataFrame, byte_vocab: str, piece_vocab: str, text: str = "text") -> DataFrame:
@@ -178,16 +176,15 @@ def align(docs: DataFrame, byte_vocab: str, piece_vocab: str, text: str = "text"
     src = docs.select(*carry, F.col(text).alias(t))
 
     def run(batches):
-        words = once(("pairs", byte_vocab, piece_vocab),
-                     lambda: PairWords(ByteVocab.of(byte_vocab), PieceVocab.of(piece_vocab)))
+        vocabs = ByteVocab.of(byte_vocab), PieceVocab.of(piece_vocab)
         for batch in batches:
             for part in slices(batch, t, SLICE):
-                x = Aligned(part.column(t).to_pylist(), words)
+                x = Aligned(part.column(t).to_pylist(), *vocabs)
                 row, pair, n = x.pairs()
                 off = pa.array(np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(x.n[0]), pa.array(x.n[1]), pa.array(x.n_groups), pa.array(x.n_links),
-                     pa.array([g.decode() for g in x.groups()], pa.string()),
+                     x.groups(),
                      pa.ListArray.from_arrays(off, pa.array(pair)),
                      pa.ListArray.from_arrays(off, pa.array(n))], names=[*carry, *own])
 

@@ -39,6 +39,7 @@ ZEROS = 9
 LONGEST = 1 << 16
 BLOOM_BITS = 26
 SLICE = 1 << 20
+ROWS = 256
 _FACTOR = 0x9E3779B1  # odd, for a hash modulo 2^32
 
 
@@ -165,7 +166,7 @@ def dictionary(docs: DataFrame, vocab: str, known, text: str = "text", zeros: in
 
     def encode_each(batches):
         own = ByteVocab.of(vocab)
-        for batch in batches:
+        for batch in _few(batches):
             ids = [np.array(own.plain(t), KIND).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("h1"), batch.column("h2"), pa.array(ids, pa.binary())],
                                              names=["h1", "h2", "ids"])
@@ -306,13 +307,13 @@ def encode(docs: DataFrame, vocab: str, text: str = "text", out: str = "ids", ze
 
     def finish(batches):
         own = ByteVocab.of(vocab)
-        for batch in batches:
+        for batch in _few(batches):
             ids = [put_together([np.frombuffer(y["ids"], KIND) for y in p], own).tobytes()
                    for p in batch.column("p").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("k"), pa.array(ids, pa.binary())], names=["k", "ids"])
 
     def listed(batches):
-        for batch in batches:
+        for batch in _few(batches):
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carry),
                  _lists([np.frombuffer(x, KIND) for x in batch.column("ids").to_pylist()])], names=[*carry, out])
@@ -330,6 +331,13 @@ def encode(docs: DataFrame, vocab: str, text: str = "text", out: str = "ids", ze
     return src.mapInArrow(whole, final).union(back)
 
 
+def _few(batches, rows: int = ROWS):
+    """The batches in parts of a few rows, so that a worker holds little output."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _lists(ids: list[np.ndarray]) -> pa.ListArray:
     off = np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)]).astype(np.int32)
     flat = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
@@ -345,7 +353,7 @@ def decode(encoded: DataFrame, vocab: str, ids: str = "ids", out: str = "text")
 
     def run(batches):
         table = ByteVocab.of(vocab).text_table()
-        for batch in batches:
+        for batch in _few(batches):
             got = []
             for row in batch.column(ids):
                 if not row.is_valid:

@@ -1,5 +1,5 @@
-"""Public tokenizers inside tasks: vocabularies read once a worker, texts encoded
-word by word, each new word once, through a bounded cache.
+"""Public tokenizers inside tasks: vocabularies are read once a worker, and of a
+slice of texts every different part is encoded once.
 
 A space behind a character that is neither white space nor U+2581 starts a token
 in both kinds of vocabulary: the byte-level pattern has no token that goes on
@@ -15,13 +15,14 @@ import sys
 import types
 
 import numpy as np
+import pyarrow as pa
+
+from .kernels import _MASK, Texts, ragged
 
 #: fixed values: the byte-level pre-tokenizer's pattern
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-_CLOSE = re.compile(r"[\s▁] ")
-_CUT = re.compile(r"(?<![\s▁]) ")
 KIND = np.uint16
-HELD = 4 << 20
+CALL = 512  # parts encoded at a time
 
 
 def once(key, make):
@@ -44,12 +45,6 @@ def joined(table: list[bytes], ids: np.ndarray) -> bytes:
     return b"".join(map(table.__getitem__, ids.tolist()))
 
 
-def safe_parts(text: str) -> list[str]:
-    """Parts of " " + text, each without the space that it begins with."""
-    spaced = " " + text
-    return (_CUT.split(spaced) if _CLOSE.search(spaced) else spaced.split(" "))[1:]
-
-
 class ByteVocab:
     """A byte-level BPE vocabulary (`tokenizers` JSON file)."""
 
@@ -74,9 +69,10 @@ class ByteVocab:
     def of(cls, path: str) -> "ByteVocab":
         return once(("byte", path), lambda: cls(path))
 
-    def spaced(self, text: str) -> list[int]:
-        """Ids of " " + text; special tokens in it are plain text."""
-        return self.plain(" " + text)
+    def spaced_all(self, texts: list[str]) -> list[int]:
+        """Ids of the texts one after the other, each with a space before it;
+        special tokens in them are plain text."""
+        return [i for t in texts for i in self.plain(" " + t)]
 
     def text_table(self) -> list[bytes]:
         """Bytes of every id, special tokens included."""
@@ -105,51 +101,93 @@ class PieceVocab:
     def of(cls, path: str) -> "PieceVocab":
         return once(("piece", path), lambda: cls(path))
 
-    def spaced(self, text: str) -> list[int]:
-        """Ids of text; the model adds the space before it."""
-        return self.model.encode(text, num_threads=1)
-
-
-class PairWords:
-    """Ids of parts of texts, each with the space before it, in two
-    vocabularies. What is new in a call is encoded as one text and cut at the
-    parts' ends; the last two generations of parts, of `HELD` characters each,
-    are remembered."""
-
-    def __init__(self, *vocabs):
-        self.vocabs = vocabs
-        self.now, self.old, self.held = {}, {}, 0
-
-    def ids(self, parts: list[str]) -> list[np.ndarray]:
-        if self.held > HELD:
-            self.now, self.old, self.held = {}, self.now, 0
-        new = set(parts).difference(self.now)
-        if new:
-            self._learn(new)
-        got = list(map(self.now.__getitem__, parts))
-        return [np.frombuffer(b"".join([v[i] for v in got]), KIND) for i in range(len(self.vocabs))]
-
-    def _learn(self, new: set) -> None:
-        known = new.intersection(self.old)
-        for p in known:
-            self.now[p] = self.old[p]
-        new -= known
-        self.held += sum(map(len, new)) + len(known)
-        whole = [p for p in new if p and not p[-1].isspace() and "▁" not in p]
-        if whole:
-            text, stops = " ".join(whole), np.cumsum([len(p.encode()) + 1 for p in whole])
-            cut = [self._cut(v, text, stops) for v in self.vocabs]
-            if all(cut):
-                self.now.update(zip(whole, zip(*cut)))
-        for p in new.difference(self.now):
-            self.now[p] = tuple(np.array(v.spaced(p), KIND).tobytes() for v in self.vocabs)
-
-    @staticmethod
-    def _cut(vocab, text: str, stops: np.ndarray) -> list[bytes] | None:
-        ids = np.array(vocab.spaced(text), KIND)
-        ends = np.cumsum(vocab.size[ids])
-        at = np.searchsorted(ends, stops)
-        if not len(ends) or ends[-1] != stops[-1] or (ends[at] != stops).any():
-            return None
-        raw, at = ids.tobytes(), ((at + 1) * 2).tolist()
-        return [raw[i:j] for i, j in zip([0, *at], at)]
+    def spaced_all(self, texts: list[str]) -> list[int]:
+        """Ids of the texts one after the other; the model adds the space before
+        each."""
+        return [i for x in self.model.encode(texts, num_threads=1) for i in x]
+
+
+def _closed(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the characters that end before the places `at` of UTF-8 bytes are
+    surely neither white space nor U+2581."""
+    pad = np.concatenate([np.full(3, 0x20, np.uint8), data])
+    last, mid, lead = pad[at + 2], pad[at + 1], pad[at]
+    ascii_ = (last > 0x20) & (last < 0x80)
+    # wide white space: U+0085, U+00A0, and characters from U+1000 to U+3FFF
+    wide = ((mid == 0xC2) & ((last == 0x85) | (last == 0xA0))) | ((lead >= 0xE1) & (lead <= 0xE3))
+    return ascii_ | ((last >= 0x80) & ~wide)
+
+
+def _same(v: np.ndarray, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> bool:
+    """Whether the bytes at a and b are the same, eight at a time."""
+    k, at = 0, np.arange(len(a))
+    while len(at):
+        keep = _MASK[np.minimum(size[at] - k, 8)]
+        if ((v[a[at] + k] ^ v[b[at] + k]) & keep).any():
+            return False
+        k += 8
+        at = at[size[at] > k]
+    return True
+
+
+class SliceIds:
+    """Ids of a slice of texts in several vocabularies, each text with a space
+    before it. Every different part of the slice is encoded once, and compared
+    byte by byte with the parts that take its ids. `ids` holds each vocabulary's
+    ids of all texts, one after the other, `n` how many a text has: none where
+    the text is null or empty or a vocabulary doesn't give it back."""
+
+    def __init__(self, texts: list, vocabs: list):
+        self.n = np.zeros((len(vocabs), len(texts)), np.int64)
+        rows = [i for i, t in enumerate(texts) if t and "▁" not in t]
+        self.ids = [np.zeros(0, KIND)] * len(vocabs)
+        if rows and not self._by_parts([texts[i] for i in rows], rows, vocabs):
+            self._one_by_one(texts, rows, vocabs)
+
+    def _by_parts(self, texts, rows, vocabs) -> bool:
+        raw = [b" " + t.encode() for t in texts]
+        begin = np.cumsum([0, *map(len, raw)])
+        t = Texts(pa.array([b"".join(raw)], pa.binary()))
+        data, v = t.data, t.load8()
+        space = np.flatnonzero(data == 0x20)
+        start = np.union1d(space[_closed(data, space)], begin[:-1])
+        stop = np.append(start[1:], len(data))
+        size = stop - start
+        # the last part of a text that ends with white space is encoded alone
+        odd = np.isin(stop, begin) & ~_closed(data, stop)
+        plain, alone = np.flatnonzero(~odd), np.flatnonzero(odd)
+        _, first, inv = np.unique(t.word_hash(start[plain], stop[plain]), return_index=True, return_inverse=True)
+        first = plain[first]
+        if (size[plain] != size[first[inv]]).any() or not _same(v, start[plain], start[first[inv]], size[plain]):
+            return False
+        which = np.empty(len(start), np.int64)
+        which[plain], which[alone] = inv, len(first) + np.arange(len(alone))
+        part = np.concatenate([first, alone])
+        own = data[ragged(start[part], size[part])].tobytes()
+        ends = np.cumsum(size[part])
+        calls = np.concatenate([np.arange(0, len(first), CALL), len(first) + np.arange(len(alone)), [len(part)]])
+        at = np.concatenate([[0], ends])[calls].tolist()
+        pieces = [own[i:j].decode()[1:] for i, j in zip(at, at[1:])]
+        text_of = np.searchsorted(begin, start, "right") - 1
+        for k, vocab in enumerate(vocabs):
+            flat = np.array(vocab.spaced_all(pieces), KIND)
+            token_ends = np.cumsum(vocab.size[flat])
+            last = np.searchsorted(token_ends, ends)
+            if not len(flat) or token_ends[-1] != ends[-1] or (token_ends[last] != ends).any() or joined(vocab.table, flat) != own:
+                return False
+            off = np.concatenate([[0], last + 1])
+            count = np.diff(off)[which]
+            self.ids[k] = flat[ragged(off[which], count)]
+            self.n[k, rows] = np.bincount(text_of, weights=count, minlength=len(texts)).astype(np.int64)
+        return True
+
+    def _one_by_one(self, texts, rows, vocabs) -> None:
+        self.n[:] = 0
+        found = [[np.zeros(0, KIND)] for _ in vocabs]
+        for i in rows:
+            got = [np.array(x.spaced_all([texts[i]]), KIND) for x in vocabs]
+            if all(joined(x.table, g) == (" " + texts[i]).encode() for x, g in zip(vocabs, got)):
+                for k, g in enumerate(got):
+                    found[k].append(g)
+                    self.n[k, i] = len(g)
+        self.ids = [np.concatenate(f) for f in found]
