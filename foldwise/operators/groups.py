@@ -120,12 +120,17 @@ class RollingStats(StatelessStage):
     timestamp are peers), lagged one row inside the group (ordered by time,
     then `order_col`) so a row only sees strictly earlier rows' windows.
 
-    Skew: a group is split into time buckets (default width = the largest
-    window W; `bucket` may be narrower to split a hot key further). Each
-    bucket also receives, as read-only halo rows, the rows of the preceding
-    ⌈W/B⌉ buckets that fall inside the window, so windows are exact per
-    bucket; the one-row lag across bucket borders is resolved from a small
-    per-bucket "last value" table."""
+    Linear in the rows: time is cut into blocks that divide W (of width W, or of
+    at most `bucket`, to split a hot key further). A window is then the rest of
+    one block, some whole blocks, and the beginning of the row's own block. The
+    beginning is a running aggregate in time order; the rest comes from
+    read-only copies of that block's rows, as a running aggregate in reverse
+    order in which the block's own rows stand at the place t - W; whole blocks
+    come from a small table with one row a block. The parts are merged, never
+    subtracted, so no digits are lost. The one-row lag across block borders is
+    resolved from a per-block "last value" table.
+
+    Rows with a NULL key or date are not windowed; their features are NULL."""
 
     fit_scope = COMBINED
     FUNCS = ("mean", "sum", "count", "min", "max", "std")
@@ -148,66 +153,138 @@ class RollingStats(StatelessStage):
         for f in self.agg_funcs:
             if f not in self.FUNCS:
                 raise ValueError(f"unsupported rolling aggregate {f!r}")
-        widths = [window_micros(w) for w in self.window_sizes]
-        self.bucket_us = window_micros(bucket) if bucket else max(widths)
-        self.halo_buckets = -(-max(widths) // self.bucket_us)  # ceil(W / B)
+        self.bucket_us = window_micros(bucket) if bucket else None
 
     def out_name(self, value, window, func):
         return f"{'_'.join(self.group_keys)}_{value}_rolling_{window}_{func}"
 
+    def _blocks(self, width: int) -> int:
+        """Blocks a window: the fewest equal ones that are no wider than `bucket`."""
+        n = -(-width // self.bucket_us) if self.bucket_us and self.bucket_us < width else 1
+        while width % n:
+            n += 1
+        return n
+
+    def _parts(self, v) -> list:
+        """What one part of a window contributes, as (name, aggregate)."""
+        out = [("n", F.count(v))]
+        if {"sum", "mean"} & set(self.agg_funcs):
+            out.append(("sum", F.sum(v)))
+        if "std" in self.agg_funcs:
+            out += [("mean", F.avg(v)), ("var", F.var_pop(v))]
+        return out + [(f, {"min": F.min, "max": F.max}[f](v)) for f in ("min", "max") if f in self.agg_funcs]
+
     @staticmethod
-    def _fn(func, v):
-        return {"mean": F.avg, "sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
-                "std": F.stddev_samp}[func](v)
+    def _merge(x, y, names) -> dict:
+        """Two parts as one (moments by the pairwise update)."""
+        n = x["n"] + y["n"]
+        out = {"n": n}
+        if "sum" in names:
+            out["sum"] = F.coalesce(x["sum"] + y["sum"], x["sum"], y["sum"])
+        if "var" in names:
+            d, share = y["mean"] - x["mean"], F.try_divide(y["n"], n)
+            both = (x["n"] > 0) & (y["n"] > 0)
+            out["mean"] = F.when(both, x["mean"] + d * share).otherwise(F.coalesce(x["mean"], y["mean"]))
+            out["var"] = F.when(both, x["var"] + (y["var"] - x["var"]) * share + d * d * share * (1 - share)).otherwise(
+                F.coalesce(x["var"], y["var"]))
+        for f, pick in (("min", F.least), ("max", F.greatest)):
+            if f in names:
+                out[f] = pick(x[f], y[f])
+        return out
+
+    def _result(self, part, func):
+        if func == "count":
+            return part["n"]
+        if func == "mean":
+            return F.try_divide(part["sum"], part["n"])
+        if func == "std":
+            return F.when(part["n"] > 1, F.sqrt(part["var"] * part["n"] / (part["n"] - 1)))
+        return part[func]
+
+    def _whole_blocks(self, rows, block, names, count: int):
+        """(keys..., block, whole): the parts of the `count` blocks before each
+        block that has rows, merged; only those blocks that have rows exist."""
+        keys, vals = self.group_keys, self.value_cols
+        per = rows.groupBy(*keys, block).agg(*[
+            F.struct(*[e.alias(n) for n, e in self._parts(num(v))]).alias(f"__w{i}") for i, v in enumerate(vals)])
+        span = Window.partitionBy(*keys).orderBy(block).rangeBetween(-count, -1)
+
+        def merged(i):
+            kind = per.schema[f"__w{i}"].dataType
+            none = F.struct(*[F.lit(0 if f.name == "n" else None).cast(f.dataType).alias(f.name) for f in kind])
+
+            def step(x, y):
+                m = self._merge({n: x[n] for n in names}, {n: y[n] for n in names}, names)
+                return F.struct(*[m[f.name].cast(f.dataType).alias(f.name) for f in kind])
+
+            return F.aggregate(F.collect_list(f"__w{i}").over(span), none, step)
+
+        return per.select(*keys, block, *[merged(i).alias(f"__m{i}") for i in range(len(vals))])
+
+    def _window(self, rows, width: int, window: str):
+        """Add `__r_<feature>` of one window size to rows (with __t, in
+        microseconds)."""
+        keys, vals = self.group_keys, self.value_cols
+        count = self._blocks(width)
+        wide = width // count
+        t, block = F.col("__t"), "__b"
+        own = rows.withColumn(block, F.floor(t / F.lit(wide)).cast("long")).withColumn("__own", F.lit(True))
+        copy = own.select(*keys, "__t", (F.col(block) + count).alias(block), F.lit(False).alias("__own"),
+                          *[v for v in vals if v not in keys])
+        both = own.unionByName(copy, allowMissingColumns=True)
+        part = Window.partitionBy(*keys, block)
+        begin = part.orderBy(F.when(F.col("__own"), t)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        # copies after t - W come first; of equal times, the row itself
+        place = F.when(F.col("__own"), t - F.lit(width)).otherwise(t)
+        rest = part.orderBy(place.desc(), F.col("__own").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        names, cols = [], []
+        for i, v in enumerate(vals):
+            mine, other = F.when(F.col("__own"), num(v)), F.when(~F.col("__own"), num(v))
+            names = [n for n, _ in self._parts(mine)]
+            cols += [e.over(begin).alias(f"__p{i}_{n}") for n, e in self._parts(mine)]
+            cols += [e.over(rest).alias(f"__s{i}_{n}") for n, e in self._parts(other)]
+        out = both.select("*", *cols).where("__own")
+        if count > 1:
+            out = out.join(self._whole_blocks(own, block, names, count - 1), [*keys, block])
+        feats = []
+        for i, v in enumerate(vals):
+            m = self._merge({n: F.col(f"__s{i}_{n}") for n in names}, {n: F.col(f"__p{i}_{n}") for n in names}, names)
+            if count > 1:
+                m = self._merge({n: F.col(f"__m{i}")[n] for n in names}, m, names)
+            feats += [self._result(m, f).alias("__r_" + self.out_name(v, window, f)) for f in self.agg_funcs]
+        return out.select(*rows.columns, block, *feats)
 
     def apply(self, df: DataFrame) -> DataFrame:
-        keys, B, oc = self.group_keys, self.bucket_us, self.order_col
+        keys, oc = self.group_keys, self.order_col
         if oc is None:
             raise ValueError(f"{self.name}: order_col (a unique row id) is required to order ties")
         require_columns(df, keys + [self.date_col, oc] + self.value_cols, self.name)
         cols = df.columns
-        base = (df.withColumn("__t", ts_micros(self.date_col))
-                  .withColumn("__b", F.floor(F.col("__t") / F.lit(B)).cast("long")))
-        maxw = max(window_micros(w) for w in self.window_sizes)
-        owned = base.withColumn("__own", F.lit(True))
-        # copy each row into the next ceil(W/B) buckets whose windows reach it
-        ahead = F.explode(F.sequence(F.lit(1), F.lit(self.halo_buckets))).alias("__ahead")
-        halo = (base.select("*", ahead)
-                    .where(F.col("__t") > (F.col("__b") + F.col("__ahead")) * F.lit(B) - F.lit(maxw))
-                    .select(*keys, "__t", (F.col("__b") + F.col("__ahead")).alias("__b"), oc,
-                            *[c for c in self.value_cols if c not in keys and c != oc])
-                    .withColumn("__own", F.lit(False)))
-        both = owned.unionByName(halo, allowMissingColumns=True)
-        part = Window.partitionBy(*keys, "__b")
-        rolls, feats = [], []
-        for v in self.value_cols:
-            for w in self.window_sizes:
-                frame = part.orderBy("__t").rangeBetween(-(window_micros(w) - 1), 0)
-                for f in self.agg_funcs:
-                    name = self.out_name(v, w, f)
-                    feats.append(name)
-                    rolls.append(self._fn(f, num(v)).over(frame).alias("__r_" + name))
-        rolled = both.select("*", *rolls).where("__own")
+        base = df.withColumn("__t", ts_micros(self.date_col))
+        known = F.col("__t").isNotNull()
+        for k in keys:
+            known = known & F.col(k).isNotNull()
+        feats = [self.out_name(v, w, f) for v in self.value_cols for w in self.window_sizes for f in self.agg_funcs]
+        rolled = base.where(known)
+        for w in self.window_sizes:
+            rolled = self._window(rolled.drop("__b"), window_micros(w), w)
         order = Window.partitionBy(*keys, "__b").orderBy("__t", oc)
         lagged = rolled.select("*", F.row_number().over(order).alias("__pos"),
                                *[F.lag("__r_" + n, 1).over(order).alias("__l_" + n) for n in feats])
-        # last row of each (group, bucket): the lag source for the first row of
-        # the next non-empty bucket of that group (small table)
-        last = (lagged.groupBy(*keys, "__b")
+        # last row of each (group, block): the lag source for the first row of
+        # the next non-empty block of that group (small table)
+        last = (rolled.groupBy(*keys, "__b")
                 .agg(F.max_by(F.struct(*[F.col("__r_" + n).alias(n) for n in feats]),
                               F.struct("__t", oc)).alias("__last")))
         prev = (last.select(*keys, "__last",
                             F.lead("__b").over(Window.partitionBy(*keys).orderBy("__b")).alias("__b"))
                 .where(F.col("__b").isNotNull()))
         joined = lagged.join(prev, on=[*keys, "__b"], how="left")
-        null_key = F.lit(False)
-        for k in keys:
-            null_key = null_key | F.col(k).isNull()
-        null_key = null_key | F.col("__t").isNull()
-        return joined.select(*cols, *[
-            F.when(null_key, F.lit(None))
-             .when(F.col("__pos") == 1, F.col("__last").getField(n))
-             .otherwise(F.col("__l_" + n)).alias(n) for n in feats])
+        out = joined.select(*cols, *[
+            F.when(F.col("__pos") == 1, F.col("__last").getField(n)).otherwise(F.col("__l_" + n)).alias(n) for n in feats])
+        types = {f.name: f.dataType for f in out.schema}
+        rest = base.where(~known).select(*cols, *[F.lit(None).cast(types[n]).alias(n) for n in feats])
+        return out.unionByName(rest)
 
 
 # ---------------------------------------------------------------- A3 - A8

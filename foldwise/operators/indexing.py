@@ -25,9 +25,11 @@ def global_index(df: DataFrame, order, out: str = "idx") -> DataFrame:
                    srt.groupBy("__p").agg(F.count(F.lit(1)).alias("c"), F.min("__m").alias("m0")).collect())
     shift, off = [], 0
     for p, c, m0 in parts:
-        shift += [F.lit(p), F.lit(off - m0)]
+        shift.append((p, off - m0))
         off += c
     if not shift:
         return srt.drop("__p", "__m").withColumn(out, F.lit(None).cast("long"))
-    m = F.create_map(*shift)
-    return srt.withColumn(out, F.col("__m") + m[F.col("__p")]).drop("__p", "__m")
+    # one row a partition: a broadcast of known size
+    offsets = df.sparkSession.createDataFrame(shift, "__p int, __s long")
+    return (srt.join(F.broadcast(offsets), "__p").withColumn(out, F.col("__m") + F.col("__s"))
+            .drop("__p", "__m", "__s"))

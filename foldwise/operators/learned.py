@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,16 @@ def assemble(df: DataFrame, cols, out: str = "__features") -> DataFrame:
     return df.withColumn(out, array_to_vector(arr))
 
 
+def without_summary(model):
+    """The fitted model without its training summary. The summary holds the
+    session; a model that is sent to executors takes it along, which fails once
+    the session has had an `Observation`."""
+    if getattr(model, "hasSummary", False):
+        jvm = SparkSession.getActiveSession()._jvm
+        model._java_obj.setSummary(jvm.scala.Option.apply(None))
+    return model
+
+
 def vector_pair_similarity(df: DataFrame, u: str, v: str, prefix: str, eps: float = 1e-6) -> DataFrame:
     """`<prefix>_dot_product` and `<prefix>_cosine_similarity` =
     dot / (‖u‖·‖v‖ + eps) of two array columns."""

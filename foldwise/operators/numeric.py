@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import EPS, flag, num, right_closed_bin
 from ..session import spread
 from .base import AggregateFit, Fitted, LiteralFitted, StatelessStage, Stage, require_columns
-from .quantiles import approx_quantiles, global_quantiles
+from .quantiles import approx_quantiles, column_quantiles
 from .state import StateTable, lookup
 
 
@@ -91,12 +91,11 @@ class QuantileBinner(_Binner):
 
     def _edges(self, df: DataFrame) -> dict:
         probs = [k / self.n_bins for k in range(self.n_bins + 1)]
-        out = {}
-        for c in self.cols:
-            qf = approx_quantiles if self.approx else global_quantiles
-            qs = [q for q in qf(df, c, probs) if q is not None]
-            out[c] = sorted(set(qs))
-        return out
+        if self.approx:
+            got = {c: approx_quantiles(df, c, probs) for c in self.cols}
+        else:
+            got = column_quantiles(df, dict.fromkeys(self.cols, probs))
+        return {c: sorted({q for q in got[c] if q is not None}) for c in self.cols}
 
 
 class DecisionTreeBinner(_Binner):
@@ -177,12 +176,11 @@ class OutlierIndicator(Stage):
 
     def fit(self, df):
         st = {}
-        for c in self.cols:
-            q1, q3 = global_quantiles(df, c, [0.25, 0.75])
-            iqr = q3 - q1
-            st[c] = (q1 - self.multiplier * iqr, q3 + self.multiplier * iqr)
+        for c, (q1, q3) in column_quantiles(df, dict.fromkeys(self.cols, [0.25, 0.75])).items():
+            iqr = None if q1 is None else q3 - q1  # a column without values flags nothing
+            st[c] = (None, None) if iqr is None else (q1 - self.multiplier * iqr, q3 + self.multiplier * iqr)
         return LiteralFitted(self, st, lambda d, s: _add(d, {
-            f"{c}_is_outlier": flag((num(c) < F.lit(s[c][0])) | (num(c) > F.lit(s[c][1])))
+            f"{c}_is_outlier": flag((num(c) < F.lit(s[c][0]).cast("double")) | (num(c) > F.lit(s[c][1]).cast("double")))
             for c in self.cols}))
 
 
@@ -254,10 +252,14 @@ class RobustScaler(Stage):
 
     def fit(self, df):
         require_columns(df, self.cols, self.name)
-        st = {}
-        for c in self.cols:
-            qf = approx_quantiles if self.approx else global_quantiles
-            lo, med, hi = qf(df, c, [self.q[0], 0.5, self.q[1]])
+        st, probs = {}, [self.q[0], 0.5, self.q[1]]
+        if self.approx:
+            got = {c: approx_quantiles(df, c, probs) for c in self.cols}
+        else:
+            got = column_quantiles(df, dict.fromkeys(self.cols, probs))
+        for c, (lo, med, hi) in got.items():
+            if med is None:  # no values, nothing to scale
+                lo = med = hi = 0.0
             rng = hi - lo
             st[c] = (med if self.with_centering else 0.0,
                      (rng if rng != 0 else 1.0) if self.with_scaling else 1.0)

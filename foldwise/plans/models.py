@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.learned import assemble
+from ..operators.learned import assemble, without_summary
 
 KINDS = ("gbt", "forest", "logit", "ridge", "linear_svm")
 
@@ -58,7 +58,7 @@ class Learner:
             params["validationIndicatorCol"] = "__valid"
         data = assemble(src, features).withColumn("__label", F.col(label).try_cast("double"))
         model = _estimator(self.kind, self.task, params).fit(data.where(F.col("__label").isNotNull()))
-        return FittedModel(model, features, self.kind, self.task)
+        return FittedModel(without_summary(model), features, self.kind, self.task)
 
 
 class FittedModel:
