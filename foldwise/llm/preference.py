@@ -79,5 +79,5 @@ def conversation_pairs(turns: DataFrame, conv: str = "conv_id", turn: str = "tur
         F.array_sort(F.collect_list(F.when(F.col("_odd") == odd, F.col("_turn")))),
         lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))))
     return (turns.where(c.isNotNull())
-            .select(F.floor(c / 2).cast("long").alias("pair_id"), F.pmod(c, F.lit(2)).alias("_odd"), one.alias("_turn"))
+            .select(F.shiftright(c, 1).alias("pair_id"), F.pmod(c, F.lit(2)).alias("_odd"), one.alias("_turn"))
             .groupBy("pair_id").agg(side(0).alias("chosen"), side(1).alias("rejected")))
