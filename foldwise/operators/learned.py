@@ -105,29 +105,34 @@ class PCAFeature(Stage):
 
 class TreeLeafFeature(Stage):
     """`<name>_tree_i_leaf` — the leaf each row reaches in every tree of a
-    supervised forest (classification or regression)."""
+    supervised ensemble: a forest or boosted trees (`ensemble`), for
+    classification (two classes when boosted) or regression."""
 
     def __init__(self, name: str, feature_cols, target_col: str, task: str = "classification",
-                 n_trees: int = 10, max_depth: int = 5, seed: int = 42):
+                 n_trees: int = 10, max_depth: int = 5, seed: int = 42, ensemble: str = "forest"):
         super().__init__(name)
-        self.cols, self.target, self.task = feature_cols, target_col, task
+        if ensemble not in ("forest", "boosted"):
+            raise ValueError(f"unknown ensemble {ensemble!r}; choose forest or boosted")
+        self.cols, self.target, self.task, self.ensemble = feature_cols, target_col, task, ensemble
         self.n_trees, self.max_depth, self.seed = n_trees, max_depth, seed
 
     def fit(self, df):
-        from pyspark.ml.classification import RandomForestClassifier
+        from pyspark.ml import classification as C
+        from pyspark.ml import regression as R
         from pyspark.ml.functions import vector_to_array
-        from pyspark.ml.regression import RandomForestRegressor
 
         data = assemble(df, self.cols).withColumn("__label", F.col(self.target).try_cast("double"))
-        cls = RandomForestClassifier if self.task == "classification" else RandomForestRegressor
-        m = cls(numTrees=self.n_trees, maxDepth=self.max_depth, seed=self.seed, featuresCol="__features",
-                labelCol="__label", leafCol="__leaf").fit(data.where(F.col("__label").isNotNull()))
+        where, trees = (C, "Classifier") if self.task == "classification" else (R, "Regressor")
+        kind, size = ("RandomForest", "numTrees") if self.ensemble == "forest" else ("GBT", "maxIter")
+        est = getattr(where, kind + trees)(maxDepth=self.max_depth, seed=self.seed, featuresCol="__features",
+                                           labelCol="__label", leafCol="__leaf", **{size: self.n_trees})
+        m = without_summary(est.fit(data.where(F.col("__label").isNotNull())))
+        n = m.getNumTrees if isinstance(m.getNumTrees, int) else m.getNumTrees()
 
         def build(out):
             arr = vector_to_array("__leaf")
             keep = [c for c in out.columns if c not in ("__leaf", "prediction", "rawPrediction", "probability")]
-            return out.select(*keep, *[arr[i].cast("int").alias(f"{self.name}_tree_{i}_leaf")
-                                       for i in range(self.n_trees)])
+            return out.select(*keep, *[arr[i].cast("int").alias(f"{self.name}_tree_{i}_leaf") for i in range(n)])
 
         return _ModelFitted(self, m, build)
 

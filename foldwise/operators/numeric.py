@@ -16,9 +16,13 @@ from ..functions.exprs import EPS, flag, num, right_closed_bin
 from ..session import spread
 from .base import AggregateFit, Fitted, LiteralFitted, StatelessStage, Stage, require_columns
 from .quantiles import approx_quantiles, column_quantiles
+from .ranking import running_totals
 from .state import StateTable, lookup
 
 
+MAX_CLASSES = 100  # of a tree binner's target
+
+
 def _linspace(lo: float, hi: float, n: int) -> list[float]:
     """Evenly spaced edges: e_i = i*step + lo, last edge pinned to hi."""
     step = (hi - lo) / n
@@ -100,38 +104,88 @@ class QuantileBinner(_Binner):
 
 class DecisionTreeBinner(_Binner):
     """`<c>_tree_binned`; edges = min, max and the split thresholds of a
-    depth-limited one-feature decision tree on the target (Spark ML tree;
-    `max_bins` bounds the candidate cut points)."""
+    depth-limited classification tree on that column alone.
+
+    The splits are exact: every distinct value is a candidate, however many there
+    are. Running class counts over the distinct values are made once; a node is
+    a range of values, so what lies left of a candidate in its node is a
+    difference of integer counts. A level is one aggregate for all nodes of all
+    columns, which takes the candidate with the smallest Gini impurity (of equal
+    ones the smallest value); pure nodes stop. A threshold is half-way to the
+    next value in the node."""
 
     suffix = "tree_binned"
 
-    def __init__(self, name: str, cols, target_col: str, max_depth: int = 3, max_bins: int = 256,
-                 seed: int = 42):
+    def __init__(self, name: str, cols, target_col: str, max_depth: int = 3):
         super().__init__(name, cols)
-        self.target_col, self.max_depth, self.max_bins, self.seed = target_col, max_depth, max_bins, seed
+        self.target_col, self.max_depth = target_col, max_depth
 
     def _edges(self, df: DataFrame) -> dict:
-        from pyspark.ml.classification import DecisionTreeClassifier
-        from pyspark.ml.feature import VectorAssembler
-
+        require_columns(df, self.cols + [self.target_col], self.name)
         bounds = _Binner._edges(self, df)
-        out = {}
-        for c in self.cols:
-            data = (df.select(num(c).alias("x"), F.col(self.target_col).cast("double").alias("label"))
-                      .where(F.col("x").isNotNull() & F.col("label").isNotNull()))
-            feats = VectorAssembler(inputCols=["x"], outputCol="features").transform(data)
-            model = DecisionTreeClassifier(maxDepth=self.max_depth, maxBins=self.max_bins,
-                                           seed=self.seed).fit(feats)
-            ths = _tree_thresholds(model)
-            ends = [bounds[c][0], bounds[c][-1]] if bounds[c] else []
-            out[c] = sorted(set(ends + ths))
-        return out
-
-
-def _tree_thresholds(model) -> list[float]:
-    import re
-
-    return sorted({float(m) for m in re.findall(r"feature 0 <= ([-0-9.eE]+)", model.toDebugString)})
+        label = F.col(self.target_col)
+        classes = [r[0] for r in df.select(label).where(label.isNotNull()).distinct().orderBy(label).limit(MAX_CLASSES + 1).collect()]
+        if len(classes) > MAX_CLASSES:
+            raise ValueError(f"{self.name}: target {self.target_col!r} has more than {MAX_CLASSES} classes")
+        k = len(classes)
+        val = F.explode(F.array(*[F.struct(F.lit(i).alias("c"), num(c).alias("v")) for i, c in enumerate(self.cols)]))
+        counts = (df.where(label.isNotNull()).select(label.alias("y"), val.alias("x")).where("x.v is not null")
+                  .groupBy("x.c", "x.v").agg(*[F.count_if(F.col("y") == F.lit(y)).alias(f"n{j}") for j, y in enumerate(classes)]))
+        if not k:
+            return {c: sorted({e[0], e[-1]}) if (e := bounds[c]) else [] for c in self.cols}
+        cum = running_totals(counts, ["c"], [F.col("v").asc()], {f"s{j}": F.col(f"n{j}") for j in range(k)})
+        kept = StateTable.build(cum.select("c", "v", *[f"s{j}" for j in range(k)]))
+        cum = kept.df
+        top = cum.groupBy("c").agg(F.max("v").alias("hi"), *[F.max(f"s{j}").alias(f"s{j}") for j in range(k)]).collect()
+        # (column, below, above, counts up to below, counts up to above)
+        nodes = [(r["c"], None, r["hi"], [0] * k, [r[f"s{j}"] for j in range(k)]) for r in top]
+        cuts: dict = {c: set() for c in self.cols}
+        for _ in range(self.max_depth):
+            nodes = [n for n in nodes if sum(1 for a, b in zip(n[3], n[4]) if b > a) > 1]  # not pure
+            if not nodes:
+                break
+            found = self._best_splits(cum, nodes, k)
+            grown = []
+            for i, (v, left, nxt) in found.items():
+                c, lo, hi, base, full = nodes[i]
+                half = v / 2 + nxt / 2
+                cuts[self.cols[c]].add(half if half < nxt else v)
+                grown += [(c, lo, v, base, left), (c, v, hi, left, full)]
+            nodes = grown
+        cum.unpersist()
+        return {c: sorted(cuts[c] | ({bounds[c][0], bounds[c][-1]} if bounds[c] else set())) for c in self.cols}
+
+    @staticmethod
+    def _best_splits(cum: DataFrame, nodes: list, k: int) -> dict:
+        """node → (last value on the left, class counts up to it, next value)."""
+        v = F.col("v")
+        where = None
+        for i, (c, lo, hi, base, full) in enumerate(nodes):
+            inside = (F.col("c") == c) & (v <= F.lit(hi)) & ((v > F.lit(lo)) if lo is not None else F.lit(True))
+            hit = F.struct(F.lit(i).alias("i"), F.lit(hi).alias("hi"), F.array(*map(F.lit, base)).alias("base"),
+                           F.array(*map(F.lit, full)).alias("full"))
+            where = F.when(inside, hit) if where is None else where.when(inside, hit)
+        cand = cum.withColumn("x", where).where("x is not null")
+        left = [F.col(f"s{j}") - F.col("x.base")[j] for j in range(k)]
+        right = [F.col("x.full")[j] - F.col(f"s{j}") for j in range(k)]
+
+        def purity(part):
+            square = [(x * x).cast("double") for x in part]
+            return sum(square[1:], square[0]) / sum(part[1:], part[0]).cast("double")
+
+        cand = cand.select("v", *[f"s{j}" for j in range(k)], F.struct(
+            "x.i", F.when(v < F.col("x.hi"), purity(left) + purity(right)).alias("gain")).alias("x"))
+        best = cand.where("x.gain is not null").groupBy("x.i").agg(
+            F.max_by(F.struct("v", *[f"s{j}" for j in range(k)]), F.struct(F.col("x.gain"), -v)).alias("b")).collect()
+        at = {r["i"]: r["b"] for r in best}
+        if not at:
+            return {}
+        after = None
+        for i, b in at.items():
+            test = (F.col("x.i") == i) & (v > F.lit(b["v"]))
+            after = test if after is None else after | test
+        nxt = {r["i"]: r["v"] for r in cand.where(after).groupBy("x.i").agg(F.min("v").alias("v")).collect()}
+        return {i: (b["v"], [b[f"s{j}"] for j in range(k)], nxt[i]) for i, b in at.items()}
 
 
 # ------------------------------------------------------------------ flags
@@ -309,107 +363,166 @@ def yeo_johnson_expr(x, lam):
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-# Search schedule (fixed values): a coarse grid k/10 on [-2, 2]; while the best
-# value is an end of the grid, the next grid goes on from there with twice the
-# step; then zoom passes, ten times finer each, down to 1/10000.
-COARSE_DENOM, COARSE_K = 10, 20
-ZOOM_DENOMS, ZOOM_K = (100, 1000, 10000), 10
-MAX_LAMBDA = 1e4  # beyond it, powers of anything but 1 overflow
+START = (-2.0, 0.0, 2.0)  # values of λ that are looked at first
+MAX_LAMBDA = 1e4  # the search goes on to here when the best λ is beyond them
+SMALL_Z, TERMS = 0.05, 7  # below it, series instead of quotients
+
+
+def _power_series(z, order: int):
+    """d^order/dz^order of (e^z − 1)/z near 0: Σ z^k (k+1)…(k+order) / (k+order+1)!"""
+    total = F.lit(0.0)
+    for k in range(TERMS, -1, -1):  # Horner
+        total = total * z + F.lit(math.prod(range(k + 1, k + order + 1)) / math.factorial(k + order + 1))
+    return total
 
 
 class _PowerTransformer(Stage):
     """λ by maximum likelihood of the profile log-likelihood
-    llf(λ) = (λ − 1)·J − n/2·ln var(T_λ(x)), searched with aggregate passes.
+    llf(λ) = (λ − 1)·J − n/2·ln var(T_λ(x)).
 
-    Each pass explodes the candidate λ list next to the one needed column and
-    groups by λ (map-side partial aggregation, so one partial row per λ per
-    task); the next pass zooms in around the best candidate."""
+    One aggregate a step for all columns: variance and covariances of T and its
+    derivatives by λ give the slope and curvature of llf. The slope's signs at a
+    few values of λ bracket the maximum; Newton steps, halved intervals where
+    they would leave the bracket, close in on it. No rows are multiplied. λ is
+    rounded to `digits` decimals."""
 
     suffix = ""
 
-    def __init__(self, name: str, cols, zoom_passes: int = 3):
+    def __init__(self, name: str, cols, digits: int = 4):
         super().__init__(name)
-        self.cols, self.zoom_passes = list(cols), int(zoom_passes)
+        self.cols, self.digits = list(cols), int(digits)
 
     def _expr(self, x, lam):  # pragma: no cover - abstract
         raise NotImplementedError
 
-    def _jacobian(self, x):  # pragma: no cover - abstract
+    def _log(self, x, shift: float):  # pragma: no cover - abstract
+        """u and whether x is mirrored: T = (e^{λu} − 1)/λ, for mirrored x the
+        negative of the same with 2 − λ."""
         raise NotImplementedError
 
-    def _check(self, df):
-        pass
-
-    def _best(self, x_df, grid, nj=None):
-        """Best λ of `grid`; the first pass also returns (n, J) computed in
-        the same aggregate (identical for every λ group)."""
-        lam = F.col("lam")
-        aggs = [F.var_pop(self._expr(F.col("x"), lam)).alias("v")]
-        if nj is None:
-            aggs += [F.count(F.lit(1)).alias("n"), F.sum(self._jacobian(F.col("x"))).alias("j")]
-        g = (x_df.select("x", F.explode(F.array(*[F.lit(float(v)) for v in grid])).alias("lam"))
-                 .groupBy("lam").agg(*aggs).collect())
-        if nj is None:
-            nj = (g[0]["n"], g[0]["j"]) if g else (0, 0.0)
-        n, j = nj
-        best, best_llf = None, -math.inf
-        for r in sorted(g, key=lambda r: r["lam"]):
-            v = r["v"]
-            if v is None or v <= 0 or not math.isfinite(v):
+    def _first(self, df) -> dict:  # pragma: no cover - abstract
+        """column → (n, J, shift) in one aggregate."""
+        raise NotImplementedError
+
+    def _look(self, df, first: dict, at: dict, curved: bool) -> dict:
+        """(column, λ) → (slope, curvature) of llf / n; None where the variance
+        is not positive or not finite."""
+        keys = [(c, lam) for c, lams in at.items() for lam in lams]
+        order = {c: j for j, c in enumerate(at)}
+        logs = [(f"u{j}", f"m{j}", *self._log(num(c), first[c][2])) for c, j in order.items()]
+        # one projection a step, so that nothing is computed twice
+        d = df.select(*[e for u, m, x, y in logs for e in (x.alias(u), y.alias(m))])
+        d = d.select("*", *[(F.col(f"u{order[c]}") * F.when(F.col(f"m{order[c]}"), F.lit(2.0 - lam)).otherwise(lam)).alias(f"z{i}")
+                            for i, (c, lam) in enumerate(keys)])
+        d = d.select("*", *[F.exp(f"z{i}").alias(f"e{i}") for i in range(len(keys))])
+        cols = []
+        for i, (c, _) in enumerate(keys):
+            u, z, e = F.col(f"u{order[c]}"), F.col(f"z{i}"), F.col(f"e{i}")
+            near, sign = F.abs(z) < F.lit(SMALL_Z), F.when(F.col(f"m{order[c]}"), F.lit(-1.0)).otherwise(1.0)
+            cols += [(sign * u * F.when(near, _power_series(z, 0)).otherwise((e - 1) / z)).alias(f"t{i}"),
+                     (u * u * F.when(near, _power_series(z, 1)).otherwise((e * (z - 1) + 1) / (z * z))).alias(f"p{i}")]
+            if curved:
+                cols.append((sign * u * u * u * F.when(near, _power_series(z, 2)).otherwise(
+                    (e * (z * z - z * 2 + 2) - 2) / (z * z * z))).alias(f"q{i}"))
+        aggs = []
+        for i in range(len(keys)):
+            aggs += [F.var_pop(f"t{i}").alias(f"v{i}"), F.covar_pop(f"t{i}", f"p{i}").alias(f"a{i}")]
+            if curved:
+                aggs += [F.var_pop(f"p{i}").alias(f"b{i}"), F.covar_pop(f"t{i}", f"q{i}").alias(f"d{i}")]
+        r = d.select(*cols).agg(*aggs).first()
+        out = {}
+        for i, (c, lam) in enumerate(keys):
+            n, j, _ = first[c]
+            v, a = r[f"v{i}"], r[f"a{i}"]
+            if v is None or not v > 0 or not math.isfinite(v) or not math.isfinite(a):
+                out[c, lam] = None
                 continue
-            llf = (r["lam"] - 1) * j - n / 2.0 * math.log(v)
-            if llf > best_llf:
-                best, best_llf = r["lam"], llf
-        return best, nj
+            bend = -((r[f"b{i}"] + r[f"d{i}"]) / v - 2 * (a / v) ** 2) if curved else None
+            out[c, lam] = (j / n - a / v, bend)
+        return out
+
+    def _search(self, df) -> dict:
+        first = self._first(df)
+        lams: dict = {c: None for c in self.cols}
+        seen = self._look(df, first, {c: START for c in self.cols if first[c][0]}, False) if any(
+            first[c][0] for c in self.cols) else {}
+        live: dict = {}  # column → [below, above, next λ]
+        for c in self.cols:
+            slopes = [(lam, s[0]) for lam in START if (s := seen.get((c, lam)))]
+            if not slopes:
+                continue
+            up = [lam for lam, s in slopes if s > 0]
+            down = [lam for lam, s in slopes if s <= 0]
+            live[c] = [max(up) if up else None, min([x for x in down if not up or x > max(up)], default=None), None]
+        # beyond the first values: twice as far each time
+        while open_ := {c: b for c, b in live.items() if b[0] is None or b[1] is None}:
+            at = {c: [b[0] + max(abs(b[0]), 1.0) if b[1] is None else b[1] - max(abs(b[1]), 1.0)] for c, b in open_.items()}
+            got = self._look(df, first, at, False)
+            for c, (lam,) in at.items():
+                s, b = got[c, lam], live[c]
+                upward = b[1] is None
+                if s is None or abs(lam) > MAX_LAMBDA:  # no further: the last finite value
+                    lams[c] = b[0] if upward else b[1]
+                    del live[c]
+                else:
+                    live[c][0 if s[0] > 0 else 1] = lam
+        for b in live.values():
+            b[2] = (b[0] + b[1]) / 2
+        for _ in range(60):
+            if not live:
+                break
+            got = self._look(df, first, {c: [b[2]] for c, b in live.items()}, True)
+            for c, b in list(live.items()):
+                s, lam = got[c, b[2]], b[2]
+                if s is None:
+                    b[1] = lam
+                    b[2] = (b[0] + b[1]) / 2
+                    continue
+                b[0 if s[0] > 0 else 1] = lam
+                step = lam - s[0] / s[1] if s[1] < 0 else None
+                done = 10.0 ** -(self.digits + 3)
+                if step is not None and b[0] < step < b[1]:
+                    if abs(step - lam) < done:
+                        lams[c] = step
+                        del live[c]
+                        continue
+                    b[2] = step
+                elif b[1] - b[0] < done or s[0] == 0:
+                    lams[c] = lam
+                    del live[c]
+                else:
+                    b[2] = (b[0] + b[1]) / 2
+        for c, b in live.items():
+            lams[c] = b[2]
+        return {c: None if lam is None else round(lam, self.digits) for c, lam in lams.items()}
 
     def fit(self, df):
         require_columns(df, self.cols, self.name)
-        self._check(df)
-        lams = {}
-        from pyspark import StorageLevel
-
-        for c in self.cols:
-            # one narrow column, read by every search pass: spread + keep it
-            x_df = spread(df.select(num(c).alias("x")).where(F.col("x").isNotNull()))
-            x_df = x_df.persist(StorageLevel.MEMORY_AND_DISK)
-            grid = [k / COARSE_DENOM for k in range(-COARSE_K, COARSE_K + 1)]
-            lam, nj = self._best(x_df, grid)
-            step = 1 / COARSE_DENOM
-            while lam is not None and lam in (grid[0], grid[-1]) and abs(lam) < MAX_LAMBDA:
-                step *= 2
-                way = 1 if lam == grid[-1] else -1
-                # one point back, so that an optimum at the old end is interior
-                grid = sorted(lam + way * k * step for k in range(-1, COARSE_K + 1))
-                lam, _ = self._best(x_df, grid, nj)
-            while lam is not None and step > 1.5 / COARSE_DENOM:
-                lam, _ = self._best(x_df, [lam + k * step / ZOOM_K for k in range(-ZOOM_K, ZOOM_K + 1)], nj)
-                step /= ZOOM_K
-            for d in ZOOM_DENOMS[: self.zoom_passes]:
-                if lam is None:
-                    break
-                lam, _ = self._best(x_df, [lam + k / d for k in range(-ZOOM_K, ZOOM_K + 1)], nj)
-            lams[c] = lam
-            x_df.unpersist()
+        lams = self._search(spread(df.select(*self.cols)))
         return LiteralFitted(self, lams, lambda d, s: _add(
             d, {f"{c}_{self.suffix}": self._expr(num(c), s[c]) for c in self.cols}))
 
 
 class BoxCoxTransformer(_PowerTransformer):
-    """`<c>_boxcox`; the fit fails when any value is ≤ 0."""
+    """`<c>_boxcox`; the fit fails when any value is ≤ 0. The search runs on
+    x over its geometric mean, for which J is 0."""
 
     suffix = "boxcox"
 
     def _expr(self, x, lam):
         return box_cox_expr(x, lam)
 
-    def _jacobian(self, x):
-        return F.log(x)
+    def _log(self, x, shift):
+        return F.log(x) - F.lit(shift), F.lit(False)
 
-    def _check(self, df):
-        bad = df.agg(*[F.count_if(num(c) <= 0).alias(c) for c in self.cols]).first()
-        for c in self.cols:
-            if bad[c]:
+    def _first(self, df):
+        r = df.agg(*[e for i, c in enumerate(self.cols) for e in (
+            F.count_if(num(c) <= 0).alias(f"bad{i}"), F.count(num(c)).alias(f"n{i}"),
+            F.avg(F.when(num(c) > 0, F.log(num(c)))).alias(f"m{i}"))]).first()
+        for i, c in enumerate(self.cols):
+            if r[f"bad{i}"]:
                 raise ValueError(f"{self.name}: column {c!r} has non-positive values; Box-Cox needs x > 0")
+        return {c: (r[f"n{i}"], 0.0, r[f"m{i}"] or 0.0) for i, c in enumerate(self.cols)}
 
 
 class YeoJohnsonTransformer(_PowerTransformer):
@@ -420,8 +533,13 @@ class YeoJohnsonTransformer(_PowerTransformer):
     def _expr(self, x, lam):
         return yeo_johnson_expr(x, lam)
 
-    def _jacobian(self, x):
-        return F.signum(x) * F.log1p(F.abs(x))
+    def _log(self, x, shift):
+        return F.log1p(F.abs(x)), F.coalesce(x < 0, F.lit(False))
+
+    def _first(self, df):
+        r = df.agg(*[e for i, c in enumerate(self.cols) for e in (
+            F.count(num(c)).alias(f"n{i}"), F.sum(F.signum(num(c)) * F.log1p(F.abs(num(c)))).alias(f"j{i}"))]).first()
+        return {c: (r[f"n{i}"], r[f"j{i}"] or 0.0, 0.0) for i, c in enumerate(self.cols)}
 
 
 # ------------------------------------------------------------------ interactions

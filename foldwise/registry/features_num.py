@@ -70,9 +70,30 @@ def q_quantile_bin(spark, sf):
     return _fit_apply(QuantileBinner("n2", ["l_extendedprice", "l_discount"], 10), li, LI_ID)
 
 
-@register("tree_bin")
+def _tree_sql(depth: int) -> str:
+    """Greedy Gini splits of o_totalprice on is_f, level by level over the
+    distinct values, then bins between the thresholds."""
+    ctes = ["v0 AS (SELECT 0 AS node, o_totalprice AS v, CAST(sum((o_orderstatus <> 'F')::INT) AS DOUBLE) AS n0, "
+            "CAST(sum((o_orderstatus = 'F')::INT) AS DOUBLE) AS n1 FROM orders WHERE o_totalprice IS NOT NULL "
+            "AND o_orderstatus IS NOT NULL GROUP BY o_totalprice)"]
+    for d in range(depth):
+        ctes.append(f"""c{d} AS (SELECT *, sum(n0) OVER w AS l0, sum(n1) OVER w AS l1, sum(n0) OVER (PARTITION BY node) AS t0,
+    sum(n1) OVER (PARTITION BY node) AS t1, lead(v) OVER (PARTITION BY node ORDER BY v) AS nx
+  FROM v{d} WINDOW w AS (PARTITION BY node ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))""")
+        ctes.append(f"""b{d} AS (SELECT node, v AS best, v / 2 + nx / 2 AS cut FROM c{d} WHERE nx IS NOT NULL AND t0 > 0 AND t1 > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY (l0 * l0 + l1 * l1) / (l0 + l1)
+    + ((t0 - l0) * (t0 - l0) + (t1 - l1) * (t1 - l1)) / ((t0 - l0) + (t1 - l1)) DESC, v) = 1)""")
+        ctes.append(f"v{d + 1} AS (SELECT 2 * v{d}.node + (v > best)::INT AS node, v, n0, n1 FROM v{d} JOIN b{d} USING (node))")
+    cuts = " UNION ALL ".join(f"SELECT cut AS e FROM b{d}" for d in range(depth))
+    ctes.append(f"e AS (SELECT list_sort(list_distinct(list(e))) AS e FROM ({cuts} UNION ALL SELECT min(o_totalprice) "
+                "FROM orders UNION ALL SELECT max(o_totalprice) FROM orders))")
+    return (f"WITH {', '.join(ctes)} SELECT o_orderkey, {sql_bin('o_totalprice', 'e')} AS o_totalprice_tree_binned "
+            "FROM orders, e")
+
+
+@register("tree_bin", _tree_sql(3))
 def q_tree_bin(spark, sf):
-    """Seeded learner: rows-only (thresholds depend on Spark's candidate bins)."""
+    """Exact Gini splits of the order price on a status flag, three levels."""
     o = table(spark, sf, "orders").withColumn("is_f", (F.col("o_orderstatus") == "F").cast("int"))
     st = DecisionTreeBinner("n3", ["o_totalprice"], "is_f", max_depth=3)
     return _fit_apply(st, o, ["o_orderkey"])
