@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, scratch_path
 
 
 # ------------------------------------------------------------------ A11-A13
@@ -67,6 +67,94 @@ def pseudo_label_round(train: DataFrame, test: DataFrame, scored: DataFrame, id_
     return cut_lineage(out) if checkpoint else out
 
 
+class PseudoLabelling:
+    """Rounds of pseudo-labelling with a state that outlives the session.
+
+    Round 0 builds features from the original rows, trains over the folds and
+    scores the test rows. Every further round has its own thresholds (high, low):
+    confident predictions of the round before become labels, their test rows
+    join the original train rows (never those of earlier rounds), features are
+    built and the model trained anew, and the test rows are scored again.
+
+    `stages` is called once a round and returns unfitted stages; `features` are
+    the model's columns. A round writes the pseudo-labelled ids, the test
+    predictions and the fold scores under `path` (shared storage), the scores
+    last; a later run with the same path goes on after the last round that has
+    them. Without a path the checkpoint folder is used."""
+
+    def __init__(self, stages, features, target: str, id_col: str, split, learner, metric, thresholds,
+                 path: str | None = None, pred_col: str = "prediction"):
+        self.stages, self.features, self.target, self.id_col = stages, list(features), target, id_col
+        self.split, self.learner, self.metric = split, learner, metric
+        self.thresholds, self.path, self.pred_col = list(thresholds), path, pred_col
+        for high, low in self.thresholds:
+            if not low <= high:
+                raise ValueError(f"thresholds are (high, low) with low <= high, not {(high, low)}")
+
+    def _at(self, n: int, table: str) -> str:
+        return f"{self.path}/round={n}/{table}"
+
+    def done(self, spark, n: int) -> bool:
+        """Whether a round is complete."""
+        p = spark._jvm.org.apache.hadoop.fs.Path(self._at(n, "scores") + "/_SUCCESS")
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+    def labels(self, spark, n: int) -> DataFrame:
+        """(id, target) of the rows that round n took over from the test set."""
+        return spark.read.parquet(self._at(n, "labels"))
+
+    def predictions(self, spark, n: int) -> DataFrame:
+        """(id, prediction) of all test rows after round n."""
+        return spark.read.parquet(self._at(n, "predictions"))
+
+    def scores(self, spark, n: int) -> DataFrame:
+        return spark.read.parquet(self._at(n, "scores"))
+
+    def _train_rows(self, train: DataFrame, test: DataFrame, labels: DataFrame) -> DataFrame:
+        kind = train.schema[self.target].dataType
+        rows = test.drop(self.target).join(labels.select(self.id_col, F.col(self.target).cast(kind)), self.id_col, "inner")
+        return train.unionByName(rows, allowMissingColumns=True)
+
+    def _round(self, n: int, train: DataFrame, test: DataFrame) -> None:
+        spark = train.sparkSession
+        if n:
+            high, low = self.thresholds[n - 1]
+            sure = confident_rows(self.predictions(spark, n - 1), self.pred_col, high, low)
+            labels = sure.select(self.id_col, F.col("pseudo_label").alias(self.target))
+        else:
+            labels = test.select(self.id_col, F.lit(None).cast("int").alias(self.target)).limit(0)
+        labels.write.mode("overwrite").parquet(self._at(n, "labels"))
+        builder = FeatureSetBuilder(self.stages())
+        rows, scored = builder.run(self._train_rows(train, test, self.labels(spark, n)), test.drop(self.target))
+        res = train_oof(rows, self.features, self.target, self.id_col, self.split, self.learner, self.metric, test=scored,
+                        pred_col=self.pred_col)
+        res.test_pred.write.mode("overwrite").parquet(self._at(n, "predictions"))
+        res.fold_scores.write.mode("overwrite").parquet(self._at(n, "scores"))
+        builder.release()
+
+    def run(self, train: DataFrame, test: DataFrame) -> DataFrame:
+        """One row a round: round, added (pseudo-labelled rows), positives (of
+        them), n_train, mean_score, std_score, n_folds."""
+        spark = train.sparkSession
+        if self.path is None:
+            self.path = scratch_path(spark, "pseudo-labels")
+        for n in range(len(self.thresholds) + 1):
+            if not self.done(spark, n):
+                self._round(n, train, test)
+        return self.rounds(train)
+
+    def rounds(self, train: DataFrame) -> DataFrame:
+        spark, out = train.sparkSession, []
+        own = train.agg(F.count(F.lit(1)).alias("own"))
+        for n in range(len(self.thresholds) + 1):
+            took = self.labels(spark, n).agg(F.count(F.lit(1)).alias("added"),
+                                             F.coalesce(F.sum(F.col(self.target).cast("long")), F.lit(0)).alias("positives"))
+            one = own.join(took, F.lit(True)).join(fold_summary(self.scores(spark, n)), F.lit(True))
+            out.append(one.select(F.lit(n).alias("round"), "added", "positives", (F.col("own") + F.col("added")).alias("n_train"),
+                                  "mean_score", "std_score", "n_folds"))
+        return reduce(DataFrame.unionByName, out)
+
+
 # ------------------------------------------------------------------ P1
 class FeatureSetBuilder:
     """Ordered stages, each fitted on the current train rows (or on
@@ -225,21 +313,14 @@ def stack(meta_train: DataFrame, meta_test: DataFrame | None, id_col: str, targe
 
 
 # ------------------------------------------------------------------ P8
-def search_params(train: DataFrame, features, target: str, id_col: str, split, kind: str, task: str, space: dict,
-                  metric, n_trials: int = 10, seed: int = 42):
-    """Seeded random search. `space` maps a parameter to ("float", lo,
-    hi[, "log"]), ("int", lo, hi[, step]) or ("cat", [choices]). Each trial
-    is one out-of-fold run; trials and their mean fold score form a table,
-    best first."""
+def sample_params(space: dict, n_trials: int, seed: int = 42) -> list[dict]:
+    """Seeded random parameters. `space` maps a parameter to ("float", lo, hi[,
+    "log"]), ("int", lo, hi[, step]) or ("cat", [choices])."""
     import math
     import random
 
-    from .models import Learner
-
-    rnd = random.Random(seed)
-    spark = train.sparkSession
-    rows = []
-    for t in range(n_trials):
+    rnd, out = random.Random(seed), []
+    for _ in range(n_trials):
         params = {}
         for name, spec in space.items():
             if spec[0] == "float":
@@ -247,15 +328,94 @@ def search_params(train: DataFrame, features, target: str, id_col: str, split, k
                 params[name] = (math.exp(rnd.uniform(math.log(lo), math.log(hi))) if len(spec) > 3 and spec[3] == "log"
                                 else rnd.uniform(lo, hi))
             elif spec[0] == "int":
-                step = spec[3] if len(spec) > 3 else 1
-                params[name] = rnd.randrange(spec[1], spec[2] + 1, step)
-            else:
+                params[name] = rnd.randrange(spec[1], spec[2] + 1, spec[3] if len(spec) > 3 else 1)
+            elif spec[0] == "cat":
                 params[name] = rnd.choice(spec[1])
-        res = train_oof(train, features, target, id_col, split, Learner(kind, task, **params), metric)
-        s = res.summary().first()
-        rows.append((t, repr(sorted(params.items())), float(s["mean_score"]), float(s["std_score"] or 0.0)))
-    out = spark.createDataFrame(rows, "trial int, params string, mean_score double, std_score double")
-    return out.orderBy(F.desc("mean_score") if metric.greater_is_better else F.asc("mean_score"), "trial")
+            else:
+                raise ValueError(f"parameter {name!r}: unknown kind {spec[0]!r}; choose float, int or cat")
+        out.append(params)
+    return out
+
+
+class SearchResult:
+    """`trials`: one row a trial (trial, one column a parameter, status, folds,
+    mean_score, std_score, error), best first; `best_params` with their own
+    types; `best_score`; `scores`: (trial, fold, score) of every fold run."""
+
+    def __init__(self, trials: DataFrame, scores: DataFrame, best_params: dict | None, best_score: float | None):
+        self.trials, self.scores, self.best_params, self.best_score = trials, scores, best_params, best_score
+
+    def learner(self, kind: str, task: str = "classification", **fixed):
+        """A learner with the best parameters."""
+        from .models import Learner
+
+        return Learner(kind, task, **{**fixed, **(self.best_params or {})})
+
+
+def search_params(train: DataFrame, features, target: str, split, make, space: dict, metric, n_trials: int = 10,
+                  seed: int = 42, keep: float = 0.5, first_folds: int = 1) -> SearchResult:
+    """Seeded random search with successive halving over the folds.
+
+    Folds are assigned once. All trials run `first_folds` folds; then the best
+    `keep` share of those still running (by mean score so far, ties by trial)
+    runs as many folds again, and so on until all folds are done: bad trials
+    stop after their first folds ("pruned"). A trial that raises is "failed" and
+    left out, the search goes on. `make(**params)` gives a learner. Only trials
+    with all folds compete for the best parameters."""
+    import math
+
+    spark = train.sparkSession
+    params = sample_params(space, n_trials, seed)
+    folds = list(split.pairs(train))
+    scores: dict[int, list] = {t: [] for t in range(n_trials)}
+    status, errors = dict.fromkeys(scores, "running"), dict.fromkeys(scores)
+    mean = (lambda t: sum(s for _, s in scores[t]) / len(scores[t]))
+    order = (lambda t: (-mean(t) if metric.greater_is_better else mean(t), t))
+    done, live = 0, list(scores)
+    while live and done < len(folds):
+        upto = min(max(done * 2, first_folds), len(folds))
+        for t in live:
+            try:
+                learner = make(**params[t])
+                for fold, tr, va in folds[done:upto]:
+                    pred = learner.fit(tr, features, target, valid=va).predict(va, "__p")
+                    score = metric.frame(pred, target, "__p").first()["score"]
+                    if score is None or not math.isfinite(score):
+                        raise ValueError(f"no score on fold {fold}")
+                    scores[t].append((int(fold), float(score)))
+            except Exception as e:  # noqa: BLE001 - a failed trial must not end the search
+                status[t], errors[t] = "failed", f"{type(e).__name__}: {e}".split("\n")[0][:200]
+        live = sorted((t for t in live if status[t] == "running"), key=order)
+        done = upto
+        if done < len(folds):
+            stay = max(1, math.ceil(len(live) * keep))
+            for t in live[stay:]:
+                status[t] = "pruned"
+            live = live[:stay]
+    for t in live:
+        status[t] = "complete"
+    kinds = {k: "double" if v[0] == "float" else "long" if v[0] == "int" else _choice_type(v[1]) for k, v in space.items()}
+    rows = []
+    for t in sorted(scores, key=lambda t: (status[t] != "complete", not scores[t], order(t) if scores[t] else (0, t))):
+        got = [s for _, s in scores[t]]
+        m = sum(got) / len(got) if got else None
+        sd = math.sqrt(sum((x - m) ** 2 for x in got) / len(got)) if got else None
+        rows.append((t, *[str(params[t][k]) if kinds[k] == "string" else params[t][k] for k in space],
+                     status[t], len(got), m, sd, errors[t]))
+    schema = ", ".join(["trial int", *[f"`{k}` {kinds[k]}" for k in space],
+                        "status string, folds int, mean_score double, std_score double, error string"])
+    long_t = spark.createDataFrame([(t, f, s) for t in scores for f, s in scores[t]], "trial int, fold int, score double")
+    best = live[0] if live else None
+    return SearchResult(spark.createDataFrame(rows, schema), long_t, None if best is None else params[best],
+                        None if best is None else mean(best))
+
+
+def _choice_type(choices) -> str:
+    if all(isinstance(c, bool) for c in choices):
+        return "boolean"
+    if all(isinstance(c, int) for c in choices):
+        return "long"
+    return "double" if all(isinstance(c, (int, float)) for c in choices) else "string"
 
 
 # ------------------------------------------------------------------ P9

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.learned import assemble, without_summary
+from ..operators.state import StateTable
 
 KINDS = ("gbt", "forest", "logit", "ridge", "linear_svm")
 
@@ -61,6 +62,36 @@ class Learner:
         return FittedModel(without_summary(model), features, self.kind, self.task)
 
 
+class KeyMeanLearner:
+    """Baseline learner: the prediction is the mean label of the rows with the
+    same keys, drawn towards the overall mean by `smoothing` rows of it; unseen
+    and NULL keys get the overall mean. One aggregate to fit, one join to apply."""
+
+    def __init__(self, smoothing: float = 0.0):
+        if smoothing < 0:
+            raise ValueError("smoothing is a number of rows, 0 or more")
+        self.smoothing = float(smoothing)
+
+    def fit(self, df: DataFrame, features, label: str, valid: DataFrame | None = None) -> "KeyMeanModel":
+        y, keys = F.col(label).try_cast("double"), list(features)
+        rows = df.where(y.isNotNull())
+        overall = rows.agg(F.avg(y)).first()[0]
+        known = rows.dropna(subset=keys).groupBy(*keys).agg(F.sum(y).alias("__s"), F.count(y).alias("__n"))
+        m = F.lit(self.smoothing)
+        mean = (F.col("__s") + m * F.lit(overall).cast("double")) / (F.col("__n") + m)
+        return KeyMeanModel(StateTable.build(known.select(*keys, mean.alias("__mean"))), keys, overall)
+
+
+class KeyMeanModel:
+    def __init__(self, state: StateTable, keys: list[str], overall: float | None):
+        self.state, self.keys, self.overall = state, keys, overall
+
+    def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        keep = [F.col(f"`{c}`") for c in df.columns if c != out]
+        joined = df.join(self.state.side(), self.keys, "left")
+        return joined.select(*keep, F.coalesce("__mean", F.lit(self.overall).cast("double")).alias(out))
+
+
 class FittedModel:
     def __init__(self, model, features, kind: str, task: str):
         self.model, self.features, self.kind, self.task = model, features, kind, task

@@ -12,10 +12,10 @@ from ..operators.metrics import Rmse, RocAuc
 from ..operators.numeric import StandardScaler
 from ..operators.temporal import DatetimeFeatures
 from ..operators.text import TextStatistics
-from ..plans.flows import (FeatureSetBuilder, build_meta_table, rank_features, score_batch, search_params, stack,
-                           train_full, train_oof)
+from ..plans.flows import (FeatureSetBuilder, PseudoLabelling, build_meta_table, rank_features, sample_params,
+                           score_batch, search_params, stack, train_full, train_oof)
 from ..plans.folds import KFold, RollingTime, StratifiedKFold
-from ..plans.models import FittedModel, Learner
+from ..plans.models import FittedModel, KeyMeanLearner, Learner
 from ..session import scratch_path
 from ..streaming.apply import apply_stream, run_to_table
 from ..sources.io import table
@@ -182,14 +182,98 @@ def q_stack(spark, sf):
     return tidy(pred.select("doc_id", "prediction"))
 
 
-@register("search_params")
+_SEARCH = {"smoothing": ("float", 0.5, 500.0, "log")}
+_TRIALS, _SEARCH_FOLDS = 8, 4
+
+
+def _search_sql() -> str:
+    """Fold scores of all trials (RMSE of smoothed key means on hash folds) and
+    the halving: folds 0, 0-1, 0-3, half of the trials left each time."""
+    trials = ", ".join(f"({t}, {p['smoothing']!r}::DOUBLE)" for t, p in enumerate(sample_params(_SEARCH, _TRIALS, 7)))
+    return f"""
+WITH t(trial, smoothing) AS (VALUES {trials}),
+e AS (SELECT event_type, hour(ts) AS h, value, (('0x' || substr(md5('42|' || event_id), 1, 8))::BIGINT % {_SEARCH_FOLDS}) AS fold
+      FROM events),
+f AS (SELECT unnest(range({_SEARCH_FOLDS})) AS fold),
+g AS (SELECT f.fold, avg(value) AS m FROM f JOIN e ON e.fold <> f.fold GROUP BY f.fold),
+k AS (SELECT f.fold, event_type, h, sum(value) AS s, count(value) AS n FROM f JOIN e ON e.fold <> f.fold GROUP BY ALL),
+p AS (SELECT t.trial, e.fold, sqrt(avg(power(e.value - coalesce((k.s + t.smoothing * g.m) / (k.n + t.smoothing), g.m), 2))) AS score
+      FROM e CROSS JOIN t JOIN g ON g.fold = e.fold
+      LEFT JOIN k ON k.fold = e.fold AND k.event_type = e.event_type AND k.h = e.h GROUP BY ALL),
+r1 AS (SELECT trial FROM p WHERE fold < 1 GROUP BY trial ORDER BY avg(score), trial LIMIT {_TRIALS // 2}),
+r2 AS (SELECT trial FROM p WHERE fold < 2 AND trial IN (FROM r1) GROUP BY trial ORDER BY avg(score), trial LIMIT {_TRIALS // 4}),
+u AS (SELECT trial, CASE WHEN trial IN (FROM r2) THEN {_SEARCH_FOLDS} WHEN trial IN (FROM r1) THEN 2 ELSE 1 END AS folds FROM t)
+SELECT CAST(u.trial AS BIGINT) AS trial, round(any_value(t.smoothing), 6) AS smoothing,
+  CASE WHEN u.folds = {_SEARCH_FOLDS} THEN 'complete' ELSE 'pruned' END AS status, CAST(u.folds AS BIGINT) AS folds,
+  round(avg(score), 6) AS mean_score,
+  CAST(u.folds = {_SEARCH_FOLDS} AND avg(score) <= min(CASE WHEN u.folds = {_SEARCH_FOLDS} THEN avg(score) END) OVER () AS BIGINT) AS best
+FROM u JOIN p ON p.trial = u.trial AND p.fold < u.folds JOIN t ON t.trial = u.trial GROUP BY u.trial, u.folds"""
+
+
+@register("search_params", _search_sql())
 def q_search_params(spark, sf):
-    """3-trial seeded random search over GBT depth and step size."""
+    """Successive halving of eight smoothing values for key means of the
+    event value, over four hash folds."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", F.hour("ts").alias("h"), "value")
+    res = search_params(ev, ["event_type", "h"], "value", KFold(_SEARCH_FOLDS, id_col="event_id", exact=False),
+                        KeyMeanLearner, _SEARCH, Rmse(), _TRIALS, seed=7)
+    return tidy(res.trials.select("trial", "smoothing", "status", "folds", "mean_score",
+                                  (F.col("smoothing") == F.lit(res.best_params["smoothing"])).alias("best")))
+
+
+@register("search_params_boosted")
+def q_search_params_boosted(spark, sf):
+    """P8 over boosted trees: depth, step size and rounds (rows-only)."""
     train, _ = _doc_features(spark, sf)
     space = {"maxDepth": ("int", 2, 4), "stepSize": ("float", 0.05, 0.3, "log"), "maxIter": ("cat", [5, 10])}
-    out = search_params(train, _FEATS, "quality", "doc_id", KFold(3, id_col="doc_id"), "gbt", "classification",
-                        space, RocAuc(), n_trials=3)
-    return tidy(out)
+    res = search_params(train, _FEATS, "quality", KFold(3, id_col="doc_id"), lambda **p: Learner("gbt", **p), space,
+                        RocAuc(), n_trials=3)
+    return tidy(res.trials)
+
+
+# ------------------------------------------------------------------ P7
+_ROUNDS = [(0.47, 0.43), (0.48, 0.42)]
+
+
+def _pseudo_sql() -> str:
+    """Every round by SQL: key means over the train rows of each of two hash
+    folds, averaged over the folds, then thresholds."""
+    def scored(n, rows):
+        return f"""
+m{n} AS (SELECT f.fold, avg(y) AS m FROM (SELECT unnest(range(2)) AS fold) f JOIN {rows} r ON r.fold <> f.fold GROUP BY f.fold),
+k{n} AS (SELECT f.fold, k1, k2, (sum(y) + 20 * any_value(m)) / (count(y) + 20) AS p
+  FROM m{n} f JOIN {rows} r ON r.fold <> f.fold GROUP BY f.fold, k1, k2),
+p{n} AS (SELECT id, t.k1, t.k2, t.fold, avg(coalesce(k.p, f.m)) AS p
+  FROM te t CROSS JOIN m{n} f LEFT JOIN k{n} k ON k.fold = f.fold AND k.k1 = t.k1 AND k.k2 = t.k2 GROUP BY ALL),
+s{n} AS (SELECT r.fold, avg((y - coalesce(k.p, f.m)) * (y - coalesce(k.p, f.m))) AS mse
+  FROM {rows} r JOIN m{n} f ON f.fold = r.fold LEFT JOIN k{n} k ON k.fold = r.fold AND k.k1 = r.k1 AND k.k2 = r.k2 GROUP BY r.fold)"""
+
+    ctes = [f"""o AS (SELECT o_orderkey AS id, o_orderpriority AS k1, month(o_orderdate) AS k2, (o_orderstatus = 'F')::INT::DOUBLE AS y,
+  o_orderdate < {_CUT} AS tr, (('0x' || substr(md5('42|' || o_orderkey), 1, 8))::BIGINT % 2) AS fold FROM orders),
+te AS (SELECT id, k1, k2, fold FROM o WHERE NOT tr), d0 AS (SELECT id, k1, k2, y, fold FROM o WHERE tr)""", scored(0, "d0")]
+    for n, (high, low) in enumerate(_ROUNDS, 1):
+        ctes.append(f"l{n} AS (SELECT id, k1, k2, (p > 0.5)::INT::DOUBLE AS y, fold FROM p{n - 1} WHERE p > {high} OR p < {low}), "
+                    f"d{n} AS (FROM d0 UNION ALL FROM l{n})")
+        ctes.append(scored(n, f"d{n}"))
+    rows = ["SELECT 0 AS round, 0 AS added, 0 AS positives, (SELECT count(*) FROM d0) AS n_train, "
+            "(SELECT avg(sqrt(mse)) FROM s0) AS mean_score"]
+    rows += [f"SELECT {n}, (SELECT count(*) FROM l{n}), (SELECT coalesce(sum(y), 0) FROM l{n}), (SELECT count(*) FROM d{n}), "
+             f"(SELECT avg(sqrt(mse)) FROM s{n})" for n in range(1, len(_ROUNDS) + 1)]
+    return (f"WITH {', '.join(ctes)} SELECT CAST(round AS BIGINT) AS round, CAST(added AS BIGINT) AS added, "
+            "CAST(positives AS BIGINT) AS positives, CAST(n_train AS BIGINT) AS n_train, round(mean_score, 6) AS mean_score "
+            f"FROM ({' UNION ALL '.join(rows)})")
+
+
+@register("pseudo_label_rounds", _pseudo_sql())
+def q_pseudo_label_rounds(spark, sf):
+    """Two rounds on orders (before 1996 = train, the rest = test), a key-mean
+    learner on priority and month, rebuilt features, own thresholds a round."""
+    o = table(spark, sf, "orders").withColumn("y", (F.col("o_orderstatus") == "F").cast("int"))
+    cut = F.col("o_orderdate") < F.lit("1996-01-01")
+    flow = PseudoLabelling(lambda: [DatetimeFeatures("d", ["o_orderdate"], ["month"])], ["o_orderpriority", "o_orderdate_month"],
+                           "y", "o_orderkey", KFold(2, id_col="o_orderkey", exact=False), KeyMeanLearner(20.0), Rmse(), _ROUNDS)
+    out = flow.run(o.where(cut), o.where(~cut).drop("y"))
+    return tidy(out.select("round", "added", "positives", "n_train", "mean_score"))
 
 
 @register("score_batch")
