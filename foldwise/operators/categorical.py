@@ -174,11 +174,15 @@ class HashingEncoder(StatelessStage):
 # ------------------------------------------------------------------ C5
 class OrdinalEncoder(Stage):
     """`<c>_ordinal` from a given mapping, else codes 0..K-1 in ascending
-    value order; unseen and NULL → `unknown_value`. Inputs are dropped."""
+    value order, or with `order_col` in the order of first appearance by that
+    column (ties by value; values that never have one come last); unseen and
+    NULL → `unknown_value`. Inputs are dropped."""
 
-    def __init__(self, name: str, cols, mapping: dict | None = None, unknown_value: int = -1):
+    def __init__(self, name: str, cols, mapping: dict | None = None, unknown_value: int = -1,
+                 order_col: str | None = None):
         super().__init__(name)
         self.cols, self.mapping, self.unknown_value = list(cols), mapping or {}, unknown_value
+        self.order_col = order_col
 
     def fit(self, df):
         require_columns(df, self.cols, self.name)
@@ -189,8 +193,13 @@ class OrdinalEncoder(Stage):
                 rows = list(self.mapping[c].items())
                 g = spark.createDataFrame(rows, f"k string, __v int").withColumnRenamed("k", c)
             else:
-                d = df.select(c).where(F.col(c).isNotNull()).distinct()
-                g = global_index(d, [c], "__v").select(c, F.col("__v").cast("int").alias("__v"))
+                d, order = df.where(F.col(c).isNotNull()), [F.col(c)]
+                if self.order_col:
+                    d = d.groupBy(c).agg(F.min(self.order_col).alias("__first"))
+                    order = [F.col("__first").asc_nulls_last(), F.col(c)]
+                else:
+                    d = d.select(c).distinct()
+                g = global_index(d, order, "__v").select(c, F.col("__v").cast("int").alias("__v"))
             states[c] = StateTable.build(g)
         return _LookupFitted(self, states, {c: (f"{c}_ordinal", self.unknown_value) for c in self.cols},
                              drop=True)

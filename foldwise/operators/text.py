@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..session import spread
 from .base import Fitted, StatelessStage, Stage, require_columns
+from .indexing import global_index
 from .state import StateTable
 
 def _char_class(codes: list[int]) -> str:
@@ -165,35 +166,63 @@ class CountVectorizer(Stage):
 class _BowFitted(Fitted):
     def __init__(self, stage, vocab, n_docs):
         super().__init__(stage)
-        self.vocab, self.n_docs = vocab, n_docs
-
-    def to_vectors(self, df, out: str = "features", max_vocab: int | None = None):
+        self.vocab, self.n_docs, self._terms = vocab, n_docs, None
+
+    def _index(self) -> StateTable:
+        """(term, idx, idf): the vocabulary's terms numbered in their order by a
+        distributed index."""
+        if self._terms is None:
+            idx = global_index(self.vocab.df.select("term", "df"), ["term"], "idx")
+            idf = F.log(F.lit(1.0 + self.n_docs) / (F.col("df") + 1)) + 1
+            self._terms = StateTable.build(idx.select("term", F.col("idx").cast("int").alias("idx"), idf.alias("idf")))
+        return self._terms
+
+    def to_vectors(self, df, out: str = "features"):
         """Vector form for Spark ML learners: one SparseVector per row over
         the fitted vocabulary (sorted terms) — term counts, or for tf-idf the
-        idf-weighted counts scaled to unit L2 norm. Built from Spark ML
-        transformers (CountVectorizerModel, ElementwiseProduct, Normalizer);
-        the vocabulary itself is the only thing collected (bounded by the
-        stage's `max_features`; `max_vocab` is an optional guard)."""
-        import math as _m
-
-        from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
-        from pyspark.ml.linalg import Vectors
-
-        s = self.stage
-        terms = self.vocab.df.select("term", "df").orderBy("term")
-        rows = (terms.limit(max_vocab + 1) if max_vocab else terms).collect()
-        if max_vocab and len(rows) > max_vocab:
-            raise ValueError(f"vocabulary larger than {max_vocab}; use the long form or set max_features")
-        vocab = [r["term"] for r in rows]
-        tok = df.withColumn("__tok", tokens(F.col(s.col), s.ngram_range, s.stop_words))
-        if not isinstance(s, TfidfVectorizer):
-            cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="__tok", outputCol=out)
-            return cv.transform(tok).drop("__tok")
-        idf = [_m.log((1.0 + self.n_docs) / (r["df"] + 1)) + 1 for r in rows]
-        cv = CountVectorizerModel.from_vocabulary(vocab, inputCol="__tok", outputCol="__tf")
-        weighted = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="__tf", outputCol="__w")
-        norm = Normalizer(p=2.0, inputCol="__w", outputCol=out)
-        return norm.transform(weighted.transform(cv.transform(tok))).drop("__tok", "__tf", "__w")
+        idf-weighted counts scaled to unit L2 norm.
+
+        The vocabulary stays distributed, whatever its size: the terms of each
+        different text are counted, joined to the numbered vocabulary and put
+        together as one vector a text; rows get the vector of their text. A text
+        is named by two 64-bit hashes."""
+        import numpy as np
+        import pyarrow as pa
+        from pyspark.ml.linalg import SparseVector, VectorUDT
+        from pyspark.sql import types as T
+
+        s, index = self.stage, self._index()
+        size, tfidf = index.rows, isinstance(s, TfidfVectorizer)
+        name = (lambda t: F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b")))
+        texts = spread(df.select(F.col(s.col).alias("t"))).where("t is not null").withColumn("k", name(F.col("t")))
+        texts = texts.dropDuplicates(["k"])
+        tc = (texts.select("k", F.explode(tokens(F.col("t"), s.ngram_range, s.stop_words)).alias("term"))
+              .groupBy("k", "term").agg(F.count(F.lit(1)).alias("tf")))
+        weight = F.col("tf") * F.col("idf") if tfidf else F.col("tf").cast("double")
+        per = (tc.join(index.side(), "term").groupBy("k")
+               .agg(F.sort_array(F.collect_list(F.struct("idx", weight.alias("w")))).alias("x"))
+               .select("k", F.col("x.idx").alias("i"), F.col("x.w").alias("w")))
+
+        def build(batches):
+            for batch in batches:
+                n, i, w = batch.num_rows, batch.column("i"), batch.column("w")
+                if tfidf and n:
+                    off = w.offsets.to_numpy().astype(np.int64)
+                    x = w.values.to_numpy()[off[0]:off[-1]]
+                    norm = np.sqrt(np.add.reduceat(x * x, off[:-1] - off[0]))
+                    w = pa.ListArray.from_arrays(pa.array((off - off[0]).astype(np.int32)),
+                                                 pa.array(x / np.repeat(norm, np.diff(off))))
+                vec = pa.StructArray.from_arrays([pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, size, np.int32)), i, w],
+                                                 names=["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([batch.column("k"), vec], names=["k", "v"])
+
+        kind = T.StructType([T.StructField("k", per.schema["k"].dataType), T.StructField("v", VectorUDT())])
+        vectors = per.mapInArrow(build, kind)
+        keep = [F.col(f"`{c}`") for c in df.columns if c != out]
+        rows = df.withColumn("__k", name(F.col(s.col)))
+        empty = df.sparkSession.createDataFrame([(SparseVector(size, {}),)], T.StructType([T.StructField("__none", VectorUDT())]))
+        return (rows.join(vectors, F.col("__k") == F.col("k"), "left").join(F.broadcast(empty), F.lit(True))
+                .select(*keep, F.coalesce("v", "__none").alias(out)))
 
     def add_to(self, df):
         """The frame with all its rows and columns and one vector column,
@@ -249,21 +278,20 @@ class _PoolFitted(Fitted):
 
     def transform(self, df):
         s, out = self.stage, df
-        aggs = {"mean": F.avg("__x"), "max": F.max("__x")}
+        from pyspark.ml.functions import array_to_vector, vector_to_array
+        from pyspark.ml.stat import Summarizer
+
+        pools = Summarizer.metrics(*s.aggs)
         for c in s.cols:
             toks = spread(out.select(s.id_col, c)).select(F.col(s.id_col).alias("__id"),
                                                           F.explode(words(F.lower(F.col(c)))).alias("__w"))
-            hit = toks.join(self.vectors.side(), "__w")
-            per_dim = (hit.select("__id", F.posexplode("__v").alias("__d", "__x"))
-                          .groupBy("__id", "__d").agg(*[aggs[a].alias(a) for a in s.aggs]))
-            # one row per text; the gathered list is bounded by the vector width
-            g = per_dim.groupBy("__id").agg(F.array_sort(F.collect_list(F.struct("__d", *s.aggs))).alias("__a"))
-            names, cols = [], []
-            for a in s.aggs:
-                for d in range(self.dim):
-                    names.append(f"{c}_{a}_dim_{d}")
-                    cols.append(F.col("__a")[d].getField(a).alias(names[-1]))
-            wide = g.select("__id", *cols)
+            hit = toks.join(self.vectors.side(), "__w").select("__id", array_to_vector(
+                F.col("__v").cast("array<double>")).alias("__x"))
+            # whole vectors are pooled, partly in each task: a text sends one row a task
+            g = hit.groupBy("__id").agg(pools.summary(F.col("__x")).alias("__a"))
+            g = g.select("__id", *[vector_to_array(F.col(f"__a.{a}")).alias(f"__{a}") for a in s.aggs])
+            names = [f"{c}_{a}_dim_{d}" for a in s.aggs for d in range(self.dim)]
+            wide = g.select("__id", *[F.col(f"__{a}")[d].alias(f"{c}_{a}_dim_{d}") for a in s.aggs for d in range(self.dim)])
             out = out.join(wide, out[s.id_col] == wide["__id"], "left").drop("__id")
             out = out.fillna(0.0, subset=names).drop(c)
         return out
@@ -278,13 +306,15 @@ def pool_token_embeddings(df: DataFrame, group_col: str, pos_col: str, vec_col:
         return df.groupBy(group_col).agg(F.min_by(F.col(vec_col), F.col(pos_col)).alias(out))
     if strategy != "mean":
         raise ValueError("strategy must be 'mean' or 'cls'")
-    e = df.select(group_col, F.col(mask_col).cast("double").alias("__m"),
-                  F.posexplode(vec_col).alias("__d", "__x"))
-    g = e.groupBy(group_col, "__d").agg(F.sum(F.col("__x") * F.col("__m")).alias("__s"),
-                                        F.sum("__m").alias("__n"))
-    g = g.select(group_col, "__d", (F.col("__s") / F.greatest(F.col("__n"), F.lit(1e-9))).alias("__v"))
-    return g.groupBy(group_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("__d", "__v"))), lambda s: s["__v"]).alias(out))
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    m = F.col(mask_col).cast("double")
+    e = df.select(group_col, m.alias("__m"), array_to_vector(
+        F.transform(F.col(vec_col), lambda x: x.cast("double") * m)).alias("__x"))
+    g = e.groupBy(group_col).agg(Summarizer.sum(F.col("__x")).alias("__s"), F.sum("__m").alias("__n"))
+    n = F.greatest(F.col("__n"), F.lit(1e-9))
+    return g.select(group_col, F.transform(vector_to_array("__s"), lambda x: x / n).alias(out))
 
 
 def embed_batches(df: DataFrame, text_col: str, make_encoder, dim: int, out: str = "embedding",

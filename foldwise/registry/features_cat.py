@@ -193,3 +193,15 @@ def q_target_encode_oof(spark, sf):
     st = TargetEncoder("c6o", ["o_orderpriority"], "is_f", 20.0, fold_col="fold").fit(o)
     return tidy(st.transform(o.select("o_orderkey", "o_orderpriority", "fold")).select("o_orderkey",
                                                                                         "o_orderpriority_te"))
+
+
+@register("ordinal_encode_first_seen", """
+WITH f AS (SELECT event_type, min(ts) AS t FROM events WHERE event_type IS NOT NULL GROUP BY event_type),
+c AS (SELECT event_type, row_number() OVER (ORDER BY t, event_type) - 1 AS code FROM f)
+SELECT CAST(event_id AS BIGINT) AS event_id, CAST(coalesce(code, -1) AS BIGINT) AS event_type_ordinal
+FROM events LEFT JOIN c USING (event_type)""")
+def q_ordinal_encode_first_seen(spark, sf):
+    """Codes in the order of first appearance by time."""
+    ev = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    st = OrdinalEncoder("c5f", ["event_type"], order_col="ts")
+    return tidy(st.fit(ev).transform(ev).select("event_id", "event_type_ordinal"))

@@ -284,6 +284,82 @@ def q_score_batch(spark, sf):
     return tidy(score_batch(res.models, test, "doc_id"))
 
 
+# ------------------------------------------------------------------ L3-L6, P9 by certificate
+_LI_FEATS = ["l_quantity", "l_discount", "l_tax"]
+_RIDGE = 1.0
+
+
+def _ridge_sql() -> str:
+    """Normal equations of three standardised features, solved by Cramer's rule.
+    Spark scales features and label by their sample deviations and adds
+    regParam / (label deviation) to the diagonal of the scaled system."""
+    v = dict(zip("abc", _LI_FEATS))
+    cor = [f"covar_pop({x}, {z}) / (stddev_samp({x}) * stddev_samp({z})) AS s_{i}{j}"
+           for i, x in v.items() for j, z in v.items() if i <= j]
+    rhs = [f"covar_pop({x}, l_extendedprice) / (stddev_samp({x}) * stddev_samp(l_extendedprice)) AS r_{i}" for i, x in v.items()]
+    stat = [f"avg({x}) AS m_{i}, stddev_samp({x}) AS d_{i}" for i, x in v.items()]
+    g = {(i, j): f"s_{min(i, j)}{max(i, j)}" + (f" + {_RIDGE} / d_y" if i == j else "") for i in v for j in v}
+
+    def det(m):
+        (a, b, c), (d, e, f), (h, i, k) = m
+        return (f"(({a}) * (({e}) * ({k}) - ({f}) * ({i})) - ({b}) * (({d}) * ({k}) - ({f}) * ({h})) "
+                f"+ ({c}) * (({d}) * ({i}) - ({e}) * ({h})))")
+
+    full = det([[g[i, j] for j in v] for i in v])
+    w = {z: det([[f"r_{i}" if j == z else g[i, j] for j in v] for i in v]) + f" / {full}" for z in v}
+    lin = " + ".join(f"(({w[i]}) * d_y / d_{i}) * ({x} - m_{i})" for i, x in v.items())
+    return (f"WITH s AS (SELECT {', '.join(cor + rhs + stat)}, avg(l_extendedprice) AS m_y, stddev_samp(l_extendedprice) AS d_y "
+            f"FROM lineitem) SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, round(m_y + {lin}, 1) AS prediction "
+            "FROM lineitem, s")
+
+
+@register("fit_ridge_solved", _ridge_sql())
+def q_fit_ridge_solved(spark, sf):
+    """L4 by value: the ridge predictions against the normal equations."""
+    return tidy(q_fit_ridge(spark, sf), digits=1)
+
+
+@register("fit_logit_gradient", """
+SELECT name, CAST(0 AS DOUBLE) AS gradient FROM (VALUES ('text_text_length'), ('text_word_count'),
+  ('text_unique_word_count'), ('text_avg_word_length'), ('text_sentence_count'), ('text_punctuation_count'),
+  ('text_uppercase_count'), ('intercept')) t(name)""")
+def q_fit_logit_gradient(spark, sf):
+    """L3 by certificate: the penalised log-loss is convex, so a zero gradient
+    (by standardised feature) shows that the fitted coefficients are its minimum."""
+    train, _ = _doc_features(spark, sf)
+    m = Learner("logit", regParam=0.1, tol=1e-10, maxIter=500).fit(train, _FEATS, "quality")
+    w = dict(zip(_FEATS, m.model.coefficients.toArray().tolist()))
+    p = m.predict(train, "p").withColumn("r", F.col("p") - F.col("quality"))
+    std = p.agg(*[F.stddev_samp(c).alias(c) for c in _FEATS]).first()
+    grad = p.agg(*[(F.avg(F.col("r") * F.col(c)) / std[c] + 0.1 * w[c] * std[c]).alias(c) for c in _FEATS],
+                 F.avg("r").alias("intercept"))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("gradient")) for c in [*_FEATS, "intercept"]]))
+    return tidy(grad.select(pairs.alias("x")).select("x.*"), digits=4)
+
+
+@register("save_load_difference", "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS DOUBLE) AS largest_difference "
+                                  "FROM documents JOIN labels USING (doc_id)")
+def q_save_load_difference(spark, sf):
+    """A model that was saved and loaded predicts what it did before."""
+    train, _ = _doc_features(spark, sf)
+    m = Learner("logit", regParam=0.1).fit(train, _FEATS, "quality")
+    back = FittedModel.load(m.save(scratch_path(spark, "model")), _FEATS, "logit", "classification")
+    both = m.predict(train, "a").select("doc_id", "a").join(back.predict(train, "b").select("doc_id", "b"), "doc_id")
+    return tidy(both.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("largest_difference")))
+
+
+@register("score_batch_difference", "SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS DOUBLE) AS largest_difference "
+                                    "FROM documents ANTI JOIN labels USING (doc_id)")
+def q_score_batch_difference(spark, sf):
+    """Scoring with the saved fold models gives the flow's own test predictions."""
+    train, test = _doc_features(spark, sf)
+    res = train_oof(train, _FEATS, "quality", "doc_id", _fold5(), Learner("logit", regParam=0.1), test=test)
+    saved = [FittedModel.load(m.save(scratch_path(spark, "model")), _FEATS, "logit", "classification") for m in res.models]
+    both = (score_batch(saved, test, "doc_id", "a")
+            .join(res.test_pred.select("doc_id", F.col("oof_pred").alias("b")), "doc_id"))
+    return tidy(both.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("a") - F.col("b"))).alias("largest_difference")))
+
+
 # ------------------------------------------------------------------ K1
 @register("apply_stream", """
 WITH g AS (SELECT user_id, avg(value) AS m FROM events WHERE user_id IS NOT NULL GROUP BY user_id),

@@ -7,9 +7,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.base import require_columns
-from ..operators.categorical import CountFrequencyEncoder, RareCategoryCombiner
+from ..operators.categorical import WoEEncoder, CountFrequencyEncoder, RareCategoryCombiner
 from ..operators.groups import GroupStats
-from ..operators.numeric import NumCatInteraction
+from ..operators.numeric import BoxCoxTransformer, NumCatInteraction
 from ..operators.text import TextStatistics
 from ..plans.flows import build_meta_table, confident_rows, prediction_columns, pseudo_label_round
 from ..session import scratch_path
@@ -185,24 +185,39 @@ def q_isin_semi(spark, sf):
     return tidy(st.fit(li).transform(li))
 
 
-@register("binary_only_assert", "SELECT doc_id, CAST(quality AS BIGINT) AS quality FROM labels")
+@register("binary_only_assert", """
+WITH e AS (SELECT event_type, CAST(value > 50 AS INT) AS y FROM events)
+SELECT 'kept' AS target, CAST(count(*) AS BIGINT) AS n_rows FROM e WHERE y IN (0, 1)
+UNION ALL SELECT 'three values', CAST(-1 AS BIGINT)""")
 def q_binary_only_assert(spark, sf):
-    """One aggregate validates the target before use."""
-    lab = table(spark, sf, "labels")
-    bad = lab.agg(F.count_if(F.col("quality").isNull() | ~F.col("quality").isin(0, 1))).first()[0]
-    if bad:
-        raise ValueError("target must be 0/1")
-    return tidy(lab.select("doc_id", "quality"))
+    """The weight-of-evidence fit takes a 0/1 target (rows encoded) and
+    refuses one of three values (-1)."""
+    e = table(spark, sf, "events").select("event_type", (F.col("value") > 50).cast("int").alias("y"), "value")
+    good = WoEEncoder("r10", ["event_type"], "y").fit(e).transform(e)
+    out = good.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("kept").alias("target"), "n_rows")
+    three = e.withColumn("y", F.col("y") + (F.col("value") > 75).cast("int"))
+    return tidy(out.union(_refused(spark, lambda: WoEEncoder("r10", ["event_type"], "y").fit(three), "three values")))
+
+
+@register("positive_only_assert", """
+SELECT 'positive' AS target, CAST(count(*) AS BIGINT) AS n_rows FROM lineitem WHERE l_extendedprice > 0
+UNION ALL SELECT 'with zeros', CAST(-1 AS BIGINT)""")
+def q_positive_only_assert(spark, sf):
+    """The Box-Cox fit takes positive values (rows transformed) and refuses
+    a column with zeros (-1)."""
+    li = table(spark, sf, "lineitem").select("l_extendedprice", "l_discount")
+    good = BoxCoxTransformer("r11", ["l_extendedprice"]).fit(li).transform(li)
+    out = good.agg(F.count("l_extendedprice_boxcox").alias("n_rows")).select(F.lit("positive").alias("target"), "n_rows")
+    return tidy(out.union(_refused(spark, lambda: BoxCoxTransformer("r11", ["l_discount"]).fit(li), "with zeros")))
 
 
-@register("positive_only_assert", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, "
-                                  "round(ln(l_extendedprice), 6) AS log_price FROM lineitem")
-def q_positive_only_assert(spark, sf):
-    """min(x) > 0 checked in one aggregate, then the log is safe."""
-    li = table(spark, sf, "lineitem")
-    if li.agg(F.min("l_extendedprice")).first()[0] <= 0:
-        raise ValueError("values must be positive")
-    return tidy(li.select("l_orderkey", "l_linenumber", F.log("l_extendedprice").alias("log_price")))
+def _refused(spark, fit, name):
+    """One row (target, n_rows): -1 when the fit raises ValueError, else 0."""
+    try:
+        fit()
+    except ValueError:
+        return spark.createDataFrame([(name, -1)], "target string, n_rows long")
+    return spark.createDataFrame([(name, 0)], "target string, n_rows long")
 
 
 # ------------------------------------------------------------------ J1-J3, J6, J8
