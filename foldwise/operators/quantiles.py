@@ -142,7 +142,8 @@ def grouped_quantiles(df: DataFrame, value_col: str, probs: list[float], by: lis
         want = StateTable.build(want.distinct())
         held.append(want)
         ranges = large.withColumn("_b", F.lit(0).cast("long"))
-        open_ = StateTable.build(ranges)
+        # checkpointed: a round must not carry the plans of the rounds before
+        open_ = StateTable.build(ranges, checkpoint=True)
         done = []
         while open_.rows:
             held.append(open_)
@@ -155,7 +156,7 @@ def grouped_quantiles(df: DataFrame, value_col: str, probs: list[float], by: lis
             before = F.sum("n").over(Window.partitionBy(*by, "_b0").orderBy("_k")) - F.col("n") + F.col("_b0")
             nxt = cnt.withColumn("_b", before).join(want.side(), by).where(
                 (F.col("_b") <= F.col("_r")) & (F.col("_r") < F.col("_b") + F.col("n")))
-            open_ = StateTable.build(nxt.select(*by, "n", "lo", "hi", "flo", "fhi", "_b").distinct())
+            open_ = StateTable.build(nxt.select(*by, "n", "lo", "hi", "flo", "fhi", "_b").distinct(), checkpoint=True)
         held.append(open_)
         small = stats.df.where(F.col("n") <= SMALL_GROUP).withColumn("_b", F.lit(0).cast("long"))
         leaf = small
