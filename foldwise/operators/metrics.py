@@ -233,18 +233,19 @@ class QWK(Metric):
 
     def frame(self, df, y, p, by=None):
         by = list(by or [])
-        base = df.select(*by, _c(y).cast("long").alias("__y"), F.bround(_c(p)).cast("long").alias("__q"))
-        labels = (base.select(*by, F.col("__y").alias("v")).unionByName(base.select(*by, F.col("__q").alias("v")))
-                      .distinct())
+        # one row a pair of label and prediction from here on
+        pairs = (df.groupBy(*by, _c(y).cast("long").alias("__y"), F.bround(_c(p)).cast("long").alias("__q"))
+                 .agg(F.count(F.lit(1)).cast("double").alias("__n")).where("__y is not null and __q is not null"))
+        labels = (pairs.select(*by, F.col("__y").alias("v")).unionByName(pairs.select(*by, F.col("__q").alias("v")))
+                       .distinct())
         labels = labels.withColumn("i", F.dense_rank().over(Window.partitionBy(*by).orderBy("v")) - 1)
         li = labels.select(*by, F.col("v").alias("__y"), F.col("i").alias("iy"))
         lj = labels.select(*by, F.col("v").alias("__q"), F.col("i").alias("iq"))
-        # label tables are tiny; AQE broadcasts them from their runtime size
-        x = base.join(li, [*by, "__y"]).join(lj, [*by, "__q"])
-        iy, iq = F.col("iy").cast("double"), F.col("iq").cast("double")
-        n = F.count(F.lit(1)).cast("double")
-        obs = F.sum((iy - iq) * (iy - iq))
-        exp = (F.sum(iy * iy) * n + n * F.sum(iq * iq) - 2 * F.sum(iy) * F.sum(iq)) / n
+        x = pairs.join(li, [*by, "__y"]).join(lj, [*by, "__q"])
+        iy, iq, k = F.col("iy").cast("double"), F.col("iq").cast("double"), F.col("__n")
+        n = F.sum(k)
+        obs = F.sum(k * (iy - iq) * (iy - iq))
+        exp = (F.sum(k * iy * iy) * n + n * F.sum(k * iq * iq) - 2 * F.sum(k * iy) * F.sum(k * iq)) / n
         return self._agg(x, by, F.when(exp != 0, 1 - obs / exp).otherwise(F.lit(0.0)))
 
 

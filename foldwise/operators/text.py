@@ -278,20 +278,15 @@ class _PoolFitted(Fitted):
 
     def transform(self, df):
         s, out = self.stage, df
-        from pyspark.ml.functions import array_to_vector, vector_to_array
-        from pyspark.ml.stat import Summarizer
-
-        pools = Summarizer.metrics(*s.aggs)
+        pool = {"mean": F.avg, "max": F.max}
         for c in s.cols:
             toks = spread(out.select(s.id_col, c)).select(F.col(s.id_col).alias("__id"),
                                                           F.explode(words(F.lower(F.col(c)))).alias("__w"))
-            hit = toks.join(self.vectors.side(), "__w").select("__id", array_to_vector(
-                F.col("__v").cast("array<double>")).alias("__x"))
-            # whole vectors are pooled, partly in each task: a text sends one row a task
-            g = hit.groupBy("__id").agg(pools.summary(F.col("__x")).alias("__a"))
-            g = g.select("__id", *[vector_to_array(F.col(f"__a.{a}")).alias(f"__{a}") for a in s.aggs])
+            hit = toks.join(self.vectors.side(), "__w")
             names = [f"{c}_{a}_dim_{d}" for a in s.aggs for d in range(self.dim)]
-            wide = g.select("__id", *[F.col(f"__{a}")[d].alias(f"{c}_{a}_dim_{d}") for a in s.aggs for d in range(self.dim)])
+            # all dimensions in one row: a text sends one row a task
+            wide = hit.groupBy("__id").agg(*[pool[a](F.col("__v")[d]).alias(f"{c}_{a}_dim_{d}")
+                                             for a in s.aggs for d in range(self.dim)]) if names else hit.select("__id").distinct()
             out = out.join(wide, out[s.id_col] == wide["__id"], "left").drop("__id")
             out = out.fillna(0.0, subset=names).drop(c)
         return out

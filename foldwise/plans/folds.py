@@ -71,7 +71,7 @@ class RollingTime(Split):
 
     def __init__(self, day_col: str, n_splits: int = 5, valid_duration: int = 7, gap_duration: int = 0):
         if n_splits <= 0 or valid_duration <= 0 or gap_duration < 0:
-            raise ValueError("n_splits and valid_duration must be > 0, gap_duration >= 0")
+            raise ValueError("a rolling split takes one fold or more, a validation span of one day or more and no negative gap")
         self.day_col, self.k, self.valid, self.gap = day_col, n_splits, valid_duration, gap_duration
         self.bounds_ = None
 

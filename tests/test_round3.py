@@ -14,6 +14,7 @@ from foldwise.operators.categorical import OrdinalEncoder, WoEEncoder
 from foldwise.operators.groups import RollingStats
 from foldwise.operators.learned import TreeLeafFeature
 from foldwise.operators.metrics import Rmse, RocAuc
+from foldwise.operators.neighbors import knn_join
 from foldwise.operators.numeric import BoxCoxTransformer, DecisionTreeBinner, OutlierIndicator, YeoJohnsonTransformer
 from foldwise.operators.text import CountVectorizer, TfidfVectorizer, WordVectorPool
 from foldwise.plans.flows import PseudoLabelling, search_params
@@ -305,3 +306,26 @@ def test_metric_direction(spark, classes):
                         {"regParam": ("cat", [0.01, 10.0])}, RocAuc(), n_trials=2, seed=1)
     done = [x["mean_score"] for x in res.trials.where("status = 'complete'").collect()]
     assert res.best_score == max(done)
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan", "chebyshev"])
+def test_knn_metrics_with_equal_rows(spark, metric):
+    r = random.Random(11)
+    rows = [(i, [float(r.randint(0, 3)), r.choice([0.0, -0.0, r.gauss(0, 1)]), 1e7]) for i in range(150)]
+    d = spark.createDataFrame(rows, "id long, v array<double>")
+    got: dict = {}
+    for x in knn_join(d, d, "id", "v", 4, exclude_self=True, block=16, n_pivots=5, metric=metric).collect():
+        got.setdefault(x["id"], {})[x["rank"]] = (x["neighbor_id"], x["dist"])
+    how = {"euclidean": lambda a, b: math.dist(a, b), "manhattan": lambda a, b: sum(abs(x - y) for x, y in zip(a, b)),
+           "chebyshev": lambda a, b: max(abs(x - y) for x, y in zip(a, b))}[metric]
+    for i, v in rows:
+        want = sorted((round(how(v, w), 9), j) for j, w in rows if j != i)[:4]
+        assert [got[i][k][0] for k in (1, 2, 3, 4)] == [j for _, j in want]
+        assert np.allclose([got[i][k][1] for k in (1, 2, 3, 4)], [x for x, _ in want])
+
+
+def test_knn_of_many_equal_rows(spark):
+    d = spark.range(20000).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("v"))
+    got = knn_join(d, d, "id", "v", 3, exclude_self=True)
+    assert got.groupBy("neighbor_id").count().collect().__len__() == 4
+    assert got.where("dist <> 0").isEmpty() and got.count() == 60000
