@@ -10,8 +10,9 @@ occurrences of the window in the shard, with their places. A document is
 whole inside one shard, so documents are never shuffled.
 
 The test set is read in blocks of at most `BLOCK_BYTES` of text, chosen by a
-hash of the item; only one block at a time is gathered and broadcast, and one
-pass over the corpus serves a block. Several blocks are merged by document.
+hash of the item. The blocks are gathered one after the other, each is broadcast
+until the result is computed, and one pass over the corpus serves a block; so the
+driver holds the test set. Several blocks are merged by document.
 
 Null or empty texts have no words. Items with a null id or without words are
 left out. Documents with equal or null ids are judged row by row."""
