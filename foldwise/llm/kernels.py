@@ -180,6 +180,21 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
         at = stop
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values, ascending. Sorting beats the hash table that
+    `np.unique` fills by far."""
+    x = np.sort(x)
+    keep = np.ones(len(x), bool)
+    keep[1:] = x[1:] != x[:-1]
+    return x[keep]
+
+
+def in_both(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The common values of two ascending arrays without repeats."""
+    both = np.sort(np.concatenate([x, y]), kind="stable")  # merges the two runs
+    return both[1:][both[1:] == both[:-1]]
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
 
