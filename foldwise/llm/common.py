@@ -100,6 +100,7 @@ def discard(df: DataFrame | None) -> None:
 
 
 CROWD = 32
+ROUNDS = 6
 
 
 def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], similar: int, tasks: int,
@@ -108,12 +109,15 @@ def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], simil
     """Verified links (a, b) between things that share a group, enough to give
     every component, without all pairs of a group.
 
-    rows: t (group), c (thing, long), n (its set's size). Sets that differ too
-    much in size are never compared. Each thing is first compared with one
-    other: of the smallest things of its groups, the one it meets most often;
-    the links found join most of a group. Then every pair with a common group
-    that is still in different components is compared, so no component is
-    missed. `verify` takes pairs (a, b) and returns the similar ones.
+    rows: t (group), c (thing, long), n (its set's size) and, without `finer`,
+    i (see there). Sets that differ too much in size are never compared. Stars
+    come first: every group has one centre, and each thing is compared with one
+    of the centres of its groups that are not in its component, the one it meets
+    most often. Components are taken anew and the next star has other centres,
+    until one links less than a third of what it compares or `ROUNDS` are done.
+    Then every pair with a common group that is still in different components is
+    compared, so no component is missed and the number of stars settles only the
+    cost. `verify` takes pairs (a, b) and returns the similar ones.
 
     A group with more than `CROWD` components left would make many pairs. With
     `finer`, its things (c) are grouped anew, by groups (t, c, n, i): t is the
@@ -126,29 +130,42 @@ def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], simil
     `common` shared tokens then have need - common others behind them in both
     sets, so tokens of the finer groups meet only at places before n - need +
     common and m - need + common."""
-    w = Window.partitionBy("t")
     near = (lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * similar)
-    shared = (rows.repartition(tasks, "t").withColumn("lo", F.min("c").over(w)).withColumn("hi", F.max("c").over(w))
-              .withColumn("m", F.min_by("n", "c").over(w))
-              .where("lo < hi").dropDuplicates(["t", "c"]).select("t", "c", "n", "lo", "m"))
-    shared = stored(shared, "shared")
-    star = (shared.where((F.col("c") != F.col("lo")) & near(F.col("n"), F.col("m")))
-            .groupBy("c", "lo").agg(F.count(F.lit(1)).alias("met"))
-            .groupBy("c").agg(F.max_by("lo", F.struct("met", "lo")).alias("a"))
-            .select("a", F.col("c").alias("b")))
-    star = stored(star, "star")
-    one = stored(verify(star), "links")
-    # every thing has one link at most, to a smaller one: follow them, doubling
-    # the step; what is still apart after eight is only compared once more
-    comp = one.groupBy("b").agg(F.min("a").alias("a"))
-    for _ in range(3):
-        up = comp.select(F.col("b").alias("b2"), F.col("a").alias("a2"))
-        comp = comp.join(up, comp.a == up.b2, "left").select("b", F.coalesce("a2", "a").alias("a"))
-    comp = stored(comp.select(F.col("b").alias("node"), F.col("a").alias("component")), "components")
-    open_groups = (lambda x: x.join(comp, x.c == comp.node, "left")
-                   .select(*x.columns, F.coalesce("component", "c").alias("k"))
-                   .withColumn("lo", F.min("k").over(w)).withColumn("hi", F.max("k").over(w)).where("lo < hi")
-                   .drop("lo", "hi"))
+
+    def open_rows(r, comp, centre=F.col("c")):
+        """Rows of the groups that hold several components, with the component k
+        and the group's centre: its first thing in the order of `centre`."""
+        r = (r.withColumn("k", F.col("c")) if comp is None else
+             r.join(comp, r.c == comp.node, "left").select(*r.columns, F.coalesce("component", "c").alias("k")))
+        group = (r.groupBy("t").agg(F.min("k").alias("lo"), F.max("k").alias("hi"),
+                                    F.min(F.struct(centre.alias("at"), "c", "n", "k")).alias("centre"))
+                 .where("lo < hi").select(F.col("t").alias("group"), "centre"))
+        return r.join(group, r.t == group.group).drop("group")
+
+    several = rows.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    shared = stored(rows.join(several, "t", "left_semi").dropDuplicates(["t", "c"]), "shared")
+    left, comp, links, tried = shared, None, [], []
+    for turn in range(ROUNDS):
+        now = stored(open_rows(left, comp, F.col("c") if not turn else F.xxhash64("c", F.lit(turn))), "open")
+        star = (now.where((F.col("k") != F.col("centre.k")) & near(F.col("n"), F.col("centre.n")))
+                .groupBy("c", F.col("centre.c").alias("o")).agg(F.count(F.lit(1)).alias("met"))
+                .groupBy("c").agg(F.max_by("o", F.struct("met", "o")).alias("o"))
+                .select(F.least("c", "o").alias("a"), F.greatest("c", "o").alias("b")).distinct())
+        for old in tried:
+            star = star.join(old, ["a", "b"], "left_anti")
+        star = stored(star, "star")
+        if left is not shared:
+            discard(left)
+        left = now.drop("k", "centre")
+        left._stored_at = now._stored_at
+        found = stored(verify(star), "links")
+        tried.append(star)
+        links.append(found)
+        n = found.count()
+        if n:
+            comp = stored(components(union_all(links)), "components")
+        if 3 * n <= star.count():
+            break
 
     def pairs(r, least_met, placed=False):
         other = r.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"),
@@ -163,17 +180,19 @@ def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], simil
         return met.where(F.col("met") >= (least_met(F.col("least")) if least_met else 1)).select("a", "b")
 
     if finer is None:
-        rest = pairs(stored(open_groups(shared.select("t", "c", "n")), "open"), common)
+        rest = pairs(stored(open_rows(left, comp).drop("centre"), "open"), common, True)
     else:
-        crowd = Window.partitionBy("t").orderBy("k")
-        first = (open_groups(shared.select("t", "c", "n")).withColumn("rank", F.dense_rank().over(crowd))
-                 .withColumn("many", F.max("rank").over(w) > CROWD))
+        per = Window.partitionBy("t")
+        first = (open_rows(left, comp).drop("centre").withColumn("rank", F.dense_rank().over(per.orderBy("k")))
+                 .withColumn("many", F.max("rank").over(per) > CROWD))
         first = stored(first.select("t", "c", "n", "k", "many"), "open")
         again = finer(first.where("many").select("c").distinct()).repartition(tasks, "t")
         rest = (pairs(first.where("not many"), None)
-                .union(pairs(stored(open_groups(again), "open"), common, True)).distinct())
+                .union(pairs(stored(open_rows(again, comp).drop("centre"), "open"), common, True)).distinct())
+    for old in tried:
+        rest = rest.join(old, ["a", "b"], "left_anti")
+    rest = stored(rest, "rest")
     discard(shared)
-    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = stored(rest.join(tried, ["a", "b"], "left_anti"), "rest")
-    two = stored(verify(rest), "links")
-    return one.union(two)
+    if left is not shared:
+        discard(left)
+    return union_all([*links, stored(verify(rest), "links")])

@@ -11,10 +11,10 @@ The other orders are random permutations; a candidate pair must share prefix tok
 under every one of them before the sets are compared exactly.
 
 Equal sets are one class. To emit no pairs inside large groups, each class is
-first compared with the smallest class of its token groups; the links found
-join most of a group. Then only pairs of classes that share a token and are
-still in different components are compared: all of those, so components are
-exact.
+first compared with one class of its token groups, star by star; the links found
+join most of a group. Then only pairs of classes that are still in different
+components are compared, all that share enough tokens at places where similar
+sets can share them, so components are exact.
 
 Null and empty texts have empty sets and are linked with nothing. Rows with a
 null id are returned without component. Rows that repeat an id are one
@@ -146,7 +146,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     meta = stored(heads.select("d", "n", "c"), "sizes")
     classes = stored(meta.where("n > 0 and d is not null").groupBy("c").agg(F.min("d").alias("low")), "classes")
     # classes by prefix token, in the first order
-    rows = heads.where("d is not null").select(F.explode("head").alias("t"), "c", F.col("n").cast("int").alias("n"))
+    rows = (heads.where("d is not null")
+            .select(F.posexplode("head").alias("i", "t"), "c", F.col("n").cast("int").alias("n")))
     links = group_links(rows, lambda pairs: _verified(pairs, src, classes, gram, similar), similar, tasks_for(docs),
                         common=lambda n: F.greatest(F.floor(n / COMMON), F.lit(1)))
     discard(heads)
