@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -99,8 +99,8 @@ def discard(df: DataFrame | None) -> None:
         p.getFileSystem(hadoop).delete(p, True)
 
 
-CROWD = 32
-ROUNDS = 6
+ROUNDS = 16
+FEW = 4
 
 
 def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], similar: int, tasks: int,
@@ -111,88 +111,95 @@ def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], simil
 
     rows: t (group), c (thing, long), n (its set's size) and, without `finer`,
     i (see there). Sets that differ too much in size are never compared. Stars
-    come first: every group has one centre, and each thing is compared with one
+    come first: every group has a centre, and each thing is compared with one
     of the centres of its groups that are not in its component, the one it meets
-    most often. Components are taken anew and the next star has other centres,
-    until one links less than a third of what it compares or `ROUNDS` are done.
-    Then every pair with a common group that is still in different components is
-    compared, so no component is missed and the number of stars settles only the
-    cost. `verify` takes pairs (a, b) and returns the similar ones.
-
-    A group with more than `CROWD` components left would make many pairs. With
-    `finer`, its things (c) are grouped anew, by groups (t, c, n, i): t is the
-    i-th token, from 0, of a set of n under one order of all tokens, and any two
-    similar things meet; else all groups are taken as they are. `common` gives,
-    for the smaller set's size, in how many of these groups (the finer ones, if
-    there are) two similar things meet at least.
+    most often. Components are taken anew and the next star has other centres.
+    Stars end when the groups hold at most `FEW` pairs of things in different
+    components for each of their rows, when two stars together have taken away
+    less than a tenth of these pairs, or after `ROUNDS`. Then every pair with a
+    common group that is still in different components is compared, so no
+    component is missed and the number of stars settles only the cost. `verify`
+    takes pairs (a, b) and returns the similar ones as a stored frame.
+
+    With `finer`, the things (c) that are still apart are grouped anew before
+    that, by groups (t, c, n, i): t is the i-th token, from 0, of a set of n
+    under one order of all tokens, and any two similar things meet. `common`
+    gives, for the smaller set's size, in how many of these groups two similar
+    things meet at least.
 
     Two similar sets of n and m tokens share `need` of them or more. Their first
     `common` shared tokens then have need - common others behind them in both
-    sets, so tokens of the finer groups meet only at places before n - need +
-    common and m - need + common."""
+    sets, so tokens meet only at places before n - need + common and
+    m - need + common."""
     near = (lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * similar)
 
-    def open_rows(r, comp, centre=F.col("c")):
+    def open_rows(r, comp):
         """Rows of the groups that hold several components, with the component k
-        and the group's centre: its first thing in the order of `centre`."""
+        and the number of the group's rows."""
         r = (r.withColumn("k", F.col("c")) if comp is None else
              r.join(comp, r.c == comp.node, "left").select(*r.columns, F.coalesce("component", "c").alias("k")))
-        group = (r.groupBy("t").agg(F.min("k").alias("lo"), F.max("k").alias("hi"),
-                                    F.min(F.struct(centre.alias("at"), "c", "n", "k")).alias("centre"))
-                 .where("lo < hi").select(F.col("t").alias("group"), "centre"))
+        group = (r.groupBy("t").agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count(F.lit(1)).alias("size"))
+                 .where("lo < hi").select(F.col("t").alias("group"), "size"))
         return r.join(group, r.t == group.group).drop("group")
 
-    several = rows.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-    shared = stored(rows.join(several, "t", "left_semi").dropDuplicates(["t", "c"]), "shared")
-    left, comp, links, tried = shared, None, [], []
-    for turn in range(ROUNDS):
-        now = stored(open_rows(left, comp, F.col("c") if not turn else F.xxhash64("c", F.lit(turn))), "open")
-        star = (now.where((F.col("k") != F.col("centre.k")) & near(F.col("n"), F.col("centre.n")))
+    def star_of(r, turn):
+        """A pair (a, b) for each thing: itself and a centre. A group's centre is
+        one of its things that meet most others, by their meetings times a
+        number of 0.75 to 1 that changes with the turn: things at the edge of a
+        group are similar to few."""
+        luck = 0.75 + F.pmod(F.xxhash64("c", F.lit(turn)), F.lit(1 << 20)) / (1 << 22)
+        met = r.groupBy("c").agg((F.sum("size") * luck).alias("w")).withColumnRenamed("c", "thing")
+        centre = (r.join(met, r.c == met.thing).groupBy("t").agg(F.max(F.struct("w", "c", "n", "k")).alias("centre"))
+                  .withColumnRenamed("t", "group"))
+        return (r.join(centre, r.t == centre.group)
+                .where((F.col("k") != F.col("centre.k")) & near(F.col("n"), F.col("centre.n")))
                 .groupBy("c", F.col("centre.c").alias("o")).agg(F.count(F.lit(1)).alias("met"))
                 .groupBy("c").agg(F.max_by("o", F.struct("met", "o")).alias("o"))
                 .select(F.least("c", "o").alias("a"), F.greatest("c", "o").alias("b")).distinct())
+
+    def apart(r):
+        """(pairs of rows of one group in different components, rows)"""
+        per = (r.groupBy("t", "k").agg(F.count(F.lit(1)).cast("double").alias("m"))
+               .groupBy("t").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own")))
+        return tuple(x or 0.0 for x in per.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2), F.sum("m")).first())
+
+    several = rows.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    left = stored(rows.join(several, "t", "left_semi").dropDuplicates(["t", "c"]), "shared")
+    comp, links, tried, loads = None, [], [], []
+    for turn in range(ROUNDS + 1):
+        now = stored(open_rows(left, comp), "open")
+        discard(left)
+        left = now.drop("k", "size")
+        left._stored_at = now._stored_at
+        load, n = apart(now)
+        loads.append(load)
+        if load <= FEW * n or turn == ROUNDS or (turn > 1 and 10 * load > 9 * loads[-3]):
+            break
+        star = star_of(now, turn)
         for old in tried:
             star = star.join(old, ["a", "b"], "left_anti")
         star = stored(star, "star")
-        if left is not shared:
-            discard(left)
-        left = now.drop("k", "centre")
-        left._stored_at = now._stored_at
-        found = stored(verify(star), "links")
+        found = verify(star)
         tried.append(star)
         links.append(found)
-        n = found.count()
-        if n:
-            comp = stored(components(union_all(links)), "components")
-        if 3 * n <= star.count():
-            break
-
-    def pairs(r, least_met, placed=False):
-        other = r.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"),
-                         *([F.col("i").alias("j")] if placed else []))
-        may = (F.col("c") < F.col("b")) & (F.col("k") != F.col("k2")) & near(F.col("n"), F.col("m"))
-        if placed:
-            room = least_met(F.least("n", "m")) - F.ceil((F.col("n") + F.col("m")) * similar / (100 + similar))
-            may &= (F.col("i") < F.col("n") + room) & (F.col("j") < F.col("m") + room)
-        met = (r.join(other, "t").where(may)
-               .groupBy(F.col("c").alias("a"), "b").agg(F.count(F.lit(1)).alias("met"),
-                                                        F.first(F.least("n", "m")).alias("least")))
-        return met.where(F.col("met") >= (least_met(F.col("least")) if least_met else 1)).select("a", "b")
-
-    if finer is None:
-        rest = pairs(stored(open_rows(left, comp).drop("centre"), "open"), common, True)
-    else:
-        per = Window.partitionBy("t")
-        first = (open_rows(left, comp).drop("centre").withColumn("rank", F.dense_rank().over(per.orderBy("k")))
-                 .withColumn("many", F.max("rank").over(per) > CROWD))
-        first = stored(first.select("t", "c", "n", "k", "many"), "open")
-        again = finer(first.where("many").select("c").distinct()).repartition(tasks, "t")
-        rest = (pairs(first.where("not many"), None)
-                .union(pairs(stored(open_rows(again, comp).drop("centre"), "open"), common, True)).distinct())
+        if not found.isEmpty():
+            old, comp = comp, stored(components(union_all(links)), "components")
+            discard(old)
+
+    if finer is not None:
+        now = stored(open_rows(finer(now.select("c").distinct()).repartition(tasks, "t"), comp), "open")
+    other = now.select("t", F.col("c").alias("b"), F.col("n").alias("m"), F.col("k").alias("k2"), F.col("i").alias("j"))
+    least = common or (lambda n: F.lit(1))
+    room = least(F.least("n", "m")) - F.ceil((F.col("n") + F.col("m")) * similar / (100 + similar))
+    may = ((F.col("c") < F.col("b")) & (F.col("k") != F.col("k2")) & near(F.col("n"), F.col("m"))
+           & (F.col("i") < F.col("n") + room) & (F.col("j") < F.col("m") + room))
+    rest = (now.join(other, "t").where(may)
+            .groupBy(F.col("c").alias("a"), "b").agg(F.count(F.lit(1)).alias("met"),
+                                                     F.first(F.least("n", "m")).alias("least"))
+            .where(F.col("met") >= least(F.col("least"))).select("a", "b"))
     for old in tried:
         rest = rest.join(old, ["a", "b"], "left_anti")
     rest = stored(rest, "rest")
-    discard(shared)
-    if left is not shared:
-        discard(left)
-    return union_all([*links, stored(verify(rest), "links")])
+    discard(left)
+    discard(now)
+    return union_all([*links, verify(rest)])

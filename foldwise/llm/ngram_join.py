@@ -165,29 +165,46 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text
 
 
 def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame, gram: int, similar: int) -> DataFrame:
-    """Pairs (a, b) of classes that pass the other orders' filters and the exact
-    test, on the texts of each class's smallest document."""
+    """Pairs (a, b) of classes that share prefix tokens under every other order
+    and then pass the exact test, on the texts of each class's smallest
+    document. A prefix is kept as 32 bits a token: equal tokens stay equal, so
+    the filter only ever lets more pairs through. Texts are joined to the pairs
+    that it leaves."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(classes, "c")
     one = src.join(wanted, src.d == wanted.low).select("c", "text")
+    heads = [f"head{k}" for k in range(len(SALTS))]
 
-    def same_class(batches):
-        """Rows that repeat an id may hold another text, of another class."""
+    def own(batches):
+        """The class's own text (rows that repeat an id may hold another one, of
+        another class) with its prefixes under the other orders."""
         for batch in batches:
             for part in slices(batch, "text"):
                 tokens, bounds = shingles(part.column("text"), gram)
-                yield part.filter(pa.array(class_of(tokens, bounds) == part.column("c").to_numpy()))
-
-    texts = stored(one.mapInArrow(same_class, "c long, text string"), "texts")
-    x = texts.select(F.col("c").alias("a"), F.col("text").alias("x"))
-    y = texts.select(F.col("c").alias("b"), F.col("text").alias("y"))
-    both = pairs.join(x, "a").join(y, "b")
+                first = [prefixes(tokens, bounds, mix(tokens ^ np.uint64(s)), similar) for s in SALTS]
+                out = pa.RecordBatch.from_arrays(
+                    [part.column("c"), part.column("text"),
+                     *(pa.ListArray.from_arrays(pa.array(b.astype(np.int32)), pa.array(v.astype(np.uint32).view(np.int32)))
+                       for v, b in first)], names=["c", "text", *heads])
+                yield out.filter(pa.array(class_of(tokens, bounds) == part.column("c").to_numpy()))
+
+    kind = "c long, text string, " + ", ".join(f"{h} array<int>" for h in heads)
+    texts = stored(one.mapInArrow(own, kind), "texts")
+    left = texts.select(F.col("c").alias("a"), *heads)
+    right = texts.select(F.col("c").alias("b"), *(F.col(h).alias(f"{h}_b") for h in heads))
+    both = pairs.join(left, "a").join(right, "b")
+    for h in heads:
+        both = both.where(F.arrays_overlap(h, f"{h}_b"))
+    both = (both.select("a", "b").distinct().join(texts.select(F.col("c").alias("a"), F.col("text").alias("x")), "a")
+            .join(texts.select(F.col("c").alias("b"), F.col("text").alias("y")), "b"))
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "x", 1 << 20):
                 yield _compare(part, gram, similar)
 
-    return both.mapInArrow(run, "a long, b long").distinct()
+    out = stored(both.mapInArrow(run, "a long, b long").distinct(), "links")
+    discard(texts)
+    return out
 
 
 def class_of(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -210,12 +227,8 @@ def _compare(part: pa.RecordBatch, gram: int, similar: int) -> pa.RecordBatch:
     n = part.num_rows
     x, bx = shingles(part.column("x"), gram)
     y, by = shingles(part.column("y"), gram)
-    keep = np.ones(n, bool)
-    for s in SALTS:
-        heads = [prefixes(v, b, mix(v ^ np.uint64(s)), similar) for v, b in ((x, bx), (y, by))]
-        keep &= _common(*heads[0], *heads[1], n) > 0
     both = _common(x, bx, y, by, n)
-    keep &= 100 * both >= similar * (np.diff(bx) + np.diff(by) - both)
+    keep = 100 * both >= similar * (np.diff(bx) + np.diff(by) - both)
     return part.select(["a", "b"]).filter(pa.array(keep))
 
 
