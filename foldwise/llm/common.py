@@ -90,6 +90,29 @@ def components(links: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     return low.union(e.select(F.col("u").alias("node"), F.col("u").alias("component")).distinct())
 
 
+def merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(node, component) after more links: nodes with one component are
+    connected, but connected nodes may keep different ones. Two steps to the
+    smallest neighbour's smallest neighbour, which join a centre with all that
+    link to it; `components` is the whole way."""
+    links = links.select("a", "b")
+    for col in ("a", "b") if comp is not None else ():
+        to = comp.select(F.col("node").alias("_node"), F.col("component").alias("_to"))
+        links = (links.join(to, F.col(col) == F.col("_node"), "left")
+                 .withColumn(col, F.coalesce("_to", col)).drop("_node", "_to"))
+    links = links.where("a <> b")
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")).withColumnRenamed("a", "x")
+    low = (both.join(low, F.col("b") == F.col("x")).groupBy(F.col("a").alias("k"))
+           .agg(F.least(F.col("a"), F.min("m")).alias("to")))
+    if comp is None:
+        return low.select(F.col("k").alias("node"), F.col("to").alias("component"))
+    own = low.select(F.col("k").alias("node"), F.col("k").alias("component")).join(comp, "node", "left_anti")
+    every = comp.select("node", "component").union(own)
+    return (every.join(low, every.component == low.k, "left")
+            .select("node", F.coalesce("to", "component").alias("component")))
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete the files of a frame made by `stored`, once nothing reads it."""
     path = getattr(df, "_stored_at", None)
@@ -113,7 +136,7 @@ def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], simil
     i (see there). Sets that differ too much in size are never compared. Stars
     come first: every group has a centre, and each thing is compared with one
     of the centres of its groups that are not in its component, the one it meets
-    most often. Components are taken anew and the next star has other centres.
+    most often. Components are merged and the next star has other centres.
     Stars end when the groups hold at most `FEW` pairs of things in different
     components for each of their rows, when two stars together have taken away
     less than a tenth of these pairs, or after `ROUNDS`. Then every pair with a
@@ -183,7 +206,7 @@ def group_links(rows: DataFrame, verify: Callable[[DataFrame], DataFrame], simil
         tried.append(star)
         links.append(found)
         if not found.isEmpty():
-            old, comp = comp, stored(components(union_all(links)), "components")
+            old, comp = comp, stored(merged(comp, found), "components")
             discard(old)
 
     if finer is not None:

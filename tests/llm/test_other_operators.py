@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldwise.llm import cover_tree, langid, mixing, preference, toxicity
-from foldwise.llm.common import components
+from foldwise.llm.common import components, merged
 
 from .helpers import ordered, union_find, words
 
@@ -37,6 +37,18 @@ def brute_targets(size: dict) -> dict:
         full |= over
 
 
+def test_merged_stars(spark):
+    """A star is one component after one call, a later star joins it by any of
+    its nodes, and nothing unconnected shares a component."""
+    frame = (lambda e: spark.createDataFrame(e, "a long, b long"))
+    first = merged(None, frame([(k, 50) if k < 50 else (50, k) for k in range(40, 60) if k != 50] + [(100, 101)]))
+    got = {r["node"]: r["component"] for r in first.collect()}
+    assert got == {**dict.fromkeys(range(40, 60), 40), 100: 100, 101: 100}
+    after = merged(first, frame([(3, 55), (55, 70), (40, 59), (200, 201)]))
+    got = {r["node"]: r["component"] for r in after.collect()}
+    assert got == {**dict.fromkeys([3, *range(40, 60), 70], 3), 100: 100, 101: 100, 200: 200, 201: 200}
+
+
 def test_mixing(spark):
     r = random.Random(2)
     rows = [(i, " ".join("w" * (1 + j % 3) for j in range(r.randint(0, 30))), r.choice(["b", "a", "é", "B", None, "rare"][: 5]))
