@@ -7,6 +7,7 @@ import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job in the library relies on. Cluster deployments pass their
 # own values through spark-submit; `builder` only fills what is missing.
@@ -85,18 +86,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# bytes of input files that one task of CPU-heavy work should have at most
+SPREAD_BYTES = 16 * 1024 * 1024
+# Spark's size statistic of a plan it knows nothing of is far above this
+UNKNOWN_BYTES = 1 << 60
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition of a scan with fewer partitions than the
-    cluster's default parallelism (small inputs, single-row-group files) when
-    CPU-heavy per-row work follows. On large inputs this is a no-op. A plan that
-    already shuffles is left alone: asking for its partitions would run it."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-        if re.search(r"\b(Aggregate|Join|Window|Sort|Repartition\w*|Distinct|Deduplicate|Rebalance\w*|InMemoryRelation)\b",
-                     plan):
-            return df
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - streaming frames have no RDD
+    """Deal the rows of a scan evenly when CPU-heavy per-row work follows, over
+    the cluster's default parallelism or more tasks on larger files, so that a
+    task's share is bounded. The number of splits tells little: a row group is
+    read by one task whatever its size, and the splits without one are empty.
+    Rows are dealt by seeded random numbers, as a round robin would sort them
+    first. A plan that already shuffles is left alone."""
+    if df.isStreaming:
         return df
-    return df.repartition(target) if n < target else df
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if re.search(r"\b(Aggregate|Join|Window|Sort|Repartition\w*|Distinct|Deduplicate|Rebalance\w*|InMemoryRelation)\b",
+                 plan.toString()):
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism
+    leaves = plan.collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    if size >= UNKNOWN_BYTES:  # rows of an RDD, such as a checkpoint
+        return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    return df.repartition(max(target, -(-size // SPREAD_BYTES)), F.rand(42))
