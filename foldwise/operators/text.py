@@ -51,11 +51,9 @@ NON_SPACE_RUN = "[^" + WHITESPACE_CLASS[1:-1] + "]+"
 
 def words(t):
     """Whitespace tokens of a text, like Python's str.split(): the text is
-    trimmed of outer whitespace and split on whitespace runs (no per-element
-    lambda, so the whole expression stays in generated code)."""
-    trimmed = F.regexp_replace(t, "^" + WHITESPACE_CLASS + "+|" + WHITESPACE_CLASS + "+$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, WHITESPACE_CLASS + "+"))
+    split on whitespace runs and the empty pieces outside the outer runs are
+    dropped (one regex pass, no per-element lambda)."""
+    return F.array_remove(F.split(t, WHITESPACE_CLASS + "+"), "")
 
 
 class TextStatistics(StatelessStage):
@@ -78,8 +76,7 @@ class TextStatistics(StatelessStage):
             n_words = F.size(w)
             e = {"text_length": F.length(t), "word_count": n_words,
                  "unique_word_count": F.size(F.array_distinct(w)),
-                 "avg_word_length": F.length(F.regexp_replace(t, WHITESPACE_CLASS + "+", ""))
-                 / (n_words + F.lit(1e-6)),
+                 "avg_word_length": F.length(F.array_join(w, "")) / (n_words + F.lit(1e-6)),
                  "sentence_count": F.regexp_count(t, F.lit("[.!?]")) + 1,
                  "punctuation_count": F.regexp_count(t, F.lit(PUNCT_CLASS)),
                  "uppercase_count": F.regexp_count(t, F.lit("[A-Z]"))}
@@ -89,15 +86,8 @@ class TextStatistics(StatelessStage):
         return df.select(*keep, *[v.alias(k) for k, v in out.items()])
 
 
-def _gram(toks, n: int):
-    """The n tokens from a position, as a function of one argument: Spark would
-    pass the element's index to a second one."""
-    return lambda i: F.array_join(F.slice(toks, i, n), " ")
-
-
-def tokens(t, ngram_range=(1, 1), stop_words=None):
-    """Lower-cased tokens, stop words removed, then word n-grams joined by a
-    space."""
+def tokens(t, stop_words=None):
+    """Lower-cased tokens, stop words removed."""
     toks = F.regexp_extract_all(F.lower(F.coalesce(t, F.lit(""))), F.lit(TOKEN_RE), 0)
     if stop_words == "english":
         from pyspark.ml.feature import StopWordsRemover
@@ -108,15 +98,42 @@ def tokens(t, ngram_range=(1, 1), stop_words=None):
     if stop_words:
         sw = F.array(*[F.lit(s) for s in stop_words])
         toks = F.filter(toks, lambda w: ~F.array_contains(sw, w))
-    lo, hi = ngram_range
-    grams = []
-    for n in range(lo, hi + 1):
+    return toks
+
+
+def grams(toks: str, ngram_range=(1, 1)):
+    """Word n-grams, joined by a space, of a column of tokens: n shifted copies
+    of the array side by side, so a text costs its length. (A lambda over
+    positions would cut the tokens out of the text again for each.)"""
+    t, out = F.col(toks), []
+    for n in range(ngram_range[0], ngram_range[1] + 1):
         if n == 1:
-            grams.append(toks)
-        else:
-            grams.append(F.transform(F.sequence(F.lit(1), F.greatest(F.size(toks) - n + 1, F.lit(0))), _gram(toks, n)))
-            grams[-1] = F.when(F.size(toks) >= n, grams[-1]).otherwise(F.array().cast("array<string>"))
-    return grams[0] if len(grams) == 1 else F.flatten(F.array(*grams))
+            out.append(t)
+            continue
+        size = F.greatest(F.size(t) - (n - 1), F.lit(0))
+        shifted = F.arrays_zip(*[F.slice(t, j + 1, size).alias(f"w{j}") for j in range(n)])
+        out.append(F.transform(shifted, _join(n)))
+    return out[0] if len(out) == 1 else F.flatten(F.array(*out))
+
+
+def _join(n: int):
+    return lambda x: F.concat_ws(" ", *[x[f"w{j}"] for j in range(n)])
+
+
+def term_counts(df: DataFrame, col: str, ngram_range, stop_words, *keep) -> DataFrame:
+    """(kept columns, term, tf): the terms of every row, counted within the row
+    and without a shuffle: the sorted terms' runs are told by a shifted copy."""
+    rows = df.select(*keep, tokens(F.col(col), stop_words).alias("__t"))
+    names = [c for c in rows.columns if c != "__t"]
+    rows = rows.select(*names, F.sort_array(grams("__t", ngram_range)).alias("__t")).where(F.size("__t") > 0)
+    n = F.size("__t")
+    zipped = F.arrays_zip(F.col("__t").alias("t"), F.concat(F.array(F.lit(None).cast("string")), F.slice("__t", 1, n - 1)).alias("p"),
+                          F.sequence(F.lit(0), n - 1).alias("i"))
+    rows = rows.select(*names, n.alias("__n"), F.filter(zipped, lambda x: ~x["t"].eqNullSafe(x["p"])).alias("__s"))
+    ends = F.concat(F.slice(F.col("__s")["i"], 2, F.size("__s")), F.array("__n"))
+    rows = rows.select(*names, F.explode(F.arrays_zip(F.col("__s")["t"].alias("t"), F.col("__s")["i"].alias("i"),
+                                                      ends.alias("e"))).alias("__x"))
+    return rows.select(*names, F.col("__x.t").alias("term"), (F.col("__x.e") - F.col("__x.i")).cast("long").alias("tf"))
 
 
 class CountVectorizer(Stage):
@@ -137,10 +154,16 @@ class CountVectorizer(Stage):
         self.max_features, self.stop_words = max_features, stop_words
 
     def _term_counts(self, df: DataFrame) -> DataFrame:
+        """(__id, term, tf), one row an id and term. Only the terms of ids that
+        several rows share are shuffled to add them up."""
         src = spread(df.select(self.id_col, self.col))
-        toks = src.select(F.col(self.id_col).alias("__id"),
-                          F.explode(tokens(F.col(self.col), self.ngram_range, self.stop_words)).alias("term"))
-        return toks.groupBy("__id", "term").agg(F.count(F.lit(1)).alias("tf"))
+        tc = term_counts(src, self.col, self.ngram_range, self.stop_words, F.col(self.id_col).alias("__id"))
+        again = df.groupBy(F.col(self.id_col).alias("__a")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__a")
+        if again.isEmpty():
+            return tc
+        same = F.col("__id").eqNullSafe(F.col("__a"))
+        several = tc.join(again, same, "left_semi").groupBy("__id", "term").agg(F.sum("tf").alias("tf"))
+        return tc.join(again, same, "left_anti").unionByName(several)
 
     def _vocab(self, df: DataFrame):
         require_columns(df, [self.col, self.id_col], self.name)
@@ -183,8 +206,8 @@ class _BowFitted(Fitted):
         idf-weighted counts scaled to unit L2 norm.
 
         The vocabulary stays distributed, whatever its size: the terms of each
-        different text are counted, joined to the numbered vocabulary and put
-        together as one vector a text; rows get the vector of their text. A text
+        text are counted within its row, joined to the numbered vocabulary and put
+        together as one vector a different text; rows get the vector of their text. A text
         is named by two 64-bit hashes."""
         import numpy as np
         import pyarrow as pa
@@ -194,13 +217,12 @@ class _BowFitted(Fitted):
         s, index = self.stage, self._index()
         size, tfidf = index.rows, isinstance(s, TfidfVectorizer)
         name = (lambda t: F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b")))
-        texts = spread(df.select(F.col(s.col).alias("t"))).where("t is not null").withColumn("k", name(F.col("t")))
-        texts = texts.dropDuplicates(["k"])
-        tc = (texts.select("k", F.explode(tokens(F.col("t"), s.ngram_range, s.stop_words)).alias("term"))
-              .groupBy("k", "term").agg(F.count(F.lit(1)).alias("tf")))
+        texts = spread(df.select(F.col(s.col).alias("t"))).where("t is not null")
+        tc = term_counts(texts, "t", s.ngram_range, s.stop_words, name(F.col("t")).alias("k"))
         weight = F.col("tf") * F.col("idf") if tfidf else F.col("tf").cast("double")
+        # equal texts have equal pairs, which the set keeps once
         per = (tc.join(index.side(), "term").groupBy("k")
-               .agg(F.sort_array(F.collect_list(F.struct("idx", weight.alias("w")))).alias("x"))
+               .agg(F.sort_array(F.collect_set(F.struct("idx", weight.alias("w")))).alias("x"))
                .select("k", F.col("x.idx").alias("i"), F.col("x.w").alias("w")))
 
         def build(batches):
