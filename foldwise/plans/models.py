@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.learned import assemble, without_summary
 from ..operators.state import StateTable
+from ..session import spread
 
 KINDS = ("gbt", "forest", "logit", "ridge", "linear_svm")
 
@@ -53,7 +54,8 @@ class Learner:
 
     def fit(self, df: DataFrame, features, label: str, valid: DataFrame | None = None) -> "FittedModel":
         params = dict(self.params)
-        src = df.withColumn("__valid", F.lit(False))
+        # learners keep a task's rows in one block: a large scan is cut into small ones
+        src = spread(df, always=False).withColumn("__valid", F.lit(False))
         if valid is not None and self.early_stopping and self.kind == "gbt":
             src = src.unionByName(valid.withColumn("__valid", F.lit(True)))
             params["validationIndicatorCol"] = "__valid"

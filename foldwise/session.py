@@ -92,13 +92,14 @@ SPREAD_BYTES = 16 * 1024 * 1024
 UNKNOWN_BYTES = 1 << 60
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, always: bool = True) -> DataFrame:
     """Deal the rows of a scan evenly when CPU-heavy per-row work follows, over
     the cluster's default parallelism or more tasks on larger files, so that a
     task's share is bounded. The number of splits tells little: a row group is
     read by one task whatever its size, and the splits without one are empty.
-    Rows are dealt by seeded random numbers, as a round robin would sort them
-    first. A plan that already shuffles is left alone."""
+    Many splits are dealt by seeded random numbers, as a round robin would sort
+    their rows first. `always=False` leaves files alone that give each core
+    `SPREAD_BYTES` at most. A plan that already shuffles is left alone."""
     if df.isStreaming:
         return df
     plan = df._jdf.queryExecution().optimizedPlan()
@@ -108,6 +109,9 @@ def spread(df: DataFrame) -> DataFrame:
     target = df.sparkSession.sparkContext.defaultParallelism
     leaves = plan.collectLeaves()
     size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    if size >= UNKNOWN_BYTES:  # rows of an RDD, such as a checkpoint
-        return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-    return df.repartition(max(target, -(-size // SPREAD_BYTES)), F.rand(42))
+    known = size < UNKNOWN_BYTES  # not the rows of an RDD, such as a checkpoint
+    if not always and not (known and size > target * SPREAD_BYTES):
+        return df
+    if df.rdd.getNumPartitions() < target and always:
+        return df.repartition(target)
+    return df.repartition(max(target, -(-size // SPREAD_BYTES)), F.rand(42)) if known else df
