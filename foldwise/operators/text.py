@@ -46,6 +46,9 @@ STATS = ("text_length", "word_count", "unique_word_count", "avg_word_length", "s
          "punctuation_count", "uppercase_count")
 
 
+# texts that one task works off at most, when a scan is dealt anew
+TEXT_ROWS = 10_000
+
 NON_SPACE_RUN = "[^" + WHITESPACE_CLASS[1:-1] + "]+"
 
 
@@ -68,7 +71,7 @@ class TextStatistics(StatelessStage):
 
     def apply(self, df):
         require_columns(df, self.cols, self.name)
-        df = spread(df)
+        df = spread(df, rows=TEXT_ROWS)
         out = {}
         for c in self.cols:
             t = F.coalesce(F.col(c), F.lit(""))
@@ -156,7 +159,7 @@ class CountVectorizer(Stage):
     def _term_counts(self, df: DataFrame) -> DataFrame:
         """(__id, term, tf), one row an id and term. Only the terms of ids that
         several rows share are shuffled to add them up."""
-        src = spread(df.select(self.id_col, self.col))
+        src = spread(df.select(self.id_col, self.col), rows=TEXT_ROWS)
         tc = term_counts(src, self.col, self.ngram_range, self.stop_words, F.col(self.id_col).alias("__id"))
         again = df.groupBy(F.col(self.id_col).alias("__a")).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").select("__a")
         if again.isEmpty():
@@ -217,7 +220,7 @@ class _BowFitted(Fitted):
         s, index = self.stage, self._index()
         size, tfidf = index.rows, isinstance(s, TfidfVectorizer)
         name = (lambda t: F.struct(F.xxhash64(t).alias("a"), F.xxhash64(F.lit(1), t).alias("b")))
-        texts = spread(df.select(F.col(s.col).alias("t"))).where("t is not null")
+        texts = spread(df.select(F.col(s.col).alias("t")), rows=TEXT_ROWS).where("t is not null")
         tc = term_counts(texts, "t", s.ngram_range, s.stop_words, name(F.col("t")).alias("k"))
         weight = F.col("tf") * F.col("idf") if tfidf else F.col("tf").cast("double")
         # equal texts have equal pairs, which the set keeps once
@@ -302,7 +305,7 @@ class _PoolFitted(Fitted):
         s, out = self.stage, df
         pool = {"mean": F.avg, "max": F.max}
         for c in s.cols:
-            toks = spread(out.select(s.id_col, c)).select(F.col(s.id_col).alias("__id"),
+            toks = spread(out.select(s.id_col, c), rows=TEXT_ROWS).select(F.col(s.id_col).alias("__id"),
                                                           F.explode(words(F.lower(F.col(c)))).alias("__w"))
             hit = toks.join(self.vectors.side(), "__w")
             names = [f"{c}_{a}_dim_{d}" for a in s.aggs for d in range(self.dim)]

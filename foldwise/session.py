@@ -92,14 +92,16 @@ SPREAD_BYTES = 16 * 1024 * 1024
 UNKNOWN_BYTES = 1 << 60
 
 
-def spread(df: DataFrame, always: bool = True) -> DataFrame:
+def spread(df: DataFrame, always: bool = True, rows: int | None = None) -> DataFrame:
     """Deal the rows of a scan evenly when CPU-heavy per-row work follows, over
     the cluster's default parallelism or more tasks on larger files, so that a
     task's share is bounded. The number of splits tells little: a row group is
     read by one task whatever its size, and the splits without one are empty.
     Many splits are dealt by seeded random numbers, as a round robin would sort
     their rows first. `always=False` leaves files alone that give each core
-    `SPREAD_BYTES` at most. A plan that already shuffles is left alone."""
+    `SPREAD_BYTES` at most. `rows` bounds a task's rows as well, where texts may
+    be many times larger than their compressed files; they are counted from the
+    file footers. A plan that already shuffles is left alone."""
     if df.isStreaming:
         return df
     plan = df._jdf.queryExecution().optimizedPlan()
@@ -112,6 +114,7 @@ def spread(df: DataFrame, always: bool = True) -> DataFrame:
     known = size < UNKNOWN_BYTES  # not the rows of an RDD, such as a checkpoint
     if not always and not (known and size > target * SPREAD_BYTES):
         return df
-    if df.rdd.getNumPartitions() < target and always:
+    tasks = max(target, -(-df.count() // rows)) if rows and known else target
+    if df.rdd.getNumPartitions() < target and always and tasks == target:
         return df.repartition(target)
-    return df.repartition(max(target, -(-size // SPREAD_BYTES)), F.rand(42)) if known else df
+    return df.repartition(max(tasks, -(-size // SPREAD_BYTES)), F.rand(42)) if known else df
