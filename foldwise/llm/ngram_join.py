@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, discard, group_links, stored, tasks_for
+from .common import components, count_sketch, discard, group_links, stored, tasks_for
 from .kernels import SPACE, Texts, gram_hash, mix, ragged, run_hash, signed, slices
 
 GRAM = 5
@@ -80,43 +80,14 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(signed(values)))
 
 
-def frequency_sketch(docs: DataFrame, gram: int, bits: int = SKETCH_BITS, piece: int = 16) -> np.ndarray:
-    """Documents by hash slot of their shingles; 2**bits counts at any scale.
-    Tasks send their counts in compressed pieces, which are added up piece by
-    piece."""
+def frequency_sketch(docs: DataFrame, gram: int, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Documents by hash slot of their shingles."""
 
-    def count(batches):
-        total = np.zeros(1 << bits, np.uint32)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                tokens, _ = shingles(part.column("text"), gram)
-                slot, n = np.unique((tokens >> np.uint64(64 - bits)).astype(np.int32), return_counts=True)
-                total[slot] += n.astype(np.uint32)
-        pieces = total.reshape(-1, 1 << piece)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(len(pieces), dtype=np.int32)),
-             pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in pieces], pa.binary())], names=["piece", "n"])
-
-    def add(batches):
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for k, x in zip(batch.column("piece").to_pylist(), batch.column("n")):
-                raw = pa.decompress(x.as_buffer(), decompressed_size=4 << piece, codec="zstd")
-                if k not in total:
-                    total[k] = np.zeros(1 << piece, np.uint64)
-                total[k] += np.frombuffer(raw, np.uint32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(total), pa.int32()),
-             pa.array([np.minimum(x, 65535).astype(np.uint16).tobytes() for x in total.values()], pa.binary())],
-            names=["piece", "n"])
-
-    n = 1 << (bits - piece)
-    got = (docs.select("text").mapInArrow(count, "piece int, n binary").repartition(n, "piece")
-           .mapInArrow(add, "piece int, n binary").toArrow())
-    out = np.zeros((n, 1 << piece), np.uint16)
-    for k, x in zip(got.column("piece").to_pylist(), got.column("n").to_pylist()):
-        out[k] = np.frombuffer(x, np.uint16)
-    return out.ravel()
+    def slots(batch):
+        for part in slices(batch, "text"):
+            yield (shingles(part.column("text"), gram)[0] >> np.uint64(64 - bits)).astype(np.int64)
+
+    return count_sketch(docs.select("text"), slots, bits)
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", gram: int = GRAM,

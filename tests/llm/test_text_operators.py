@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foldwise.llm import decontam, line_dedup, ngram_join, rlz, suffix_dedup
-from foldwise.llm.common import components, group_links
+from foldwise.llm.common import components, group_links, stored
 from foldwise.llm.suffix_sort import long_repeats, packed, suffix_array
 
 from .helpers import (brute_bytes, brute_contamination, brute_factor, brute_lines, brute_similar, corpus, ordered, sha,
@@ -178,3 +178,31 @@ def test_crowded_band_is_compared_whole(spark):
                         lambda wanted: line_dedup._rare_shingles(texts.join(wanted, "c"), 80), line_dedup._rare_common)
     got = {x["node"]: x["component"] for x in components(found).collect()}
     assert {k: got.get(k, k) for k in line} == union_find(line, links)
+
+
+def test_lone_shingles_of_many_lines_are_left_out(spark):
+    """op10: five million shingles, nearly all of them in one line only, are not
+    dealt out as groups."""
+    r = np.random.default_rng(5)
+    rows = [(k, r.integers(97, 123, 310, dtype=np.uint8).tobytes()) for k in range(16000)]
+    texts = spark.createDataFrame([*rows, (16000, rows[0][1][:-2] + b"??")], "c long, line binary").repartition(4)
+    got = line_dedup._rare_shingles(texts, 80)
+    assert got.count() < 200_000
+    both = got.where("c in (0, 16000)").groupBy("t").count().where("count = 2").count()
+    assert both >= 303 // 20
+
+
+def test_a_small_group_is_no_set_of_all_pairs(spark):
+    """op5, op10: a star comes first at every size; similar things that it joins
+    are not compared with each other."""
+    rows = spark.createDataFrame([(t, c, 10, 0) for t in range(5) for c in range(6 * t, 6 * t + 6)],
+                                 "t long, c long, n int, i int")
+    seen = []
+
+    def verify(pairs):
+        seen.append(pairs.count())
+        return stored(pairs, "pairs")
+
+    comp = {x["node"]: x["component"] for x in components(group_links(rows, verify, 75, 4)).collect()}
+    assert comp == {c: c - c % 6 for c in range(30)}
+    assert sum(seen) == 25
