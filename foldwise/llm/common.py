@@ -11,30 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import discard, stored  # noqa: F401  (the operators take them from here)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared checkpoint folder and read back: lineage is cut and
-    no executor holds the only copy. The shuffle files behind it are deleted
-    when the write ends, so read the result, not `df`, from then on."""
-    path, conf = scratch_path(df.sparkSession, name), df.sparkSession.conf
-    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = conf.get(cleanup, "false")
-    conf.set(cleanup, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        conf.set(cleanup, before)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
-
-
 def fresh(df: DataFrame, base: str) -> str:
     """A column name that the frame does not have."""
     taken = {c.lower() for c in df.columns}
@@ -115,15 +98,6 @@ def merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
             .select("node", F.coalesce("to", "component").alias("component")))
 
 
-def discard(df: DataFrame | None) -> None:
-    """Delete the files of a frame made by `stored`, once nothing reads it."""
-    path = getattr(df, "_stored_at", None)
-    if path:
-        jvm, hadoop = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(hadoop).delete(p, True)
-
-
 def count_sketch(df: DataFrame, slots: Callable, bits: int, piece: int = 16) -> np.ndarray:
     """How often each of 2**bits slots is hit, 65535 at most; `slots` takes an
     Arrow batch of df and yields arrays of slots. Tasks send their counts in
