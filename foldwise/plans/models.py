@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.learned import assemble, without_summary
 from ..operators.state import StateTable
-from ..session import spread
+from ..session import cut_lineage, spread
 
 KINDS = ("gbt", "forest", "logit", "ridge", "linear_svm")
 
@@ -42,6 +43,35 @@ def _estimator(kind: str, task: str, params: dict):
     return cls(**common, **p)
 
 
+# rows above which a regression's equal feature rows are merged before boosting
+MERGE_ROWS = 1 << 20
+# parameters under which only sums over a node's rows decide
+SUMS_DECIDE = {"maxIter", "maxDepth", "maxBins", "stepSize", "seed", "minInfoGain", "maxMemoryInMB", "cacheNodeIds",
+               "checkpointInterval"}
+
+
+def _merged(data: DataFrame, features) -> DataFrame | None:
+    """Rows of features and label as weighted rows that boosting with squared
+    loss can't tell from them: rows of equal features meet in every node, where
+    only their number, sum and sum of squares count. Two rows of half the weight
+    at mean plus and minus standard deviation have the same three. None where few
+    rows are given or merging would leave more than a quarter of them."""
+    names = [features] if isinstance(features, str) else list(features)
+    if not all(isinstance(data.schema[c].dataType, T.AtomicType) for c in names):
+        return None
+    keys = data.select(F.xxhash64(*names).alias("k"))
+    kinds, rows = keys.agg(F.approx_count_distinct("k"), F.count(F.lit(1))).first()
+    if rows <= MERGE_ROWS or 8 * kinds > rows:
+        return None
+    y = F.col("__label")
+    cell = data.groupBy(*names).agg(F.avg(y).alias("__m"), F.stddev_pop(y).alias("__s"), F.count(y).cast("double").alias("__n"))
+    two = F.when(F.col("__s") > 0, F.array(F.lit(-1.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0)))
+    return cut_lineage(
+        cell.withColumn("__two", two).withColumn("__side", F.explode("__two"))
+            .select(*names, (F.col("__m") + F.col("__side") * F.col("__s")).alias("__label"),
+                    (F.col("__n") / F.size("__two")).alias("__weight")))
+
+
 class Learner:
     """`early_stopping=True` (GBT only): when the flow passes a validation
     frame (the fold's valid rows, like an eval set), boosting stops once the
@@ -53,13 +83,19 @@ class Learner:
         self.kind, self.task, self.params, self.early_stopping = kind, task, params, early_stopping
 
     def fit(self, df: DataFrame, features, label: str, valid: DataFrame | None = None) -> "FittedModel":
-        params = dict(self.params)
+        params, label = dict(self.params), F.col(label).try_cast("double")
+        if (self.kind, self.task) == ("gbt", "regression") and set(params) <= SUMS_DECIDE and (
+                valid is None or not self.early_stopping):
+            few = _merged(df.withColumn("__label", label).where(F.col("__label").isNotNull()), features)
+            if few is not None:
+                model = _estimator(self.kind, self.task, params | {"weightCol": "__weight"}).fit(assemble(few, features))
+                return FittedModel(without_summary(model), features, self.kind, self.task)
         # learners keep a task's rows in one block: a large scan is cut into small ones
         src = spread(df, always=False).withColumn("__valid", F.lit(False))
         if valid is not None and self.early_stopping and self.kind == "gbt":
             src = src.unionByName(valid.withColumn("__valid", F.lit(True)))
             params["validationIndicatorCol"] = "__valid"
-        data = assemble(src, features).withColumn("__label", F.col(label).try_cast("double"))
+        data = assemble(src, features).withColumn("__label", label)
         model = _estimator(self.kind, self.task, params).fit(data.where(F.col("__label").isNotNull()))
         return FittedModel(without_summary(model), features, self.kind, self.task)
 
